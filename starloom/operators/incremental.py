@@ -41,6 +41,16 @@ def newer_than(df: DataFrame, column: str, mark: dt.datetime) -> DataFrame:
     return df.where(F.col(column) > F.lit(mark))
 
 
+def newer_than_target(df: DataFrame, column: str, target: DataFrame, default: str = EPOCH_DEFAULT) -> DataFrame:
+    """``where column > (select coalesce(max(column), default) from target)``.
+
+    Kept as an uncorrelated scalar subquery in the plan: no driver round trip,
+    and the Parquet scan receives it as a pushed filter at run time.
+    """
+    mark = target.select(F.coalesce(F.max(column), F.to_timestamp(F.lit(default))).alias("m")).scalar()
+    return df.where(F.col(column) > mark)
+
+
 def check_schema(incoming: T.StructType, target: T.StructType) -> None:
     """``on_schema_change='fail'``: names and types must be equal, in order."""
     a = [(f.name, f.dataType.simpleString()) for f in incoming.fields]

@@ -1,7 +1,8 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame.
 
 Every query reads the driver tables of ``sf_dir`` (whole tables) or data Spark
-derives from them.
+derives from them. Quality queries build a persisted warehouse first (tables
+written below the scratch root, as a build does) and test those tables.
 """
 
 from __future__ import annotations
@@ -10,11 +11,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.plans.warehouse import Warehouse
+from starloom.plans import quality_suite as QS
+from starloom.plans import reports
+from starloom.plans.warehouse import FIXED_LOAD_STAMP, Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
+# Reproducible parameters of the report queries.
+CHECK_INVOCATION = "check"
+FRESHNESS_NOW = "2026-01-02 02:00:00"
+EVENTS_LIMIT = 0  # 0 = all events
+
 
 def query(name: str):
     def deco(fn: QueryFn) -> QueryFn:
@@ -23,14 +31,129 @@ def query(name: str):
     return deco
 
 
-def _model(attr: str) -> QueryFn:
+def _model(attr: str, persist: bool = False) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(Warehouse(spark, sf_dir), attr)
+        return getattr(Warehouse(spark, sf_dir, persist=persist), attr)
     run.__name__ = attr
     return run
 
 
-for _attr in ["raw_customers", "raw_customer_updates", "raw_products", "raw_orders", "raw_order_items",
-              "stg_customers", "stg_products", "stg_orders", "stg_order_items", "int_order_totals",
-              "customers_snapshot", "dim_customer", "dim_product", "dim_date", "fact_orders", "fact_order_items"]:
+for _attr in [
+    "raw_customers", "raw_customer_updates", "raw_products", "raw_orders", "raw_order_items",
+    "stg_customers", "stg_products", "stg_orders", "stg_order_items", "int_order_totals",
+    "customers_snapshot", "dim_customer", "dim_product", "dim_date", "dim_date_config",
+    "fact_orders", "fact_order_items", "fact_orders_incremental", "fact_order_items_incremental",
+    "dim_customer_restricted", "distinct_people", "pii_inventory",
+    "window_metrics", "stream_daily_metrics", "latency_detail", "latency_summary", "window_first_seen",
+]:
     QUERIES[_attr] = _model(_attr)
+
+
+# quality -------------------------------------------------------------------
+def _dq(kind: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        wh = Warehouse(spark, sf_dir, persist=True)
+        return QS.results(wh.models(), QS.checks_of(kind), with_singular=False)
+    run.__name__ = f"dq_{kind}"
+    return run
+
+
+for _kind in ["unique", "not_null", "accepted_values", "relationships"]:
+    QUERIES[f"dq_{_kind}"] = _dq(_kind)
+
+
+def _singular(name: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        wh = Warehouse(spark, sf_dir, persist=True)
+        return QS.singular_offenders(wh.models())[name][1]
+    return run
+
+
+QUERIES["dq_no_negative"] = _singular("assert_no_negative_quantities")
+QUERIES["dq_totals_reconcile"] = _singular("assert_order_totals_reconcile")
+QUERIES["dq_scd2_overlap"] = _singular("assert_scd2_versions_do_not_overlap")
+QUERIES["dq_no_raw_pii"] = _singular("assert_analyst_views_have_no_raw_pii")
+QUERIES["dq_one_current"] = _singular("assert_one_current_version_per_customer")
+
+
+@query("dq_results")
+def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QS.results(Warehouse(spark, sf_dir, persist=True).models())
+
+
+@query("dq_summary")
+def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    res = dq_results(spark, sf_dir)
+    return QS.dq_summary(spark, res, FIXED_LOAD_STAMP, CHECK_INVOCATION)
+
+
+@query("dq_failures")
+def dq_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QS.dq_failures(dq_results(spark, sf_dir), FIXED_LOAD_STAMP, CHECK_INVOCATION)
+
+
+# reports -------------------------------------------------------------------
+@query("row_counts")
+def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = Warehouse(spark, sf_dir)
+    return reports.row_counts({
+        "customers": wh.raw_customers, "customer_updates": wh.raw_customer_updates,
+        "products": wh.raw_products, "orders": wh.raw_orders, "order_items": wh.raw_order_items,
+        "window_metrics": wh.window_metrics,
+    })
+
+
+@query("source_freshness")
+def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = Warehouse(spark, sf_dir)
+    return reports.source_freshness({
+        "customers": ("raw", wh.raw_customers, "_loaded_at"),
+        "customer_updates": ("raw", wh.raw_customer_updates, "_loaded_at"),
+        "products": ("raw", wh.raw_products, "_loaded_at"),
+        "orders": ("raw", wh.raw_orders, "_loaded_at"),
+        "order_items": ("raw", wh.raw_order_items, "_loaded_at"),
+        "window_metrics": ("stream", wh.window_metrics, "loaded_at"),
+    }, FRESHNESS_NOW)
+
+
+@query("contract_check")
+def contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = Warehouse(spark, sf_dir)
+    return reports.contract_check(spark, {
+        "dim_date": wh.dim_date, "dim_product": wh.dim_product, "dim_customer": wh.dim_customer,
+        "fact_orders": wh.fact_orders, "fact_order_items": wh.fact_order_items,
+    })
+
+
+@query("export_replay")
+def export_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.export_replay(Warehouse(spark, sf_dir).fact_orders)
+
+
+@query("order_events_json")
+def order_events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starloom.streaming.order_metrics import events_to_json
+
+    ev = reports.first_n(Warehouse(spark, sf_dir).order_events, EVENTS_LIMIT, ["event_time", "order_id"])
+    return events_to_json(ev)
+
+
+@query("window_metrics_json")
+def window_metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from starloom.streaming.order_metrics import windows_to_json
+
+    return windows_to_json(Warehouse(spark, sf_dir).window_metrics)
+
+
+@query("job_log_rollup")
+def job_log_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.job_log_rollup(reports.job_log(spark, sf_dir))
+
+
+@query("stream_window_metrics")
+def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Structured Streaming job over the events file, drained with availableNow."""
+    from starloom.streaming import order_metrics as om
+
+    sink = om.run_to_completion(spark, om.file_event_source(spark, sf_dir))
+    return sink.select("window_start", "window_end", "order_count", "revenue", "avg_basket_size")

@@ -11,8 +11,11 @@ from starloom.plans.intermediate import int_order_totals
 from starloom.plans.staging import _tagged
 from starloom.schemas import DIM_CUSTOMER
 
-# dim_date range of the warehouse configuration.
-DATE_START, DATE_END = "2024-01-01", "2026-12-31"
+# dim_date range. The warehouse configuration spans 2024-01-01..2026-12-31;
+# the test orders start in 1995, so the default starts there and the
+# configured range stays available as its own variant.
+DATE_START, DATE_END = "1995-01-01", "2026-12-31"
+CONFIG_DATE_START, CONFIG_DATE_END = "2024-01-01", "2026-12-31"
 
 
 def dim_date(spark: SparkSession, start: str = DATE_START, end: str = DATE_END) -> DataFrame:

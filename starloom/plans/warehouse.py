@@ -1,9 +1,14 @@
 """The model graph as lazy DataFrames over one input location.
 
-``Warehouse(spark, sf_dir)`` exposes every model as a method returning a
-DataFrame; each model is built once per instance and reused by the models
-downstream of it, so one action compiles one plan in which Catalyst can prune
-columns and push filters through all layers.
+``Warehouse(spark, sf_dir)`` exposes every model as a property returning a
+DataFrame; each model is built once per instance and reused downstream, so
+one action compiles one plan in which Catalyst prunes columns and pushes
+filters through all layers.
+
+With ``persist=True`` the tables of the warehouse (raw landing, snapshot,
+marts) are written once below the scratch root and read back, as a build
+does: lineage is cut there, and the many test queries that read a mart scan
+Parquet instead of recomputing it.
 """
 
 from __future__ import annotations
@@ -11,24 +16,46 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from starloom.operators.incremental import delete_insert, newer_than_target
 from starloom.operators.scd2 import snapshot
-from starloom.plans import marts, staging
+from starloom.plans import governance, marts, staging, stream_marts
 from starloom.plans.intermediate import int_order_totals
-from starloom.session import prepare
+from starloom.session import prepare, scratch_path
 from starloom.sources import driver_tables as raw
 
 # Load stamp used when a run must be reproducible (oracle comparisons, tests).
 FIXED_LOAD_STAMP = "2026-01-01 00:00:00"
+# The first of the two incremental runs sees the orders placed before this day.
+INCREMENTAL_CUTOFF = "1999-01-01 00:00:00"
+# Warm-up horizon of the first-seen report: windows emitted from here on count.
+FIRST_SEEN_T0 = "2024-01-02 00:00:00"
+
+TABLE_MODELS = {
+    "raw_customers", "raw_customer_updates", "raw_products", "raw_orders", "raw_order_items",
+    "customers_snapshot_initial", "customers_snapshot", "dim_customer", "dim_product", "dim_date",
+    "fact_orders", "fact_order_items", "window_metrics",
+}
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, loaded_at: str | None = FIXED_LOAD_STAMP,
-                 hot_share: float | None = 0.05):
+                 hot_share: float | None = 0.05, persist: bool = False):
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
         self.loaded_at = loaded_at
         self.hot_share = hot_share
+        self.persist = persist
+        self.paths: dict[str, str] = {}
+
+    def _table(self, name: str, df: DataFrame) -> DataFrame:
+        if not self.persist or name not in TABLE_MODELS:
+            return df
+        path = scratch_path(self.spark, "warehouse", name)
+        df.write.parquet(path)
+        self.paths[name] = path
+        return self.spark.read.parquet(path)
 
     # raw -------------------------------------------------------------------
     def raw(self, name: str) -> DataFrame:
@@ -36,23 +63,23 @@ class Warehouse:
 
     @cached_property
     def raw_customers(self) -> DataFrame:
-        return self.raw("customers")
+        return self._table("raw_customers", self.raw("customers"))
 
     @cached_property
     def raw_customer_updates(self) -> DataFrame:
-        return self.raw("customer_updates")
+        return self._table("raw_customer_updates", self.raw("customer_updates"))
 
     @cached_property
     def raw_products(self) -> DataFrame:
-        return self.raw("products")
+        return self._table("raw_products", self.raw("products"))
 
     @cached_property
     def raw_orders(self) -> DataFrame:
-        return self.raw("orders")
+        return self._table("raw_orders", self.raw("orders"))
 
     @cached_property
     def raw_order_items(self) -> DataFrame:
-        return self.raw("order_items")
+        return self._table("raw_order_items", self.raw("order_items"))
 
     # staging ---------------------------------------------------------------
     def stg_customers_as_of(self, include_updates: bool) -> DataFrame:
@@ -81,24 +108,29 @@ class Warehouse:
     # snapshot: run once without the update batch, then with it -------------
     @cached_property
     def customers_snapshot_initial(self) -> DataFrame:
-        return snapshot(self.stg_customers_as_of(False), None, "customer_id")
+        return self._table("customers_snapshot_initial", snapshot(self.stg_customers_as_of(False), None, "customer_id"))
 
     @cached_property
     def customers_snapshot(self) -> DataFrame:
-        return snapshot(self.stg_customers, self.customers_snapshot_initial, "customer_id")
+        return self._table(
+            "customers_snapshot", snapshot(self.stg_customers, self.customers_snapshot_initial, "customer_id"))
 
     # marts -----------------------------------------------------------------
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return marts.dim_customer(self.customers_snapshot)
+        return self._table("dim_customer", marts.dim_customer(self.customers_snapshot))
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return marts.dim_product(self.stg_products)
+        return self._table("dim_product", marts.dim_product(self.stg_products))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return marts.dim_date(self.spark)
+        return self._table("dim_date", marts.dim_date(self.spark))
+
+    @cached_property
+    def dim_date_config(self) -> DataFrame:
+        return marts.dim_date(self.spark, marts.CONFIG_DATE_START, marts.CONFIG_DATE_END)
 
     @cached_property
     def orders_with_customer(self) -> DataFrame:
@@ -106,8 +138,100 @@ class Warehouse:
 
     @cached_property
     def fact_orders(self) -> DataFrame:
-        return marts.fact_orders(self.orders_with_customer, self.int_order_totals)
+        return self._table("fact_orders", marts.fact_orders(self.orders_with_customer, self.int_order_totals))
 
     @cached_property
     def fact_order_items(self) -> DataFrame:
-        return marts.fact_order_items(self.stg_order_items, self.orders_with_customer, self.dim_product)
+        return self._table("fact_order_items", marts.fact_order_items(
+            self.stg_order_items, self.orders_with_customer, self.dim_product))
+
+    # incremental: a first build before the cutoff, then an incremental run --
+    @cached_property
+    def dim_customer_initial(self) -> DataFrame:
+        return marts.dim_customer(self.customers_snapshot_initial)
+
+    @cached_property
+    def first_build_orders(self) -> DataFrame:
+        return self.stg_orders.where(F.col("ordered_at") < F.to_timestamp(F.lit(INCREMENTAL_CUTOFF)))
+
+    @cached_property
+    def first_build_enriched(self) -> DataFrame:
+        return marts.orders_with_customer(self.first_build_orders, self.dim_customer_initial, self.hot_share)
+
+    @cached_property
+    def fact_orders_first_build(self) -> DataFrame:
+        totals = marts.totals_for(self.stg_order_items, self.first_build_orders)
+        return marts.fact_orders(self.first_build_enriched, totals)
+
+    @cached_property
+    def fact_order_items_first_build(self) -> DataFrame:
+        return marts.fact_order_items(self.stg_order_items, self.first_build_enriched, self.dim_product)
+
+    @cached_property
+    def fact_orders_incremental(self) -> DataFrame:
+        target = self.fact_orders_first_build
+        new_orders = newer_than_target(self.stg_orders, "ordered_at", target)
+        enriched = marts.orders_with_customer(new_orders, self.dim_customer, self.hot_share)
+        new = marts.fact_orders(enriched, marts.totals_for(self.stg_order_items, new_orders))
+        return delete_insert(target, new, "order_id")
+
+    @cached_property
+    def fact_order_items_incremental(self) -> DataFrame:
+        target = self.fact_order_items_first_build
+        new_orders = newer_than_target(self.stg_orders, "ordered_at", target)
+        enriched = marts.orders_with_customer(new_orders, self.dim_customer, self.hot_share)
+        new = marts.fact_order_items(self.stg_order_items, enriched, self.dim_product)
+        return delete_insert(target, new, "order_item_id")
+
+    # governance --------------------------------------------------------------
+    @cached_property
+    def dim_customer_restricted(self) -> DataFrame:
+        return governance.dim_customer_restricted(self.dim_customer)
+
+    @cached_property
+    def distinct_people(self) -> DataFrame:
+        return governance.distinct_people(self.dim_customer_restricted)
+
+    @cached_property
+    def pii_inventory(self) -> DataFrame:
+        return governance.pii_inventory(self.spark, [
+            ("staging", "stg_customers", self.stg_customers),
+            ("marts", "dim_customer", self.dim_customer),
+        ])
+
+    # stream side -------------------------------------------------------------
+    @cached_property
+    def order_events(self) -> DataFrame:
+        return raw.order_events(self.spark, self.sf_dir)
+
+    @cached_property
+    def window_metrics(self) -> DataFrame:
+        windows = stream_marts.window_metrics_batch(self.order_events)
+        return self._table("window_metrics", stream_marts.with_modeled_clock(windows))
+
+    @cached_property
+    def stream_daily_metrics(self) -> DataFrame:
+        return stream_marts.stream_daily_metrics(self.window_metrics, self.dim_date)
+
+    @cached_property
+    def latency_detail(self) -> DataFrame:
+        return stream_marts.latency_detail(self.window_metrics)
+
+    @cached_property
+    def latency_summary(self) -> DataFrame:
+        return stream_marts.latency_summary(self.window_metrics)
+
+    @cached_property
+    def window_first_seen(self) -> DataFrame:
+        seen = stream_marts.sightings(self.window_metrics)
+        return stream_marts.window_first_seen(self.spark, seen, FIRST_SEEN_T0)
+
+    # everything the test suite reads ----------------------------------------
+    def models(self) -> dict[str, DataFrame]:
+        names = [
+            "raw_customers", "raw_products", "raw_orders", "raw_order_items",
+            "stg_customers", "stg_products", "stg_orders", "stg_order_items", "int_order_totals",
+            "dim_date", "dim_product", "dim_customer", "fact_orders", "fact_order_items",
+            "dim_customer_restricted", "stream_daily_metrics",
+        ]
+        return {n: getattr(self, n) for n in names}
