@@ -39,6 +39,7 @@ def build_session(master: str | None = None, cores: int | None = None, app: str
         builder = builder.config("spark.sql.shuffle.partitions", str(cores))
     builder = (
         builder.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("STARLOOM_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
