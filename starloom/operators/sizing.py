@@ -1,0 +1,27 @@
+"""Broadcast only what has a checked size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows we are willing to ship to every executor for a narrow (key + surrogate
+# key) dimension projection: about 5M x ~60 B = 300 MB at the upper bound.
+DEFAULT_MAX_ROWS = 5_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its exact row count is at most ``max_rows``.
+
+    Above the bound the DataFrame is returned unhinted and the planner picks
+    a shuffle join (AQE may still switch to a broadcast at run time when the
+    shuffled side turns out small).
+    """
+    n = df.count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def broadcast_bounded(df: DataFrame, rows_upper_bound: int, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Broadcast a DataFrame whose size is bounded by construction (e.g. a
+    calendar of a given date range), without running a job to count it."""
+    return F.broadcast(df) if rows_upper_bound <= max_rows else df

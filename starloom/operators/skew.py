@@ -20,12 +20,21 @@ SALT = "_salt"
 
 
 def find_hot_keys(df: DataFrame, key: str, share: float = 0.05, min_rows: int = 1_000_000) -> list:
-    """Keys holding at least ``share`` of the rows and at least ``min_rows`` rows."""
+    """Keys holding at least ``share`` of the rows and at least ``min_rows`` rows.
+
+    One job in the common case: per-key counts (combined map-side) reduced to
+    the total and the largest count. Only when the largest key passes the
+    threshold does a second job collect the (at most ``1 / share``) hot keys.
+    """
     if not 0 < share <= 1:
         raise ValueError("share must be in (0, 1]")
     counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
-    total = df.count()
-    threshold = max(min_rows, int(total * share))
+    stats = counts.agg(F.sum("count").alias("total"), F.max("count").alias("top")).first()
+    if stats["total"] is None:
+        return []
+    threshold = max(min_rows, int(stats["total"] * share))
+    if stats["top"] < threshold:
+        return []
     hot = counts.where(F.col("count") >= threshold).select(key).limit(int(1 / share) + 1).collect()
     return [r[0] for r in hot]
 

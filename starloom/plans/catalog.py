@@ -50,9 +50,24 @@ for _attr in [
 
 
 # quality -------------------------------------------------------------------
+_BUILT: dict[tuple[str, str], Warehouse] = {}
+
+
+def built_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A persisted warehouse per (application, input location).
+
+    The quality queries all test the same tables; the inputs are immutable, so
+    the tables are written once per application and every test reads them.
+    """
+    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if k not in _BUILT:
+        _BUILT[k] = Warehouse(spark, sf_dir, persist=True)
+    return _BUILT[k]
+
+
 def _dq(kind: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        wh = Warehouse(spark, sf_dir, persist=True)
+        wh = built_warehouse(spark, sf_dir)
         return QS.results(wh.models(), QS.checks_of(kind), with_singular=False)
     run.__name__ = f"dq_{kind}"
     return run
@@ -64,7 +79,7 @@ for _kind in ["unique", "not_null", "accepted_values", "relationships"]:
 
 def _singular(name: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        wh = Warehouse(spark, sf_dir, persist=True)
+        wh = built_warehouse(spark, sf_dir)
         return QS.singular_offenders(wh.models())[name][1]
     return run
 
@@ -78,7 +93,7 @@ QUERIES["dq_one_current"] = _singular("assert_one_current_version_per_customer")
 
 @query("dq_results")
 def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QS.results(Warehouse(spark, sf_dir, persist=True).models())
+    return QS.results(built_warehouse(spark, sf_dir).models())
 
 
 @query("dq_summary")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import date_key, date_name, date_part, day_spine, money, surrogate_key
 from starloom.operators.asof import asof_left_join
+from starloom.operators.sizing import broadcast_if_small
 from starloom.plans.intermediate import int_order_totals
 from starloom.plans.staging import _tagged
 from starloom.schemas import DIM_CUSTOMER
@@ -85,12 +86,13 @@ def fact_orders(enriched_orders: DataFrame, totals: DataFrame) -> DataFrame:
 def fact_order_items(stg_items: DataFrame, enriched_orders: DataFrame, dim_prod: DataFrame) -> DataFrame:
     """One row per order line, with the customer version and product keys.
 
-    Lines inner-join their order (shuffle on order_id, the key the line table
-    is already grouped by); the product dimension is joined left and left to
-    the planner's size threshold to broadcast.
+    Lines inner-join their order on order_id (the key the line table is
+    already partitioned by for its item numbering, so only the order side is
+    shuffled); the product dimension is broadcast after an exact size check,
+    otherwise joined by shuffle.
     """
     o = enriched_orders.select("order_id", "ordered_at", "customer_id", "customer_sk")
-    p = dim_prod.select("product_sk", F.col("product_id").alias("_p_id"))
+    p = broadcast_if_small(dim_prod.select("product_sk", F.col("product_id").alias("_p_id")))
     j = stg_items.join(o, "order_id", "inner").join(p, F.col("product_id") == F.col("_p_id"), "left")
     return j.select(
         "order_item_id", "order_id", "line_number", "customer_sk", "product_sk", "product_id",

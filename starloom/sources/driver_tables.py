@@ -165,15 +165,22 @@ def raw_order_items(spark: SparkSession, sf_dir: str, loaded_at: str | None = No
     li = read(spark, sf_dir, "lineitem")
     qty = F.col("l_quantity").cast("long")
     price = F.col("l_extendedprice").cast("decimal(18,2)")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    return li.select(
-        (F.col("l_orderkey") * ITEM_ID_STRIDE + F.row_number().over(w)).alias("order_item_id"),
+    base = li.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").cast("long").alias("line_number"),
         F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("_supp"),
+        F.col("l_quantity").alias("_qty"),
         qty.alias("quantity"),
         price.alias("unit_price"),
         money(qty.cast("decimal(18,0)") * price * F.col("l_discount").cast("decimal(4,2)")).alias("discount"),
+    )
+    # partitioned by the output column order_id (not l_orderkey), so the
+    # exchange satisfies the joins and aggregations on order_id downstream
+    w = Window.partitionBy("order_id").orderBy("line_number", "product_id", "_supp", "_qty")
+    return base.select(
+        (F.col("order_id") * ITEM_ID_STRIDE + F.row_number().over(w)).alias("order_item_id"),
+        "order_id", "line_number", "product_id", "quantity", "unit_price", "discount",
         _stamp(loaded_at).alias("_loaded_at"),
     )
 
