@@ -97,7 +97,7 @@ def write_incremental(
     collected. Returns counts for the build log.
     """
     if not _path_exists(spark, target_path):
-        new.write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
+        new.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
         return {"mode": "create", "touched_partitions": None}
 
     target = spark.read.parquet(target_path)
@@ -118,7 +118,7 @@ def write_incremental(
         .unionByName(new)
     )
     staged = scratch_path(spark, "incremental", "rewrite")
-    rewritten.write.partitionBy(partition_col).parquet(staged)
+    rewritten.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(staged)
     kept = {r[0] for r in spark.read.parquet(staged).select(partition_col).distinct().collect()}
     for value in touched:
         if value not in kept:  # every row of that partition moved elsewhere

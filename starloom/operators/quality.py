@@ -16,10 +16,12 @@ hot value costs one partial row per task, not a skewed task.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RESULT_COLS = ["test_name", "model", "column_name", "test_type", "severity", "failures"]
 
@@ -132,3 +134,80 @@ def with_status(results: DataFrame) -> DataFrame:
     failed = F.col("failures") > 0
     status: Column = F.when(~failed, F.lit("pass")).when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail"))
     return results.withColumn("status", status)
+
+
+# Concurrent evaluation ----------------------------------------------------------
+RESULT_SCHEMA = T.StructType([
+    T.StructField("test_name", T.StringType()),
+    T.StructField("model", T.StringType()),
+    T.StructField("column_name", T.StringType()),
+    T.StructField("test_type", T.StringType()),
+    T.StructField("severity", T.StringType()),
+    T.StructField("failures", T.LongType()),
+    T.StructField("status", T.StringType()),
+])
+
+
+def _status(failures: int, severity: str) -> str:
+    if failures == 0:
+        return "pass"
+    return "warn" if severity == "warn" else "fail"
+
+
+def _row(c: Check, failures: int) -> tuple:
+    return (c.name, c.model, c.column, c.test, c.severity, int(failures), _status(int(failures), c.severity))
+
+
+def _single_pass(df: DataFrame, cs: list[Check]) -> list[tuple]:
+    """not_null and accepted_values checks of one model in one scan."""
+    aggs = []
+    for i, c in enumerate(cs):
+        if c.test == "not_null":
+            aggs.append(F.count_if(F.col(c.column).isNull()).alias(f"c{i}"))
+        else:  # accepted_values: distinct offending values, NULL passes
+            bad = F.when(~F.col(c.column).isin(list(c.values)), F.col(c.column))
+            aggs.append(F.count_distinct(bad).alias(f"c{i}"))
+    r = df.agg(*aggs).first()
+    return [_row(c, r[f"c{i}"]) for i, c in enumerate(cs)]
+
+
+def _scalar(df_failures: DataFrame) -> int:
+    return df_failures.first()["failures"]
+
+
+def evaluate(models: dict[str, DataFrame], checks: list[Check],
+             singular_offenders: dict[str, tuple[str, DataFrame]] | None = None,
+             parallelism: int = 8) -> list[tuple]:
+    """Run every check as its own small job, ``parallelism`` at a time.
+
+    Each job returns one number, so the driver holds one row per check
+    (bounded by the suite, not the data). Independent jobs run concurrently
+    on the cluster, as the warehouse runs independent tests on several threads.
+    """
+    tasks = []
+    per_model: dict[str, list[Check]] = {}
+    for c in checks:
+        if c.test in ("not_null", "accepted_values"):
+            per_model.setdefault(c.model, []).append(c)
+    for model, cs in per_model.items():
+        tasks.append(lambda df=models[model], cs=cs: _single_pass(df, cs))
+    for c in checks:
+        if c.test == "unique":
+            tasks.append(lambda c=c: [_row(c, _scalar(unique_failures(models[c.model], c.column.split(","))))])
+        elif c.test == "relationships":
+            tasks.append(lambda c=c: [_row(c, _scalar(relationships_failures(
+                models[c.model], c.column, models[c.to_model], c.to_column)))])
+        elif c.test not in ("not_null", "accepted_values"):
+            raise ValueError(f"unknown test {c.test}")
+    for name, (model, offenders) in (singular_offenders or {}).items():
+        c = Check(model=model, column="", test="singular", name_override=name)
+        tasks.append(lambda c=c, o=offenders: [_row(c, o.count())])
+    order = {c.name: i for i, c in enumerate(checks)}
+    order.update({n: len(order) + i for i, n in enumerate(singular_offenders or {})})
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        rows = [r for part in pool.map(lambda t: t(), tasks) for r in part]
+    return sorted(rows, key=lambda r: order[r[0]])
+
+
+def results_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(rows, RESULT_SCHEMA)

@@ -36,9 +36,21 @@ def empty_history(current: DataFrame) -> DataFrame:
     return current.sparkSession.createDataFrame([], schema)
 
 
+def first_snapshot(current: DataFrame, key: str, updated_at: str = "updated_at") -> DataFrame:
+    """No history yet: every current row opens a version (no join needed)."""
+    upd = F.col(updated_at)
+    return current.select(
+        "*",
+        surrogate_key(F.col(key), upd).alias("dbt_scd_id"),
+        upd.alias("dbt_updated_at"),
+        upd.alias("dbt_valid_from"),
+        F.lit(None).cast("timestamp").alias("dbt_valid_to"),
+    )
+
+
 def snapshot(current: DataFrame, history: DataFrame | None, key: str, updated_at: str = "updated_at") -> DataFrame:
     if history is None:
-        history = empty_history(current)
+        return first_snapshot(current, key, updated_at)
     cols = current.columns
     out_cols = cols + META
     open_rows = history.where(F.col("dbt_valid_to").isNull())

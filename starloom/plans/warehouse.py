@@ -67,7 +67,8 @@ class Warehouse:
 
     @cached_property
     def raw_customer_updates(self) -> DataFrame:
-        return self._table("raw_customer_updates", self.raw("customer_updates"))
+        return self._table("raw_customer_updates", raw.raw_customer_updates(
+            self.spark, self.sf_dir, self.loaded_at, customers=self.raw_customers))
 
     @cached_property
     def raw_products(self) -> DataFrame:

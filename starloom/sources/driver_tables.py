@@ -52,9 +52,20 @@ TEST_TABLES = [
 ]
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table; Parquet ``timestamp[us]`` arrives as TIMESTAMP_NTZ."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table; Parquet ``timestamp[us]`` arrives as TIMESTAMP_NTZ.
+
+    The inputs are immutable, so one DataFrame per file and application is
+    reused (its footer is read once, and repeated scans share plan nodes).
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    k = (spark.sparkContext.applicationId, path)
+    if k not in _READS:
+        _READS[k] = spark.read.parquet(path)
+    return _READS[k]
 
 
 def _case(c: Column, mapping: dict[str, str], default: Column | None = None) -> Column:
@@ -109,9 +120,10 @@ def raw_customers(spark: SparkSession, sf_dir: str, loaded_at: str | None = None
     )
 
 
-def raw_customer_updates(spark: SparkSession, sf_dir: str, loaded_at: str | None = None) -> DataFrame:
+def raw_customer_updates(spark: SparkSession, sf_dir: str, loaded_at: str | None = None,
+                         customers: DataFrame | None = None) -> DataFrame:
     """raw.customer_updates: movers get a new city/street, some become vip."""
-    base = raw_customers(spark, sf_dir, loaded_at)
+    base = customers if customers is not None else raw_customers(spark, sf_dir, loaded_at)
     k = F.col("customer_id")
     moved = (k % MOVE_EVERY) == 0
     upgraded = (k % UPGRADE_EVERY) == 0
