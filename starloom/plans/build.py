@@ -116,7 +116,16 @@ class Build:
     def build_stream_tables(self) -> None:
         wh = Warehouse(self.spark, self.sf_dir)
         t = self.tables
-        t["window_metrics"] = _write(wh.window_metrics, f"{self.root}/stream/window_metrics")
+        self._parallel({
+            "window_metrics": lambda: _write(wh.window_metrics, f"{self.root}/stream/window_metrics"),
+            # the replay set for the stream producer: fact orders in time order, zstd
+            "replay_orders": lambda: self._export_replay(),
+        })
+
+    def _export_replay(self) -> DataFrame:
+        path = f"{self.root}/stream/replay_orders"
+        reports.write_replay(reports.export_replay(self.tables["fact_orders"]), path)
+        return self.spark.read.parquet(path)
 
     def models(self) -> dict[str, DataFrame]:
         t = self.tables
@@ -144,7 +153,9 @@ class Build:
         return quality_suite.results(self.models(), parallelism=self.test_threads).collect()
 
     def log_quality(self, rows: list, seconds: float) -> None:
-        res = self.spark.createDataFrame(rows)
+        from starloom.operators.quality import results_frame
+
+        res = quality_suite.run_results(self.spark, results_frame(self.spark, [tuple(r) for r in rows]))
         built = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         inv = uuid.uuid4().hex
         quality_suite.dq_summary(self.spark, res, built, inv, build_seconds=seconds).write.mode("append").parquet(

@@ -98,13 +98,14 @@ def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dq_summary")
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    res = dq_results(spark, sf_dir)
+    res = QS.run_results(spark, dq_results(spark, sf_dir))
     return QS.dq_summary(spark, res, FIXED_LOAD_STAMP, CHECK_INVOCATION)
 
 
 @query("dq_failures")
 def dq_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QS.dq_failures(dq_results(spark, sf_dir), FIXED_LOAD_STAMP, CHECK_INVOCATION)
+    res = QS.run_results(spark, dq_results(spark, sf_dir))
+    return QS.dq_failures(res, FIXED_LOAD_STAMP, CHECK_INVOCATION)
 
 
 # reports -------------------------------------------------------------------

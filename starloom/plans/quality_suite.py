@@ -175,44 +175,69 @@ def results_lazy(models: dict[str, DataFrame], checks: list[Check] | None = None
     return with_status(out)
 
 
-SUMMARY_SCHEMA = T.StructType([
-    T.StructField("built_at", T.TimestampType()),
-    T.StructField("invocation_id", T.StringType()),
-    T.StructField("command", T.StringType()),
-    T.StructField("models_built", T.LongType()),
-    T.StructField("models_failed", T.LongType()),
-])
-
-
-def dq_summary(spark: SparkSession, test_results: DataFrame, built_at: str, invocation_id: str,
-               command: str = "build", models_built: int = 14, models_failed: int = 0,
-               build_seconds: float | None = None) -> DataFrame:
-    """One row per build: counts by status and the pass percentage."""
-    s = test_results.agg(
-        F.count(F.lit(1)).alias("tests_run"),
-        F.count_if(F.col("status") == "pass").alias("tests_passed"),
-        F.count_if(F.col("status").isin("fail", "error")).alias("tests_failed"),
-        F.count_if(F.col("status") == "warn").alias("tests_warned"),
+# The model graph of a build: 13 models and the snapshot.
+BUILT_MODELS = [
+    ("model", "stg_customers"), ("model", "stg_products"), ("model", "stg_orders"), ("model", "stg_order_items"),
+    ("model", "int_order_totals"), ("snapshot", "customers_snapshot"), ("model", "dim_customer"),
+    ("model", "dim_date"), ("model", "dim_product"), ("model", "fact_orders"), ("model", "fact_order_items"),
+    ("model", "dim_customer_restricted"), ("model", "pii_inventory"), ("model", "stream_daily_metrics"),
+]
+PROJECT = "starloom"
+
+
+def run_results(spark: SparkSession, test_results: DataFrame, models: list[tuple[str, str]] | None = None,
+                model_status: str = "success") -> DataFrame:
+    """One row per executed node: ``(unique_id, status, failures, message)``.
+
+    Node ids follow ``<type>.<project>.<name>``; tests carry their failure
+    count and message.
+    """
+    node_rows = [(f"{kind}.{PROJECT}.{name}", model_status, None, "") for kind, name in (models or BUILT_MODELS)]
+    nodes = spark.createDataFrame(node_rows, "unique_id string, status string, failures long, message string")
+    tests = test_results.select(
+        F.concat(F.lit(f"test.{PROJECT}."), F.col("test_name")).alias("unique_id"),
+        "status", "failures",
+        F.when(F.col("failures") > 0, F.concat(F.lit("Got "), F.col("failures").cast("string"), F.lit(" results")))
+        .alias("message"),
+    )
+    return nodes.unionByName(tests)
+
+
+def dq_summary(spark: SparkSession, results: DataFrame, built_at: str, invocation_id: str,
+               command: str = "build", build_seconds: float | None = None) -> DataFrame:
+    """One row per build from its run results, classified by node id:
+    tests are ids starting with ``test.``; models are ``model.``, ``snapshot.``
+    or ``seed.`` ids."""
+    uid = F.col("unique_id")
+    is_test = uid.startswith("test.")
+    is_model = F.split_part(uid, F.lit("."), F.lit(1)).isin("model", "snapshot", "seed")
+    st = F.col("status")
+    s = results.agg(
+        F.count_if(is_model & (st == "success")).alias("models_built"),
+        F.count_if(is_model & (st == "error")).alias("models_failed"),
+        F.count_if(is_test).alias("tests_run"),
+        F.count_if(is_test & (st == "pass")).alias("tests_passed"),
+        F.count_if(is_test & st.isin("fail", "error")).alias("tests_failed"),
+        F.count_if(is_test & (st == "warn")).alias("tests_warned"),
     )
     return s.select(
         F.to_timestamp(F.lit(built_at)).alias("built_at"),
         F.lit(invocation_id).alias("invocation_id"),
         F.lit(command).alias("command"),
-        F.lit(models_built).cast("long").alias("models_built"),
-        F.lit(models_failed).cast("long").alias("models_failed"),
-        "tests_run", "tests_passed", "tests_failed", "tests_warned",
+        "models_built", "models_failed", "tests_run", "tests_passed", "tests_failed", "tests_warned",
         F.lit(build_seconds).cast("double").alias("build_seconds"),
         F.round(F.lit(100.0) * F.col("tests_passed") / F.greatest(F.lit(1), F.col("tests_run")), 1).alias("pass_pct"),
     )
 
 
-def dq_failures(test_results: DataFrame, built_at: str, invocation_id: str) -> DataFrame:
-    """One row per failed / errored / warned test."""
-    return test_results.where(F.col("status").isin("fail", "error", "warn")).select(
+def dq_failures(results: DataFrame, built_at: str, invocation_id: str) -> DataFrame:
+    """One row per failed / errored / warned test; the name is the third id part."""
+    uid = F.col("unique_id")
+    return results.where(uid.startswith("test.") & F.col("status").isin("fail", "error", "warn")).select(
         F.to_timestamp(F.lit(built_at)).alias("built_at"),
         F.lit(invocation_id).alias("invocation_id"),
-        "test_name", "status",
+        F.split_part(uid, F.lit("."), F.lit(3)).alias("test_name"),
+        "status",
         F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures"),
-        F.left(F.coalesce(F.concat(F.lit("Got "), F.col("failures").cast("string"), F.lit(" results")), F.lit("")),
-               F.lit(500)).alias("message"),
+        F.left(F.coalesce(F.col("message"), F.lit("")), F.lit(500)).alias("message"),
     )

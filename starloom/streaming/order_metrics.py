@@ -166,3 +166,49 @@ def read_sink(spark: SparkSession, sink_path: str) -> DataFrame:
     if not _path_exists(spark, sink_path):
         return spark.createDataFrame([], WINDOW_METRICS)
     return spark.read.schema(WINDOW_METRICS).parquet(sink_path).select(*WINDOW_METRICS.fieldNames())
+
+
+def start_kafka(
+    spark: SparkSession,
+    events: DataFrame,
+    bootstrap: str,
+    topic: str = "order_metrics",
+    checkpoint: str | None = None,
+) -> StreamingQuery:
+    """The same job writing window rows as JSON to a Kafka topic (needs the
+    Kafka connector package on the cluster)."""
+    checkpoint = checkpoint or scratch_path(spark, "stream", "checkpoint-kafka")
+    return (
+        windows_to_json(order_metrics(events))
+        .writeStream.outputMode("append")
+        .format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )
+
+
+def write_events_kafka(events: DataFrame, bootstrap: str, topic: str = "orders") -> None:
+    """Publish order events as keyed JSON records (batch write to Kafka)."""
+    (
+        events_to_json(events)
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap)
+        .option("topic", topic)
+        .save()
+    )
+
+
+def reset_sink(spark: SparkSession, sink_path: str) -> None:
+    """Empty the sink table (the schema stays); pair with a fresh checkpoint."""
+    from starloom.schemas import WINDOW_METRICS
+
+    spark.createDataFrame([], WINDOW_METRICS).write.mode("overwrite").parquet(f"{sink_path}/batch_id=-1")
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(sink_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and name != "batch_id=-1":
+            fs.delete(st.getPath(), True)
