@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators.sizing import broadcast_if_small
 from starloom.session import scratch_path
 
 EPOCH_DEFAULT = "1900-01-01 00:00:00"
@@ -106,7 +107,9 @@ def write_incremental(
     new.select(*target.columns).write.parquet(staged_new)  # cut lineage: new rows computed once
     new = spark.read.parquet(staged_new)
 
-    keys = new.select(key)
+    # new keys are usually few: broadcast them after a size check, so the
+    # target's key column is probed in place instead of being shuffled
+    keys = broadcast_if_small(new.select(key))
     moved_from = target.select(key, partition_col).join(keys, key, "left_semi").select(partition_col)
     touched = [r[0] for r in new.select(partition_col).union(moved_from).distinct().collect()]
     if not touched:

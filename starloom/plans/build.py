@@ -113,6 +113,25 @@ class Build:
 
         self._parallel({"fact_orders": fact_orders, "fact_order_items": fact_order_items})
 
+    def mart_frames(self) -> dict[str, DataFrame]:
+        """The mart DataFrames as a build plans them on the landed tables (lazy)."""
+        t = self.tables
+        stg_orders = staging.stg_orders(t["raw_orders"])
+        stg_items = staging.stg_order_items(t["raw_order_items"])
+        dim_customer = t.get("dim_customer")
+        if dim_customer is None:
+            dim_customer = marts.dim_customer(t["customers_snapshot"])
+        dim_product = t.get("dim_product")
+        if dim_product is None:
+            dim_product = marts.dim_product(staging.stg_products(t["raw_products"]))
+        enriched = marts.orders_with_customer(stg_orders, dim_customer)
+        return {
+            "dim_customer": marts.dim_customer(t["customers_snapshot"]),
+            "orders_with_customer": enriched,
+            "fact_orders": marts.fact_orders(enriched, marts.totals_for(stg_items)),
+            "fact_order_items": marts.fact_order_items(stg_items, enriched, dim_product),
+        }
+
     def build_stream_tables(self) -> None:
         wh = Warehouse(self.spark, self.sf_dir)
         t = self.tables

@@ -15,11 +15,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings a build relies on. Shuffle partition count is left to the caller:
+# Required for correct results: all date parts, date keys and ISO texts are UTC.
+CORRECTNESS_CONF = {"spark.sql.session.timeZone": "UTC"}
+
+# Performance settings of sessions we create. Shuffle partition count is left to the caller:
 # a cluster sizes it to the data (about 128-256 MB per partition after AQE
 # coalescing), local runs use the core count.
 SESSION_CONF = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -46,14 +48,20 @@ def build_session(master: str | None = None, cores: int | None = None, app: str
     for k, v in SESSION_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    prepare(spark)
+    for k, v in {**SESSION_CONF, **CORRECTNESS_CONF}.items():
+        spark.conf.set(k, v)
     return spark
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply runtime settings to a session someone else created."""
-    for k, v in SESSION_CONF.items():
-        spark.conf.set(k, v)
+    """Apply what correctness needs to a session someone else created.
+
+    Performance settings (AQE, skew join, compression) stay the caller's:
+    they are on by default in Spark 4 and the writers pass their own options.
+    """
+    for k, v in CORRECTNESS_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
     return spark
 
 
