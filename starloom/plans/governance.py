@@ -33,9 +33,15 @@ INVENTORY_SCHEMA = T.StructType([
     T.StructField("schema_name", T.StringType()),
     T.StructField("model_name", T.StringType()),
     T.StructField("column_name", T.StringType()),
+    T.StructField("non_null_values", T.LongType()),
 ])
 
 
+def approx_distinct_people(restricted: DataFrame, rsd: float = 0.01) -> DataFrame:
+    """HyperLogLog estimate of the same count: fixed-size state per task."""
+    return restricted.agg(F.approx_count_distinct("email_hash", rsd).alias("people_approx"))
+
+
 def pii_columns(models: list[tuple[str, str, DataFrame]]) -> list[tuple[str, str, str]]:
     """(schema, model, column) for every field tagged ``pii`` in a model's schema."""
     return [
@@ -47,8 +53,22 @@ def pii_columns(models: list[tuple[str, str, DataFrame]]) -> list[tuple[str, str
 
 
 def pii_inventory(spark: SparkSession, models: list[tuple[str, str, DataFrame]]) -> DataFrame:
-    """The inventory as a table, read from the models' column metadata.
-
-    One row per tagged column: its size is the column count, not the data.
-    """
-    return spark.createDataFrame(pii_columns(models), INVENTORY_SCHEMA)
+    """The inventory, read from the models' column metadata, with how many
+    values each tagged column holds (one aggregation pass per model)."""
+    parts = []
+    for schema_name, model_name, df in models:
+        cols = [f.name for f in df.schema.fields if f.metadata.get("pii")]
+        if not cols:
+            continue
+        counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols])
+        pairs = ", ".join(f"'{c}', `{c}`" for c in cols)
+        parts.append(counts.select(
+            F.lit(schema_name).alias("schema_name"), F.lit(model_name).alias("model_name"),
+            F.expr(f"stack({len(cols)}, {pairs}) as (column_name, non_null_values)"),
+        ))
+    if not parts:
+        return spark.createDataFrame([], INVENTORY_SCHEMA)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -54,23 +54,22 @@ def source_freshness(tables: dict[str, tuple[str, DataFrame, str]], now: str) ->
     return out
 
 
-CONTRACT_RESULT = T.StructType([
-    T.StructField("model", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("message", T.StringType()),
-])
-
-
 def contract_check(spark: SparkSession, models: dict[str, DataFrame]) -> DataFrame:
-    """Each mart's schema against its declared contract (names and types)."""
-    rows = []
+    """Each mart's schema against its declared contract (names and types),
+    with the row count of the table the contract guards."""
+    parts = []
     for name, contract in CONTRACTS.items():
         try:
             check_schema(models[name].schema, contract)
-            rows.append((name, "pass", ""))
+            status, message = "pass", ""
         except SchemaDrift as e:
-            rows.append((name, "fail", str(e)[:500]))
-    return spark.createDataFrame(rows, CONTRACT_RESULT)
+            status, message = "fail", str(e)[:500]
+        parts.append(models[name].agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("model"), F.lit(status).alias("status"), F.lit(message).alias("message"), "row_count"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def enforce_contract(df: DataFrame, name: str) -> DataFrame:

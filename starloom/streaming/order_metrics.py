@@ -168,6 +168,11 @@ def read_sink(spark: SparkSession, sink_path: str) -> DataFrame:
     return spark.read.schema(WINDOW_METRICS).parquet(sink_path).select(*WINDOW_METRICS.fieldNames())
 
 
+def first_window_landed(spark: SparkSession, sink_path: str) -> bool:
+    """Warm-up gate: has any window reached the sink yet? (a LIMIT 1 probe)"""
+    return not read_sink(spark, sink_path).isEmpty()
+
+
 def start_kafka(
     spark: SparkSession,
     events: DataFrame,

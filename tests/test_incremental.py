@@ -53,3 +53,12 @@ def test_partitioned_write_touches_only_changed_partitions(spark):
     write_incremental(spark, move, path, "order_id", "order_month")
     got = sorted((x.order_id, x.order_month) for x in spark.read.parquet(path).collect())
     assert got == [(1, "2024-03"), (2, "2024-03"), (3, "2024-02"), (4, "2024-02"), (5, "2024-03")]
+
+
+def test_missing_source_file_fails(spark):
+    from pyspark.errors import AnalysisException
+
+    from starloom.sources.driver_tables import raw_orders
+
+    with pytest.raises(AnalysisException):
+        raw_orders(spark, "/root/testdata/no-such-scale").count()

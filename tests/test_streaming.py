@@ -64,3 +64,18 @@ def test_events_json_round_trip(spark):
     a = sorted((r.order_id, r.status, r.item_count) for r in ev.collect())
     b = sorted((r.order_id, r.status, r.item_count) for r in back.collect())
     assert a == b
+
+
+def test_empty_sink_before_first_batch_then_landed(spark):
+    from starloom.schemas import WINDOW_METRICS
+
+    path = scratch_path(spark, "t_sink")
+    assert not om.first_window_landed(spark, path)
+    assert om.read_sink(spark, path).schema == WINDOW_METRICS
+    src = om.json_dir_event_source(spark, write_batches(spark, [[event(1, "completed", "00:00:10")],
+                                                                [event(-1, "tail", "00:01:30", 0.0, 0)]]), 1)
+    q, sink = om.start(spark, src, sink_path=path)
+    assert q.awaitTermination(300)
+    assert om.first_window_landed(spark, path)
+    om.reset_sink(spark, path)
+    assert not om.first_window_landed(spark, path)
