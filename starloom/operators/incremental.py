@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from starloom.operators.sizing import broadcast_if_small
 from starloom.session import scratch_path
+from starloom.sources import fs
 
 EPOCH_DEFAULT = "1900-01-01 00:00:00"
 
@@ -69,18 +70,11 @@ def delete_insert(target: DataFrame | None, new: DataFrame, key: str) -> DataFra
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    return fs.exists(spark, path)
 
 
 def _delete_partition_dir(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        fs.delete(p, True)
+    fs.delete(spark, path)
 
 
 def write_incremental(

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom.plans import quality_suite as QS
 from starloom.plans import reports
 from starloom.plans.warehouse import FIXED_LOAD_STAMP, Warehouse
+from starloom.session import app_key
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -59,7 +60,7 @@ def built_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     The quality queries all test the same tables; the inputs are immutable, so
     the tables are written once per application and every test reads them.
     """
-    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    k = (app_key(spark), sf_dir.rstrip("/"))
     if k not in _BUILT:
         _BUILT[k] = Warehouse(spark, sf_dir, persist=True)
     return _BUILT[k]

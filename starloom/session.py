@@ -65,8 +65,27 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def app_key(spark: SparkSession) -> str:
+    """Identity of the running application (for per-application caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect client: no SparkContext
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    try:
+        master = spark.sparkContext.master
+    except Exception:
+        master = spark.conf.get("spark.master", "")
+    return master.startswith("local")
+
+
+def _checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:
+        return None
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -75,16 +94,17 @@ def scratch_root(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir``; set a private one only when it is unset
     and the session is local.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = spark.sparkContext.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or _checkpoint_dir(spark)
     if not conf_dir:
         if not _is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
         conf_dir = tempfile.mkdtemp(prefix="starloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(conf_dir)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(conf_dir)
+    except Exception:  # Spark Connect client: DataFrame.checkpoint uses the conf
+        pass
     return conf_dir.rstrip("/")
 
 

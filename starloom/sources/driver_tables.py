@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.functions import money
+from starloom.session import app_key
 
 # ---------------------------------------------------------------------------
 # Fixed values of the mapping (must equal the oracle SQL's literals).
@@ -62,7 +63,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reused (its footer is read once, and repeated scans share plan nodes).
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    k = (spark.sparkContext.applicationId, path)
+    k = (app_key(spark), path)
     if k not in _READS:
         _READS[k] = spark.read.parquet(path)
     return _READS[k]

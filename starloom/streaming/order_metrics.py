@@ -209,11 +209,9 @@ def reset_sink(spark: SparkSession, sink_path: str) -> None:
     """Empty the sink table (the schema stays); pair with a fresh checkpoint."""
     from starloom.schemas import WINDOW_METRICS
 
+    from starloom.sources import fs
+
     spark.createDataFrame([], WINDOW_METRICS).write.mode("overwrite").parquet(f"{sink_path}/batch_id=-1")
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(sink_path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
+    for name in fs.children(spark, sink_path):
         if name.startswith("batch_id=") and name != "batch_id=-1":
-            fs.delete(st.getPath(), True)
+            fs.delete(spark, f"{sink_path}/{name}")
