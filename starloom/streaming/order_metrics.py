@@ -215,3 +215,10 @@ def reset_sink(spark: SparkSession, sink_path: str) -> None:
     for name in fs.children(spark, sink_path):
         if name.startswith("batch_id=") and name != "batch_id=-1":
             fs.delete(spark, f"{sink_path}/{name}")
+
+
+def first_seen_stream(sightings: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Streaming first sighting per window: the first row per window_start
+    within the watermark delay is kept, later repeats are dropped; state for
+    a window is evicted once the watermark on loaded_at passes it."""
+    return sightings.withWatermark("loaded_at", delay).dropDuplicatesWithinWatermark(["window_start"])

@@ -79,3 +79,26 @@ def test_empty_sink_before_first_batch_then_landed(spark):
     assert om.first_window_landed(spark, path)
     om.reset_sink(spark, path)
     assert not om.first_window_landed(spark, path)
+
+
+def test_first_seen_stream_drops_repeats(spark):
+    import uuid
+
+    d = scratch_path(spark, "t_seen")
+    os.makedirs(d)
+    polls = [["00:01:00", "00:01:02.020"], ["00:01:00", "00:01:04.020"], ["00:02:00", "00:02:02.120"],
+             ["00:01:00", "00:01:06.020"], ["00:02:00", "00:02:04.120"]]
+    for i, (ws, la) in enumerate(polls):
+        p = os.path.join(d, f"p-{i:03d}.json")
+        with open(p, "w") as f:
+            f.write(json.dumps({"window_start": f"2024-01-01T{ws}.000Z", "loaded_at": f"2024-01-01T{la}Z"}) + "\n")
+        os.utime(p, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    src = (spark.readStream.schema("window_start timestamp, loaded_at timestamp")
+           .option("maxFilesPerTrigger", 1).json(d))
+    name = f"seen_{uuid.uuid4().hex[:8]}"
+    q = om.first_seen_stream(src).writeStream.format("memory").queryName(name).outputMode("append") \
+        .option("checkpointLocation", scratch_path(spark, "t_seen_ckpt")).trigger(availableNow=True).start()
+    assert q.awaitTermination(300)
+    got = sorted((r.window_start.strftime("%H:%M"), r.loaded_at.strftime("%H:%M:%S.%f")[:12])
+                 for r in spark.table(name).collect())
+    assert got == [("00:01", "00:01:02.020"), ("00:02", "00:02:02.120")]
