@@ -43,8 +43,11 @@ def main(sf_dir: str) -> None:
     b = Build(spark, sf_dir)
     b.land_raw()
     b.run_snapshot()
+    b.build_marts()
     print("# Physical plans\n")
-    print(f"Input: `{sf_dir}`; raw tables and snapshot landed first, as in a build.\n")
+    print(f"Input: `{sf_dir}`. A build has landed the raw tables (line items bucketed by order_id),")
+    print("the snapshot, the dimensions and the enriched order headers (bucketed by order_id); the facts")
+    print("below are planned on those tables, as the build plans them.\n")
     for mode, threshold in [("as planned at this scale", "10485760"), ("at scale (no size-based broadcast)", "-1")]:
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
