@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.skew import find_hot_keys, split_hot_join
+from starloom.operators.skew import hot_key_counts, salt_buckets, split_hot_join
 
 FAR_FUTURE = "9999-12-31 00:00:00"
 
@@ -20,7 +20,8 @@ def asof_left_join(
     valid_to: str = "valid_to",
     hot_share: float | None = 0.05,
     salt_by: list[str] | None = None,
-    buckets: int = 64,
+    rows_per_task: int = 5_000_000,
+    min_hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Attach ``payload`` of the version whose [valid_from, valid_to) holds ``ts``.
 
@@ -28,7 +29,9 @@ def asof_left_join(
     Planned as an equi join on ``key`` with the range as residual condition;
     the dimension is never force-broadcast (it grows with history), the
     planner broadcasts it only under its size threshold. With ``hot_share``
-    set, keys holding that share of the events are joined salted.
+    set, keys holding that share of the events (and at least
+    ``min_hot_rows``) are joined salted, in as many salts as the biggest hot
+    key needs for about ``rows_per_task`` rows per slice.
     """
     v = versions.select(
         F.col(key).alias("_v_key"),
@@ -37,6 +40,7 @@ def asof_left_join(
         *payload,
     )
     extra = (F.col(ts) >= F.col("_v_from")) & (F.col(ts) < F.col("_v_to"))
-    hot = find_hot_keys(events, key, hot_share) if hot_share else []
-    joined = split_hot_join(events, v, key, "_v_key", hot, salt_by or [key, ts], buckets, "left", extra)
+    hot = hot_key_counts(events, key, hot_share, min_hot_rows) if hot_share else {}
+    buckets = salt_buckets(hot, rows_per_task)
+    joined = split_hot_join(events, v, key, "_v_key", list(hot), salt_by or [key, ts], buckets, "left", extra)
     return joined.drop("_v_key", "_v_from", "_v_to")

@@ -19,6 +19,31 @@ from pyspark.sql import functions as F
 SALT = "_salt"
 
 
+def hot_key_counts(df: DataFrame, key: str, share: float = 0.05, min_rows: int = 1_000_000) -> dict:
+    """``{key: rows}`` for keys holding at least ``share`` of the rows (and at
+    least ``min_rows``); at most ``1 / share`` entries."""
+    if not 0 < share <= 1:
+        raise ValueError("share must be in (0, 1]")
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
+    stats = counts.agg(F.sum("count").alias("total"), F.max("count").alias("top")).first()
+    if stats["total"] is None:
+        return {}
+    threshold = max(min_rows, int(stats["total"] * share))
+    if stats["top"] < threshold:
+        return {}
+    hot = counts.where(F.col("count") >= threshold).limit(int(1 / share) + 1).collect()
+    return {r[0]: r[1] for r in hot}
+
+
+def salt_buckets(hot: dict, rows_per_task: int = 5_000_000, max_buckets: int = 100_000) -> int:
+    """Salts for the largest hot key so each salted slice is about
+    ``rows_per_task`` rows (at least 2, at most ``max_buckets``)."""
+    if not hot:
+        return 1
+    biggest = max(hot.values())
+    return int(min(max_buckets, max(2, -(-biggest // rows_per_task))))
+
+
 def find_hot_keys(df: DataFrame, key: str, share: float = 0.05, min_rows: int = 1_000_000) -> list:
     """Keys holding at least ``share`` of the rows and at least ``min_rows`` rows.
 

@@ -43,3 +43,25 @@ def test_hot_key_split_equals_plain_join(spark):
     b = sorted(tuple(r) for r in salted.collect())
     assert a == b == sorted(tuple(r) for r in split.select("order_id", "customer_sk").collect())
     assert len(a) == 2000
+
+
+def test_salt_buckets_follow_hot_key_size(spark):
+    from starloom.operators.skew import hot_key_counts, salt_buckets
+
+    ev = spark.range(0, 3000).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") < 1000, F.lit(7)).otherwise(F.col("id")).cast("long").alias("customer_id"))
+    hot = hot_key_counts(ev, "customer_id", share=0.2, min_rows=1)
+    assert hot == {7: 1000}
+    assert salt_buckets(hot, rows_per_task=100) == 10
+    assert salt_buckets({}, rows_per_task=100) == 1
+    assert salt_buckets({1: 10**13}) == 100_000
+    # the as-of join with a salted hot key gives the same rows as without
+    dims = spark.createDataFrame([("sk7", 7, V1, None)],
+                                 "customer_sk string, customer_id long, valid_from timestamp, valid_to timestamp")
+    ev2 = ev.withColumn("ordered_at", F.lit(V2))
+    a = asof_left_join(ev2, dims, "customer_id", "ordered_at", ["customer_sk"], hot_share=0.2,
+                       salt_by=["order_id"], rows_per_task=100, min_hot_rows=1)
+    b = asof_left_join(ev2, dims, "customer_id", "ordered_at", ["customer_sk"], hot_share=None)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert a.where("customer_sk = 'sk7'").count() == 1000
