@@ -240,3 +240,24 @@ class Build:
         r2 = write_incremental(self.spark, _with_month(foi), foi_path, "order_item_id", MONTH)
         self.timings["incremental_build"] = round(time.perf_counter() - t0, 3)
         return {"fact_orders": r1, "fact_order_items": r2}
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m starloom.plans.build <input dir> [<warehouse root>]``: a full
+    build, then an incremental run; prints the timings and test tally as JSON."""
+    import json
+    import sys
+
+    from starloom.session import build_session
+
+    args = sys.argv[1:] if argv is None else argv
+    spark = build_session(app="starloom-build")
+    b = Build(spark, args[0], args[1] if len(args) > 1 else None)
+    timings = b.full()
+    b.incremental()
+    passed = sum(1 for r in b.test_rows if r["status"] == "pass")
+    print(json.dumps({"root": b.root, "timings": b.timings, "tests": f"{passed}/{len(b.test_rows)}"}))
+
+
+if __name__ == "__main__":
+    main()
