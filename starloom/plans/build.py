@@ -58,6 +58,7 @@ class Build:
         self.root = (root or f"{scratch_root(spark)}/warehouse-{uuid.uuid4().hex[:8]}").rstrip("/")
         self.timings: dict[str, float] = {}
         self.tables: dict[str, DataFrame] = {}
+        self.stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         self.db = f"starloom_{uuid.uuid4().hex[:12]}"
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db} LOCATION '{self.root}/catalog'")
 
@@ -86,19 +87,16 @@ class Build:
             for name, fut in futures.items():
                 self.tables[name] = fut.result()
 
+    def _land(self, name: str) -> DataFrame:
+        """Land one raw table with this run's load stamp."""
+        df = raw.RAW_BUILDERS[name](self.spark, self.sf_dir, self.stamp)
+        if name == "order_items":
+            # hash-partitioned by order_id already (the item numbering window)
+            return self._write_bucketed(df.repartition(self.buckets, "order_id"), "raw_order_items", "order_id")
+        return _write(df, f"{self.root}/raw/{name}")
+
     def land_raw(self) -> None:
-        stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-        def land(name, builder):
-            df = builder(self.spark, self.sf_dir, stamp)
-            if name == "order_items":
-                # hash-partitioned by order_id already (the item numbering window)
-                return self._write_bucketed(df.repartition(self.buckets, "order_id"), "raw_order_items", "order_id")
-            return _write(df, f"{self.root}/raw/{name}")
-
-        self._parallel({
-            f"raw_{name}": (lambda name=name, builder=builder: land(name, builder))
-            for name, builder in raw.RAW_BUILDERS.items()
-        })
+        self._parallel({f"raw_{name}": (lambda name=name: self._land(name)) for name in raw.RAW_BUILDERS})
 
     def run_snapshot(self) -> None:
         t = self.tables
@@ -107,19 +105,28 @@ class Build:
         cur = staging.stg_customers(t["raw_customers"], t["raw_customer_updates"], include_updates=True)
         t["customers_snapshot"] = _write(snapshot(cur, v1, "customer_id"), f"{self.root}/snapshots/customers_snapshot/v2")
 
+    def _dim_date(self) -> DataFrame:
+        return _write(reports.enforce_contract(marts.dim_date(self.spark), "dim_date"), f"{self.root}/marts/dim_date")
+
+    def _dim_product(self) -> DataFrame:
+        stg_products = staging.stg_products(self.tables["raw_products"])
+        return _write(reports.enforce_contract(marts.dim_product(stg_products), "dim_product"),
+                      f"{self.root}/marts/dim_product")
+
+    def _dim_customer(self) -> DataFrame:
+        dim = marts.dim_customer(self.tables["customers_snapshot"])
+        return _write(reports.enforce_contract(dim, "dim_customer"), f"{self.root}/marts/dim_customer")
+
     def build_marts(self) -> None:
+        self._parallel({"dim_date": self._dim_date, "dim_product": self._dim_product,
+                        "dim_customer": self._dim_customer})
+        self.build_facts()
+
+    def build_facts(self) -> None:
         t = self.tables
         stg_orders = staging.stg_orders(t["raw_orders"])
         stg_items = staging.stg_order_items(t["raw_order_items"])
-        stg_products = staging.stg_products(t["raw_products"])
         m = f"{self.root}/marts"
-        self._parallel({
-            "dim_date": lambda: _write(reports.enforce_contract(marts.dim_date(self.spark), "dim_date"), f"{m}/dim_date"),
-            "dim_product": lambda: _write(
-                reports.enforce_contract(marts.dim_product(stg_products), "dim_product"), f"{m}/dim_product"),
-            "dim_customer": lambda: _write(
-                reports.enforce_contract(marts.dim_customer(t["customers_snapshot"]), "dim_customer"), f"{m}/dim_customer"),
-        })
         # order headers with their customer version: written once, bucketed like
         # the line items, read by both facts without a shuffle
         enriched = marts.orders_with_customer(stg_orders, t["dim_customer"])
@@ -158,14 +165,11 @@ class Build:
             "fact_order_items": marts.fact_order_items(stg_items, enriched, dim_product),
         }
 
+    def _window_metrics(self) -> DataFrame:
+        return _write(Warehouse(self.spark, self.sf_dir).window_metrics, f"{self.root}/stream/window_metrics")
+
     def build_stream_tables(self) -> None:
-        wh = Warehouse(self.spark, self.sf_dir)
-        t = self.tables
-        self._parallel({
-            "window_metrics": lambda: _write(wh.window_metrics, f"{self.root}/stream/window_metrics"),
-            # the replay set for the stream producer: fact orders in time order, zstd
-            "replay_orders": lambda: self._export_replay(),
-        })
+        self._parallel({"window_metrics": self._window_metrics, "replay_orders": self._export_replay})
 
     def _export_replay(self) -> DataFrame:
         path = f"{self.root}/stream/replay_orders"
@@ -207,13 +211,48 @@ class Build:
             f"{self.root}/governance/dq_summary")
         quality_suite.dq_failures(res, built, inv).write.mode("append").parquet(f"{self.root}/governance/dq_failures")
 
+    def _chains(self, chains: list) -> None:
+        """Run independent chains of steps concurrently; each step stores its table."""
+        def run(chain):
+            for name, fn in chain:
+                self.tables[name] = fn()
+
+        with ThreadPoolExecutor(max_workers=self.threads) as pool:
+            for f in [pool.submit(run, c) for c in chains]:
+                f.result()
+
     def full(self) -> dict:
+        """The build as a dependency graph: independent chains run concurrently
+        (as the warehouse runs independent nodes on several threads)."""
         t0 = time.perf_counter()
-        self._timed("land_raw", self.land_raw)
-        self._timed("snapshot", self.run_snapshot)
-        self._timed("marts", self.build_marts)
-        self._timed("stream_tables", self.build_stream_tables)
-        rows = self._timed("tests", self.run_tests)
+
+        def snapshot_step():
+            self.run_snapshot()
+            return self.tables["customers_snapshot"]
+
+        self._timed("raw_snapshot_dims", lambda: self._chains([
+            [("raw_customers", lambda: self._land("customers")),
+             ("raw_customer_updates", lambda: self._land("customer_updates")),
+             ("customers_snapshot", snapshot_step),
+             ("dim_customer", self._dim_customer)],
+            [("raw_order_items", lambda: self._land("order_items"))],
+            [("raw_orders", lambda: self._land("orders")),
+             ("raw_products", lambda: self._land("products")),
+             ("dim_product", self._dim_product),
+             ("dim_date", self._dim_date)],
+            [("window_metrics", self._window_metrics)],
+        ]))
+        self._timed("facts", self.build_facts)
+        rows: list = []
+
+        def tests():
+            rows.extend(self.run_tests())
+            return None
+
+        self._timed("tests_and_replay", lambda: self._chains([
+            [("_tests", tests)],
+            [("replay_orders", self._export_replay)],
+        ]))
         self._timed("quality_log", lambda: self.log_quality(rows, time.perf_counter() - t0))
         self.timings["full_build"] = round(time.perf_counter() - t0, 3)
         self.test_rows = rows
