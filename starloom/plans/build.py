@@ -98,12 +98,22 @@ class Build:
     def land_raw(self) -> None:
         self._parallel({f"raw_{name}": (lambda name=name: self._land(name)) for name in raw.RAW_BUILDERS})
 
-    def run_snapshot(self) -> None:
+    def _snapshot_seed(self) -> DataFrame:
+        """First snapshot run: the initial customers only (no update batch)."""
+        seed = staging.stg_customers(self.tables["raw_customers"], None, include_updates=False)
+        return _write(snapshot(seed, None, "customer_id"), f"{self.root}/snapshots/customers_snapshot/v1")
+
+    def _snapshot_current(self) -> DataFrame:
+        """Second run: customers with the update batch, against the seed history."""
         t = self.tables
-        seed = staging.stg_customers(t["raw_customers"], t["raw_customer_updates"], include_updates=False)
-        v1 = _write(snapshot(seed, None, "customer_id"), f"{self.root}/snapshots/customers_snapshot/v1")
         cur = staging.stg_customers(t["raw_customers"], t["raw_customer_updates"], include_updates=True)
-        t["customers_snapshot"] = _write(snapshot(cur, v1, "customer_id"), f"{self.root}/snapshots/customers_snapshot/v2")
+        return _write(snapshot(cur, t["customers_snapshot_v1"], "customer_id"),
+                      f"{self.root}/snapshots/customers_snapshot/v2")
+
+    def run_snapshot(self) -> None:
+        t = self.tables
+        t["customers_snapshot_v1"] = self._snapshot_seed()
+        t["customers_snapshot"] = self._snapshot_current()
 
     def _dim_date(self) -> DataFrame:
         return _write(reports.enforce_contract(marts.dim_date(self.spark), "dim_date"), f"{self.root}/marts/dim_date")
@@ -217,7 +227,7 @@ class Build:
             for name, fn in chain:
                 self.tables[name] = fn()
 
-        with ThreadPoolExecutor(max_workers=self.threads) as pool:
+        with ThreadPoolExecutor(max_workers=max(1, len(chains))) as pool:
             for f in [pool.submit(run, c) for c in chains]:
                 f.result()
 
@@ -226,22 +236,20 @@ class Build:
         (as the warehouse runs independent nodes on several threads)."""
         t0 = time.perf_counter()
 
-        def snapshot_step():
-            self.run_snapshot()
-            return self.tables["customers_snapshot"]
-
-        self._timed("raw_snapshot_dims", lambda: self._chains([
-            [("raw_customers", lambda: self._land("customers")),
-             ("raw_customer_updates", lambda: self._land("customer_updates")),
-             ("customers_snapshot", snapshot_step),
-             ("dim_customer", self._dim_customer)],
-            [("raw_order_items", lambda: self._land("order_items"))],
-            [("raw_orders", lambda: self._land("orders")),
-             ("raw_products", lambda: self._land("products")),
-             ("dim_product", self._dim_product),
-             ("dim_date", self._dim_date)],
-            [("window_metrics", self._window_metrics)],
-        ]))
+        self._timed("raw_snapshot_dims", lambda: (
+            self._chains([
+                [("raw_customers", lambda: self._land("customers")),
+                 ("customers_snapshot_v1", self._snapshot_seed)],
+                [("raw_customer_updates", lambda: self._land("customer_updates"))],
+                [("raw_order_items", lambda: self._land("order_items"))],
+                [("raw_orders", lambda: self._land("orders")),
+                 ("raw_products", lambda: self._land("products")),
+                 ("dim_product", self._dim_product),
+                 ("dim_date", self._dim_date)],
+                [("window_metrics", self._window_metrics)],
+            ]),
+            self._chains([[("customers_snapshot", self._snapshot_current), ("dim_customer", self._dim_customer)]]),
+        ))
         self._timed("facts", self.build_facts)
         rows: list = []
 

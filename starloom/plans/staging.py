@@ -16,7 +16,7 @@ def _tagged(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(c).alias(c, metadata=meta[c]) if meta.get(c) else F.col(c) for c in df.columns])
 
 
-def stg_customers(customers: DataFrame, updates: DataFrame, include_updates: bool = True) -> DataFrame:
+def stg_customers(customers: DataFrame, updates: DataFrame | None, include_updates: bool = True) -> DataFrame:
     """Latest state per customer: initial load, overridden by the update batch."""
     unioned = customers if not include_updates else customers.unionByName(updates)
     typed = unioned.select(
