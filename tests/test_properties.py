@@ -48,3 +48,42 @@ def test_money_matches_decimal_half_up(spark, values):
     got = [r[0] for r in df.select(money(F.col("v"))).collect()]
     want = [v.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP).quantize(Decimal("0.001")) for v in values]
     assert got == want
+
+
+def _brute_asof(events, versions):
+    out = {}
+    for oid, cid, ts in events:
+        hits = [sk for sk, k, vf, vt in versions
+                if k == cid and ts >= vf and ts < (vt or dt.datetime(9999, 12, 31))]
+        out[oid] = sorted(hits) or [None]
+    return out
+
+
+@st.composite
+def histories(draw):
+    versions = []
+    for k in range(draw(st.integers(1, 3))):
+        cuts = sorted(set(draw(st.lists(st.integers(0, 30), min_size=1, max_size=4))))
+        for i, c in enumerate(cuts):
+            vt = BASE + dt.timedelta(days=cuts[i + 1]) if i + 1 < len(cuts) else None
+            versions.append((f"sk{k}_{i}", k, BASE + dt.timedelta(days=c), vt))
+    events = [(i, draw(st.integers(0, 3)), BASE + dt.timedelta(days=draw(st.integers(-2, 35))))
+              for i in range(draw(st.integers(1, 25)))]
+    return versions, events
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(histories())
+def test_asof_join_matches_brute_force(spark, h):
+    from starloom.operators.asof import asof_left_join
+
+    versions, events = h
+    vdf = spark.createDataFrame(versions, "customer_sk string, customer_id long, valid_from timestamp, valid_to timestamp")
+    edf = spark.createDataFrame(events, "order_id long, customer_id long, ordered_at timestamp")
+    want = _brute_asof(events, versions)
+    for kw in ({"hot_share": None}, {"hot_share": 0.2, "min_hot_rows": 1, "rows_per_task": 2}):
+        got: dict = {}
+        for r in asof_left_join(edf, vdf, "customer_id", "ordered_at", ["customer_sk"],
+                                salt_by=["order_id"], **kw).collect():
+            got.setdefault(r.order_id, []).append(r.customer_sk)
+        assert {k: sorted(v, key=str) for k, v in got.items()} == {k: sorted(v, key=str) for k, v in want.items()}
