@@ -33,7 +33,9 @@ def _write(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
         # advisory-sized partitions (splitting big months), so each table
         # partition gets a few right-sized files instead of one per task.
         df = df.hint("rebalance", partition)
-    w = df.write.mode("overwrite")
+    # a full refresh replaces the whole table (static overwrite); only the
+    # incremental path overwrites partitions dynamically
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition:
         w = w.partitionBy(partition)
     w.parquet(path)
