@@ -56,6 +56,7 @@ def main() -> None:
         "queries": timings,
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "tests_passed": f"{passed}/{len(b.test_rows)}",
+        "build_steps": b.step_timings,
         "cpus": cpus,
     }
     print(json.dumps(out))

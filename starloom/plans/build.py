@@ -59,6 +59,7 @@ class Build:
         self.sf_dir = sf_dir
         self.root = (root or f"{scratch_root(spark)}/warehouse-{uuid.uuid4().hex[:8]}").rstrip("/")
         self.timings: dict[str, float] = {}
+        self.step_timings: dict[str, float] = {}
         self.tables: dict[str, DataFrame] = {}
         self.stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         self.db = f"starloom_{uuid.uuid4().hex[:12]}"
@@ -227,7 +228,9 @@ class Build:
         """Run independent chains of steps concurrently; each step stores its table."""
         def run(chain):
             for name, fn in chain:
+                t = time.perf_counter()
                 self.tables[name] = fn()
+                self.step_timings[name] = round(time.perf_counter() - t, 3)
 
         with ThreadPoolExecutor(max_workers=max(1, len(chains))) as pool:
             for f in [pool.submit(run, c) for c in chains]:
