@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from starloom import fixed as FX
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -22,7 +24,7 @@ def surrogate_key(*cols: str | Column) -> Column:
     the remaining parts, so (NULL, 'a') and ('a', NULL) would collide.
     """
     parts = [F.coalesce(_col(c).cast("string"), F.lit("")) for c in cols]
-    return md5_hex(F.concat_ws("|", *parts))
+    return md5_hex(F.concat_ws(FX.KEY_SEPARATOR, *parts))
 
 
 def hash_pii(c: str | Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from starloom import fixed as FX
 from starloom.schemas import MONEY
 
 
@@ -15,7 +16,7 @@ def money(e: Column) -> Column:
     money type before rounding would round twice (1.0049 -> 1.005 -> 1.01).
     Decimal rounding is half away from zero, as in the warehouse engines.
     """
-    return F.round(e, 2).cast(MONEY)
+    return F.round(e, FX.MONEY_PLACES).cast(MONEY)
 
 
 def to_money(e: Column) -> Column:

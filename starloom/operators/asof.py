@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom import fixed as FX
+
 from starloom.operators.skew import hot_key_counts, salt_buckets, split_hot_join
 
-FAR_FUTURE = "9999-12-31 00:00:00"
+FAR_FUTURE = FX.OPEN_VERSION_END
 
 
 def asof_left_join(

@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom import fixed as FX
 from starloom.operators.sizing import broadcast_if_small
 from starloom.session import scratch_path
 from starloom.sources import fs
 
-EPOCH_DEFAULT = "1900-01-01 00:00:00"
+EPOCH_DEFAULT = FX.EMPTY_HIGH_WATER
 
 
 class SchemaDrift(ValueError):

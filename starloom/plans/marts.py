@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom import fixed as FX
 from starloom.functions import date_key, date_name, date_part, day_spine, money, surrogate_key
 from starloom.operators.asof import asof_left_join
 from starloom.operators.sizing import broadcast_if_small
@@ -16,7 +17,7 @@ from starloom.schemas import DIM_CUSTOMER
 # the test orders start in 1995, so the default starts there and the
 # configured range stays available as its own variant.
 DATE_START, DATE_END = "1995-01-01", "2026-12-31"
-CONFIG_DATE_START, CONFIG_DATE_END = "2024-01-01", "2026-12-31"
+CONFIG_DATE_START, CONFIG_DATE_END = FX.CONFIG_DATE_START, FX.CONFIG_DATE_END
 
 
 def dim_date(spark: SparkSession, start: str = DATE_START, end: str = DATE_END) -> DataFrame:

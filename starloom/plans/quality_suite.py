@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom import fixed as FX
 from starloom.operators.quality import Check, evaluate, results_frame, run_checks, singular, with_status
 
-SEGMENTS = ("new", "regular", "loyal", "vip")
-STATUSES = ("completed", "cancelled", "returned")
-CHANNELS = ("web", "ios", "android")
+SEGMENTS = FX.CUSTOMER_SEGMENTS
+STATUSES = FX.ORDER_STATUSES
+CHANNELS = FX.ORDER_CHANNELS
 
 
 def _u(model, col, **kw):
@@ -102,7 +103,7 @@ def no_negative_quantities(fact_items: DataFrame) -> DataFrame:
 def order_totals_reconcile(fact_orders: DataFrame, fact_items: DataFrame) -> DataFrame:
     lines = fact_items.groupBy("order_id").agg(F.sum("line_total").alias("line_sum"))
     j = fact_orders.select("order_id", "order_total").join(lines, "order_id")
-    return j.where(F.abs(F.col("order_total") - F.col("line_sum")) > F.lit(0.005).cast("decimal(4,3)")).select(
+    return j.where(F.abs(F.col("order_total") - F.col("line_sum")) > F.lit(FX.RECONCILE_TOLERANCE).cast("decimal(4,3)")).select(
         "order_id", "order_total", F.col("line_sum").cast("decimal(18,3)").alias("line_sum")
     )
 
@@ -132,7 +133,7 @@ def one_current_version(dim_customer: DataFrame) -> DataFrame:
 
 def analyst_views_have_no_raw_pii(restricted: DataFrame) -> DataFrame:
     return restricted.where(
-        ~F.col("email_masked").like("_***@%") | ~F.col("phone_masked").like("+1-___-***-****")
+        ~F.col("email_masked").like(FX.EMAIL_MASK_PATTERN) | ~F.col("phone_masked").like(FX.PHONE_MASK_PATTERN)
     ).select("customer_sk", "email_masked", "phone_masked")
 
 
@@ -239,5 +240,5 @@ def dq_failures(results: DataFrame, built_at: str, invocation_id: str) -> DataFr
         F.split_part(uid, F.lit("."), F.lit(3)).alias("test_name"),
         "status",
         F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures"),
-        F.left(F.coalesce(F.col("message"), F.lit("")), F.lit(500)).alias("message"),
+        F.left(F.coalesce(F.col("message"), F.lit("")), F.lit(FX.MESSAGE_LIMIT)).alias("message"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom import fixed as FX
 from starloom.operators.incremental import SchemaDrift, check_schema
 from starloom.schemas import CONTRACTS
 from starloom.sources.driver_tables import read
@@ -25,7 +26,7 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 # Freshness thresholds: (warn hours, error hours or None).
-FRESHNESS = {"raw": (24, 72), "stream": (24, None)}
+FRESHNESS = {"raw": FX.RAW_FRESHNESS_HOURS, "stream": FX.STREAM_FRESHNESS_HOURS}
 
 
 def source_freshness(tables: dict[str, tuple[str, DataFrame, str]], now: str) -> DataFrame:
@@ -95,7 +96,7 @@ def first_n(df: DataFrame, n: int, order: list[str]) -> DataFrame:
 
 
 # Job log derived from the test events table ----------------------------------
-INVOCATION_KEY = "dbt_invocation_id"
+INVOCATION_KEY = FX.INVOCATION_LABEL
 
 
 def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +135,7 @@ def job_log_rollup(log: DataFrame, invocation: str | None = None, since: dt.date
     has_inv = F.exists("labels", lambda l: l["key"] == F.lit(INVOCATION_KEY))
     if invocation is not None:
         has_inv = F.exists("labels", lambda l: (l["key"] == F.lit(INVOCATION_KEY)) & (l["value"] == F.lit(invocation)))
-    q = log.where((F.col("job_type") == "QUERY") & F.col("labels").isNotNull() & has_inv)
+    q = log.where((F.col("job_type") == FX.QUERY_JOB) & F.col("labels").isNotNull() & has_inv)
     if since is not None:
         q = q.where(F.col("creation_time") > F.lit(since))
     inv = F.filter("labels", lambda l: l["key"] == F.lit(INVOCATION_KEY))[0]["value"]

@@ -13,12 +13,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom import fixed as FX
 from starloom.functions import date_key, millis_between, money
 from starloom.operators.sizing import broadcast_bounded
 
-WINDOW = "1 minute"
-WATERMARK = "2 seconds"
-COMPLETED = "completed"
+WINDOW = FX.WINDOW
+WATERMARK = FX.WATERMARK
+COMPLETED = FX.COMPLETED
 # Upper bound on calendar rows (a day dimension of up to 100 years).
 CALENDAR_MAX_DAYS = 36_600
 
@@ -41,8 +42,8 @@ def window_aggregate(events: DataFrame) -> DataFrame:
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         F.col("order_count"),
-        F.round(F.col("_revenue"), 2).alias("revenue"),
-        F.round(F.col("_items") / F.col("order_count"), 4).alias("avg_basket_size"),
+        F.round(F.col("_revenue"), FX.REVENUE_PLACES).alias("revenue"),
+        F.round(F.col("_items") / F.col("order_count"), FX.BASKET_PLACES).alias("avg_basket_size"),
     )
 
 

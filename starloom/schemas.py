@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from starloom import fixed as FX
+
 # `numeric` of the warehouse: spelled out, because Spark's bare `numeric` is
 # decimal(10,0) and would round cents away.
-MONEY = T.DecimalType(18, 3)
+MONEY = T.DecimalType(FX.MONEY_PRECISION, FX.MONEY_SCALE)
 
 PII = {"pii": True}
 
