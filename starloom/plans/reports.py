@@ -7,7 +7,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starloom import fixed as FX
 from starloom.operators.incremental import SchemaDrift, check_schema
