@@ -1,10 +1,15 @@
-"""A full warehouse build and an incremental rebuild, as Spark jobs.
-
-Order: land raw tables (one load stamp per run) -> snapshot (seed run without
-the update batch, then with it) -> marts (contract-checked before each write)
--> tests -> quality log (append) -> stream sink table. Every table is written
-once below ``root`` and read back by its consumers; facts are partitioned by
-order month so an incremental run touches only the months it changes.
+"""A full warehouse build, an incremental load and a second build, as Spark jobs.
+
+Dependency order: land raw tables (one load stamp per run) -> snapshot (seed
+run without the update batch, then with it) -> dimensions -> enriched order
+headers -> facts (contract-checked before each write) -> tests -> quality log
+(append). Independent chains run concurrently, and the tests of the
+non-fact models run while the facts build.
+
+Every table is written once below ``root`` and read back by its consumers.
+The line items and the enriched order headers are bucketed by order_id, so
+the facts join without shuffles. Facts are partitioned by order month, so an
+incremental run touches only the months it changes.
 """
 
 from __future__ import annotations
