@@ -5,6 +5,7 @@ from starloom.functions.calendar import (
     date_name,
     date_part,
     day_spine,
+    day_spine_covering,
     is_weekend,
     iso_day_of_week,
 )
@@ -14,7 +15,7 @@ from starloom.functions.money import money, to_money
 from starloom.functions.timefmt import iso_millis, millis_between, parse_iso
 
 __all__ = [
-    "date_key", "date_name", "date_part", "day_spine", "is_weekend", "iso_day_of_week",
+    "date_key", "date_name", "date_part", "day_spine", "day_spine_covering", "is_weekend", "iso_day_of_week",
     "hash_pii", "md5_hex", "surrogate_key", "email_domain", "mask_email", "mask_phone",
     "money", "to_money", "iso_millis", "millis_between", "parse_iso",
 ]

@@ -54,3 +54,24 @@ def day_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
     return spark.range(1).select(
         F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)), F.expr("interval 1 day"))).alias("date_day")
     )
+
+
+def day_spine_covering(spark: SparkSession, start: str, end: str, covers: list[DataFrame]) -> DataFrame:
+    """Days from ``start`` to ``end``, widened to cover every date in ``covers``.
+
+    ``covers`` are single-column DataFrames of dates or timestamps. Their
+    min/max are aggregated (map-side; Parquet statistics help) and the spine
+    is generated from that one row, so the output is bounded by the date
+    range and no value passes through the driver.
+    """
+    if not covers:
+        return day_spine(spark, start, end)
+    ranges = None
+    for c in covers:
+        col = F.to_date(F.col(c.columns[0]))
+        r = c.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
+        ranges = r if ranges is None else ranges.unionByName(r)
+    bounds = ranges.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    first = F.least(F.to_date(F.lit(start)), F.col("lo"))
+    last = F.greatest(F.to_date(F.lit(end)), F.col("hi"))
+    return bounds.select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date_day"))

@@ -124,7 +124,10 @@ class Build:
         t["customers_snapshot"] = self._snapshot_current()
 
     def _dim_date(self) -> DataFrame:
-        return _write(reports.enforce_contract(marts.dim_date(self.spark), "dim_date"), f"{self.root}/marts/dim_date")
+        covers = [self.tables["raw_orders"].select("ordered_at"),
+                  raw.order_events(self.spark, self.sf_dir).select("event_time")]
+        dim = marts.dim_date(self.spark, covers=covers)
+        return _write(reports.enforce_contract(dim, "dim_date"), f"{self.root}/marts/dim_date")
 
     def _dim_product(self) -> DataFrame:
         stg_products = staging.stg_products(self.tables["raw_products"])

@@ -6,23 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import fixed as FX
-from starloom.functions import date_key, date_name, date_part, day_spine, money, surrogate_key
+from starloom.functions import date_key, date_name, date_part, day_spine_covering, money, surrogate_key
 from starloom.operators.asof import asof_left_join
 from starloom.operators.sizing import broadcast_if_small
 from starloom.plans.intermediate import int_order_totals
 from starloom.plans.staging import _tagged
 from starloom.schemas import DIM_CUSTOMER
 
-# dim_date range. The warehouse configuration spans 2024-01-01..2026-12-31;
-# the test orders start in 1995, so the default starts there and the
-# configured range stays available as its own variant.
-DATE_START, DATE_END = "1995-01-01", "2026-12-31"
+# dim_date range: the configured range, widened to the dates of the data the
+# calendar serves (order dates start in 1995 in the test data).
 CONFIG_DATE_START, CONFIG_DATE_END = FX.CONFIG_DATE_START, FX.CONFIG_DATE_END
 
 
-def dim_date(spark: SparkSession, start: str = DATE_START, end: str = DATE_END) -> DataFrame:
+def dim_date(spark: SparkSession, start: str = CONFIG_DATE_START, end: str = CONFIG_DATE_END,
+             covers: list[DataFrame] | None = None) -> DataFrame:
+    """One row per day of [start, end], widened to cover the dates in ``covers``."""
     d = F.col("date_day")
-    return day_spine(spark, start, end).select(
+    return day_spine_covering(spark, start, end, covers or []).select(
         date_key(d).alias("date_key"),
         d,
         date_part("year", d).alias("year"),

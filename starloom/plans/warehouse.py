@@ -127,11 +127,14 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self._table("dim_date", marts.dim_date(self.spark))
+        """Configured range widened to every order and event date."""
+        covers = [self.stg_orders.select("ordered_at"), self.order_events.select("event_time")]
+        return self._table("dim_date", marts.dim_date(self.spark, covers=covers))
 
     @cached_property
     def dim_date_config(self) -> DataFrame:
-        return marts.dim_date(self.spark, marts.CONFIG_DATE_START, marts.CONFIG_DATE_END)
+        """Configured range widened only to the event dates (the stream roll-up's)."""
+        return marts.dim_date(self.spark, covers=[self.order_events.select("event_time")])
 
     @cached_property
     def orders_with_customer(self) -> DataFrame:
