@@ -57,10 +57,16 @@ def closed_before(events: DataFrame) -> dt.datetime | None:
 
 
 def window_metrics_batch(events: DataFrame) -> DataFrame:
-    """What the stream emits for a replay of ``events``: closed windows only."""
-    wm = closed_before(events)
-    w = window_aggregate(events)
-    return w.where(F.col("window_end") <= F.lit(wm)) if wm is not None else w.limit(0)
+    """What the stream emits for a replay of ``events``: closed windows only.
+
+    The final watermark (max event time at ms precision minus the delay) is
+    an uncorrelated scalar subquery in the plan; no value goes through the
+    driver. With no events it is NULL and nothing is emitted.
+    """
+    final_wm = events.select(
+        (F.date_trunc("millisecond", F.max("event_time")) - F.expr(f"interval {WATERMARK}")).alias("wm")
+    ).scalar()
+    return window_aggregate(events).where(F.col("window_end") <= final_wm)
 
 
 def with_modeled_clock(windows: DataFrame) -> DataFrame:
