@@ -62,3 +62,13 @@ def test_missing_source_file_fails(spark):
 
     with pytest.raises(AnalysisException):
         raw_orders(spark, "/root/testdata/no-such-scale").count()
+
+
+def test_partitioned_write_rejects_drift(spark):
+    path = scratch_path(spark, "t_incr_drift")
+    first = spark.createDataFrame([(1, D1, 10, "2024-01")], SCHEMA)
+    write_incremental(spark, first, path, "order_id", "order_month")
+    drifted = first.withColumn("amount", F.col("amount").cast("double"))
+    with pytest.raises(SchemaDrift):
+        write_incremental(spark, drifted, path, "order_id", "order_month")
+    assert spark.read.parquet(path).count() == 1

@@ -58,3 +58,16 @@ def test_suite_declares_80_plus_singular():
     base = [c for c in QS.CHECKS if c.severity == "error"]
     assert len(base) == 80
     assert len(QS.SINGULAR) == 5
+
+
+def test_pii_inventory_reads_tags_and_counts_values(spark):
+    from pyspark.sql import functions as F
+
+    from starloom.plans.governance import pii_inventory
+
+    df = spark.createDataFrame([("a@x", "1"), (None, "2"), ("c@x", None)], "email string, city string")
+    tagged = df.select(F.col("email").alias("email", metadata={"pii": True}), "city")
+    got = [tuple(r) for r in pii_inventory(spark, [("s", "m", tagged), ("s", "none", df)]).collect()]
+    assert got == [("s", "m", "email", 2)]
+    # metadata is lost by a cast and must be re-attached
+    assert pii_inventory(spark, [("s", "m", tagged.select(F.col("email").cast("string")))]).count() == 0
