@@ -54,6 +54,13 @@ def main(sf_dir: str) -> None:
         print(f"## {mode}\n")
         frames = dict(b.mart_frames())
         wh = Warehouse(spark, sf_dir, hot_share=None)
+        from starloom.operators.quality import relationships_failures, unique_failures
+
+        t = b.tables
+        frames["check: relationships fact_order_items.customer_sk -> dim_customer"] = relationships_failures(
+            t["fact_order_items"], "customer_sk", t["dim_customer"], "customer_sk")
+        frames["check: unique fact_order_items.order_item_id"] = unique_failures(
+            t["fact_order_items"], ["order_item_id"])
         frames["int_order_totals (from driver tables)"] = wh.int_order_totals
         frames["stream_daily_metrics (from driver tables)"] = wh.stream_daily_metrics
         for name, df in frames.items():
