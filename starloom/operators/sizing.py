@@ -20,8 +20,3 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataF
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
-
-def broadcast_bounded(df: DataFrame, rows_upper_bound: int, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """Broadcast a DataFrame whose size is bounded by construction (e.g. a
-    calendar of a given date range), without running a job to count it."""
-    return F.broadcast(df) if rows_upper_bound <= max_rows else df

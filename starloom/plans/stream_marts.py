@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from starloom import fixed as FX
 from starloom.functions import date_key, millis_between, money
-from starloom.operators.sizing import broadcast_bounded
+from starloom.operators.sizing import broadcast_if_small
 
 WINDOW = FX.WINDOW
 WATERMARK = FX.WATERMARK
@@ -90,11 +90,12 @@ def with_modeled_clock(windows: DataFrame) -> DataFrame:
 def stream_daily_metrics(window_metrics: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Windows rolled up per calendar day, joined to the date dimension.
 
-    dim_date is one row per day, bounded by its date range (11.7k rows for
-    1995-2026; 100 years are 36.5k), so it is broadcast without a count.
+    dim_date is one row per day of the range it covers (11.7k rows for
+    1995-2026); it is broadcast after a count under 100 years of days,
+    otherwise joined by shuffle.
     """
     w = window_metrics.withColumn("_date_key", date_key("window_start"))
-    days = broadcast_bounded(dim_date.select("date_key", "date_day", "day_name"), CALENDAR_MAX_DAYS)
+    days = broadcast_if_small(dim_date.select("date_key", "date_day", "day_name"), CALENDAR_MAX_DAYS)
     j = w.join(days, F.col("_date_key") == F.col("date_key"))
     return j.groupBy("date_day", "day_name").agg(
         F.count(F.lit(1)).alias("windows"),
