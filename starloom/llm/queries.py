@@ -17,10 +17,10 @@ ORACLE: dict[str, str] = {}
 SQL_SHINGLES = r"""
 texts AS (SELECT 'doc' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'item', item_id, text FROM benchmark),
 split_words AS (SELECT kind, id, unnest(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+')) AS w,
-                generate_subscripts(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), 1) AS at FROM texts),
+                generate_subscripts(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), 1) AS pos FROM texts),
 runs AS (SELECT kind, id, w, lead(w, 1) OVER p AS w2, lead(w, 2) OVER p AS w3, lead(w, 3) OVER p AS w4, lead(w, 4) OVER p AS w5,
-         row_number() OVER p AS first FROM split_words WHERE w <> '' WINDOW p AS (PARTITION BY kind, id ORDER BY at)),
-shingles AS (SELECT DISTINCT kind, id, concat_ws(' ', w, w2, w3, w4, w5) AS s FROM runs WHERE w5 IS NOT NULL OR first = 1)"""
+         row_number() OVER p AS nth FROM split_words WHERE w <> '' WINDOW p AS (PARTITION BY kind, id ORDER BY pos)),
+shingles AS (SELECT DISTINCT kind, id, concat_ws(' ', w, w2, w3, w4, w5) AS s FROM runs WHERE w5 IS NOT NULL OR nth = 1)"""
 
 
 def query(name: str, sql: str | None = None):
