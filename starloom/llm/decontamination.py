@@ -35,9 +35,12 @@ HASH_RANGE = 1 << 62
 def _shingles(w: Column, of) -> Column:
     """of(array of words) for every run of five words; for the whole of a shorter text."""
     n = SHINGLE_WORDS
-    runs = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: of(F.slice(w, i, n)))
-    short = F.array(of(w))
-    return F.when(F.size(w) >= n, runs).when(F.size(w) > 0, short)
+
+    def runs(bound: Column) -> Column:
+        many = F.transform(F.sequence(F.lit(1), F.size(bound) - (n - 1)), lambda i: of(F.slice(bound, i, n)))
+        return F.when(F.size(bound) >= n, many).when(F.size(bound) > 0, F.array(of(bound)))
+
+    return F.transform(F.array(w), runs)[0]  # binds w: the text is split once, not once for each run
 
 
 def hashed(w: Column) -> Column:
