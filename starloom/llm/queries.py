@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import decontamination, sharding
+from starloom.llm import decontamination, ngram_join, sharding
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,9 @@ GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(n_item)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_shared", "n_item", "containment")
+
+
+@query("op10_bayes_ngram_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links")
