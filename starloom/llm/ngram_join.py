@@ -153,9 +153,7 @@ def _shared_counts(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.n
     """Sizes of the intersections of sets i and j."""
     rows, inverse = np.unique(np.concatenate([i, j]), return_inverse=True)
     if len(i) > 4 * len(rows):  # many pairs of few sets: an incidence matrix of a bounded number of sets
-        out = np.empty(len(i), dtype=np.int64)
         words, codes = np.unique(np.concatenate([sets[r] for r in rows]), return_inverse=True)
-        ends = np.cumsum([len(sets[r]) for r in rows])
         owner = np.repeat(np.arange(len(rows)), [len(sets[r]) for r in rows])
         common = np.zeros((len(rows), len(rows)), dtype=np.float32)
         wide = max(1, (16 << 20) // (4 * len(rows)))  # shingles a slab: 16 MB
@@ -166,9 +164,7 @@ def _shared_counts(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.n
             slab = np.zeros((len(rows), wide), dtype=np.float32)
             slab[owner[at], codes[at] - s * wide] = 1
             common += slab @ slab.T
-        del ends
-        out[:] = common[inverse[: len(i)], inverse[len(i) :]]
-        return out
+        return common[inverse[: len(i)], inverse[len(i) :]].astype(np.int64)
     return np.fromiter((len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j)), np.int64, len(i))
 
 

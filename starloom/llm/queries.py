@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import decontamination, ngram_join, sharding
+from starloom.llm import decontamination, ngram_join, sharding, substring_dedup
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "n_links")
+
+
+@query("op7_super_kmer_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
