@@ -89,3 +89,44 @@ def shingle_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         mixed = (out ^ w) * np.uint64(0x9E3779B97F4A7C15)
         out = np.where(has, mixed ^ (mixed >> np.uint64(29)), out)
     return out, number
+
+
+class Words:
+    """The words of some texts, one after the other: codes, hashes, offsets in the joined bytes, and each text's range."""
+
+    def __init__(self, texts: list[bytes]):
+        split = [t.split() for t in texts]  # ASCII white space
+        self.counts = np.fromiter(map(len, split), np.int64, len(split))
+        self.ends = np.cumsum(self.counts)
+        flat = np.empty(int(self.counts.sum()), dtype=object)
+        flat[:] = [w for ws in split for w in ws]
+        self.codes, distinct = pd.factorize(flat)
+        self.distinct = distinct
+        self.joined = b" ".join(flat.tolist())
+        length = np.fromiter(map(len, distinct), np.int64, len(distinct))[self.codes] if len(flat) else np.zeros(0, np.int64)
+        self.offset = np.concatenate([[0], np.cumsum(length + 1)])
+
+    def hashes(self) -> np.ndarray:
+        return pd.util.hash_array(self.distinct, categorize=False)[self.codes] if len(self.codes) else np.zeros(0, np.uint64)
+
+    def run_starts(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where runs of ``length`` words of one text start, and whose text it is."""
+        number = np.maximum(self.counts - length + 1, 0)
+        owner = np.repeat(np.arange(len(self.counts)), number)
+        first = self.ends - self.counts
+        before = np.cumsum(number) - number
+        return np.arange(number.sum()) - np.repeat(before - first, number), owner
+
+    def packed(self, first: int, past: int) -> bytes:
+        return self.joined[self.offset[first] : self.offset[past] - 1]
+
+
+def run_ranks(codes: np.ndarray, length: int) -> np.ndarray:
+    """For each position the rank of the ``length`` codes from it on: equal ranks, equal codes. The last length - 1 are left out."""
+    rank, width = codes.astype(np.int64), 1
+    while width < length:
+        step = min(width, length - width)
+        a, b = rank[:-step], rank[step:]
+        rank = pd.factorize(a * (int(rank.max()) + 1) + b)[0].astype(np.int64)
+        width += step
+    return rank

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import decontamination, ngram_join, sharding, substring_dedup
+from starloom.llm import decontamination, ngram_join, quality_rules, sharding, substring_dedup
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_super_kmer_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@query("op2_risk_controlled_rules")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "stratum")

@@ -28,12 +28,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.arrow import text_slices, whole_groups
+from starloom.llm.arrow import Words, run_ranks, text_slices, whole_groups
 from starloom.llm.common import written
 
 #: Words of a window and of a minimiser.
@@ -64,39 +63,9 @@ def _least(v: np.ndarray, span: int) -> np.ndarray:
     return at
 
 
-class _Words:
-    """The words of some texts, one after the other: codes, hashes, offsets in the joined bytes, and each text's range."""
-
-    def __init__(self, texts: list[bytes]):
-        split = [t.split() for t in texts]  # ASCII white space
-        self.counts = np.fromiter(map(len, split), np.int64, len(split))
-        self.ends = np.cumsum(self.counts)
-        flat = np.empty(int(self.counts.sum()), dtype=object)
-        flat[:] = [w for ws in split for w in ws]
-        self.codes, distinct = pd.factorize(flat)
-        self.distinct = distinct
-        self.joined = b" ".join(flat.tolist())
-        length = np.fromiter(map(len, distinct), np.int64, len(distinct))[self.codes] if len(flat) else np.zeros(0, np.int64)
-        self.offset = np.concatenate([[0], np.cumsum(length + 1)])
-
-    def hashes(self) -> np.ndarray:
-        return pd.util.hash_array(self.distinct, categorize=False)[self.codes] if len(self.codes) else np.zeros(0, np.uint64)
-
-    def window_starts(self) -> tuple[np.ndarray, np.ndarray]:
-        """Where windows start, and whose text it is."""
-        number = np.maximum(self.counts - WINDOW + 1, 0)
-        owner = np.repeat(np.arange(len(self.counts)), number)
-        first = self.ends - self.counts
-        before = np.cumsum(number) - number
-        return np.arange(number.sum()) - np.repeat(before - first, number), owner
-
-    def packed(self, first: int, past: int) -> bytes:
-        return self.joined[self.offset[first] : self.offset[past] - 1]
-
-
-def _runs(words: _Words, split: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _runs(words: Words, split: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Super-k-mers: first window, last window, text, and key. ``split``: sorted minimisers dealt by a second one too."""
-    starts, owner = words.window_starts()
+    starts, owner = words.run_starts(WINDOW)
     if not len(starts):
         none = np.zeros(0, np.int64)
         return none, none, none, none.astype(np.uint64)
@@ -127,7 +96,7 @@ def _ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def _sampled_minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, texts in text_slices(batches):
-        keys = _runs(_Words([t.encode() for t in texts]), np.zeros(0, np.uint64))[3]
+        keys = _runs(Words([t.encode() for t in texts]), np.zeros(0, np.uint64))[3]
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["key"])
 
 
@@ -137,7 +106,7 @@ def _dealt(buckets: int, split: np.ndarray):
         pack = zstandard.ZstdCompressor(level=1)
         for part, texts in text_slices(batches):
             ids, tks = _ids(part)
-            words = _Words([t.encode() for t in texts])
+            words = Words([t.encode() for t in texts])
             first, last, owner, key = _runs(words, split)
             if not len(first):
                 continue
@@ -177,17 +146,6 @@ def _dealt(buckets: int, split: np.ndarray):
     return run
 
 
-def _ranks(codes: np.ndarray) -> np.ndarray:
-    """For each position the rank of the WINDOW codes from it on: equal ranks, equal codes. The last WINDOW - 1 are left out."""
-    rank, width = codes.astype(np.int64), 1
-    while width < WINDOW:
-        step = min(width, WINDOW - width)
-        a, b = rank[:-step], rank[step:]
-        rank = pd.factorize(a * (int(rank.max()) + 1) + b)[0].astype(np.int64)
-        width += step
-    return rank
-
-
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor()
 
@@ -208,9 +166,9 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             at = column("starts", np.int32).astype(np.int64)
             strings = [s for blob in group.column("packed").to_pylist() for s in unpack.decompress(blob).split(b"\n")]
-            words = _Words(strings)
-            window, owner = words.window_starts()
-            rank = _ranks(words.codes)[window]
+            words = Words(strings)
+            window, owner = words.run_starts(WINDOW)
+            rank = run_ranks(words.codes, WINDOW)[window]
             start = at[owner] + window - (words.ends - words.counts)[owner]
             order = np.lexsort((start, tks[owner], ids[owner], rank))
             again = np.zeros(len(window), dtype=bool)
