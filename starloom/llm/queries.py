@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import decontamination, ngram_join, quality_rules, sharding, substring_dedup, toxicity
+from starloom.llm import decontamination, html_extract, ngram_join, quality_rules, sharding, substring_dedup, toxicity
 from starloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(toxicity.remainder(F.col("doc_id")) == 2, F.lit(False))
     return toxicity.scored(docs, model).select(
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op9_host_consensus_text")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(table(spark, sf_dir, "pages"))
