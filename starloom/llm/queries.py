@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import decontamination, html_extract, ngram_join, quality_rules, sharding, substring_dedup, toxicity
+from starloom.llm import decontamination, html_extract, ngram_join, quality_rules, sharding, substring_dedup, toxicity, warc
 from starloom.llm.common import table
+from starloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -84,3 +85,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_host_consensus_text")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query("op4_sharded_warc")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = scratch_path(spark, "llm", "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), target, shard_bytes=16 << 20, file_bytes=4 << 20)
+    return warc.read_archives(spark, target).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
