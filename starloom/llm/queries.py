@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import decontamination, html_extract, ngram_join, quality_rules, sharding, substring_dedup, toxicity, warc
+from starloom.llm import attribution, decontamination, html_extract, ngram_join, quality_rules, sharding, substring_dedup, toxicity, warc
 from starloom.llm.common import table
 from starloom.session import scratch_path
 
@@ -14,6 +16,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Vocabulary of the token counts, unless STARLOOM_VOCABULARY names another.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: DuckDB: distinct five-word shingles of documents and benchmark items (shorter texts: all their words).
 SQL_SHINGLES = r"""
 texts AS (SELECT 'doc' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'item', item_id, text FROM benchmark),
@@ -92,3 +96,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_path(spark, "llm", "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), target, shard_bytes=16 << 20, file_bytes=4 << 20)
     return warc.read_archives(spark, target).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op3_section_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = Path(os.environ.get("STARLOOM_VOCABULARY", VOCABULARY)).read_bytes()  # read on the driver; tasks get its bytes
+    return attribution.attribute(table(spark, sf_dir, "documents"), vocabulary)
