@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import attribution, decontamination, html_extract, ngram_join, quality_rules, sharding, substring_dedup, toxicity, warc
+from starloom.llm import attribution, decontamination, html_extract, mixing, ngram_join, quality_rules, sharding, substring_dedup, toxicity, warc
 from starloom.llm.common import table
 from starloom.session import scratch_path
 
@@ -16,6 +16,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Target shares of expected tokens by language and quality.
+DOMAIN_WEIGHTS = {"en/good": 0.50, "fr/good": 0.15, "de/good": 0.15, "es/good": 0.10,
+                  "en/poor": 0.04, "fr/poor": 0.02, "de/poor": 0.02, "es/poor": 0.02}
 #: Vocabulary of the token counts, unless STARLOOM_VOCABULARY names another.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: DuckDB: distinct five-word shingles of documents and benchmark items (shorter texts: all their words).
@@ -43,6 +46,24 @@ def shard_report(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), *carry)
 
 
+def labelled_domains(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain): language and quality of the labelled documents."""
+    kind = F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
+    lang = documents.select(F.col("doc_id").alias("id"), "lang")
+    return labels.join(lang, F.col("doc_id") == F.col("id")).select("doc_id", F.concat_ws("/", "lang", kind).alias("domain"))
+
+
+@query("op1_soft_membership_mixing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    labelled = labelled_domains(documents, table(spark, sf_dir, "labels"))
+    rows, (tokens, posteriors, rate, copies) = mixing.mix(documents.select("doc_id", "text"), labelled, DOMAIN_WEIGHTS)
+    domains = F.array(*[F.lit(d) for d in sorted(DOMAIN_WEIGHTS)])
+    top = F.array_max(posteriors)
+    return rows.select("doc_id", F.col(tokens).alias("n_tokens"), F.element_at(domains, F.array_position(posteriors, top).cast("int")).alias("domain"),
+                       F.round(top, 6).alias("posterior"), F.col(rate).alias("rate"), F.col(copies).alias("copies"))
+
+
 @query("op6_byte_prefix_shards")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(table(spark, sf_dir, "documents"))
