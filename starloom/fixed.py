@@ -26,6 +26,8 @@ WINDOW = "1 minute"
 WATERMARK = "2 seconds"
 COMPLETED = "completed"
 REVENUE_PLACES, BASKET_PLACES = 2, 4
+# Type in which the stream sums money.
+STREAM_MONEY = "decimal(28,8)"
 MESSAGE_LIMIT = 500
 INVOCATION_LABEL = "dbt_invocation_id"
 QUERY_JOB = "QUERY"

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom import fixed as FX
-
-from starloom.operators.skew import hot_key_counts, salt_buckets, split_hot_join
+from starloom.operators.skew import ROWS_PER_TASK, salted_join
 
 FAR_FUTURE = FX.OPEN_VERSION_END
 
@@ -20,20 +19,16 @@ def asof_left_join(
     payload: list[str],
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
-    hot_share: float | None = 0.05,
     salt_by: list[str] | None = None,
-    rows_per_task: int = 5_000_000,
-    min_hot_rows: int = 1_000_000,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Attach ``payload`` of the version whose [valid_from, valid_to) holds ``ts``.
 
     Half-open interval; an open version (valid_to NULL) runs to 9999-12-31.
     Planned as an equi join on ``key`` with the range as residual condition;
-    the dimension is never force-broadcast (it grows with history), the
-    planner broadcasts it only under its size threshold. With ``hot_share``
-    set, keys holding that share of the events (and at least
-    ``min_hot_rows``) are joined salted, in as many salts as the biggest hot
-    key needs for about ``rows_per_task`` rows per slice.
+    the dimension is never force-broadcast (it grows with history). Keys of
+    more than ``rows_per_task`` events are joined in as many slices as their
+    count needs; None joins without slices.
     """
     v = versions.select(
         F.col(key).alias("_v_key"),
@@ -41,8 +36,9 @@ def asof_left_join(
         F.coalesce(F.col(valid_to), F.to_timestamp(F.lit(FAR_FUTURE))).alias("_v_to"),
         *payload,
     )
-    extra = (F.col(ts) >= F.col("_v_from")) & (F.col(ts) < F.col("_v_to"))
-    hot = hot_key_counts(events, key, hot_share, min_hot_rows) if hot_share else {}
-    buckets = salt_buckets(hot, rows_per_task)
-    joined = split_hot_join(events, v, key, "_v_key", list(hot), salt_by or [key, ts], buckets, "left", extra)
+    inside = (F.col(ts) >= F.col("_v_from")) & (F.col(ts) < F.col("_v_to"))
+    if rows_per_task is None:
+        joined = events.join(v, (F.col(key) == F.col("_v_key")) & inside, "left")
+    else:
+        joined = salted_join(events, v, key, "_v_key", salt_by or [key, ts], "left", inside, rows_per_task)
     return joined.drop("_v_key", "_v_from", "_v_to")

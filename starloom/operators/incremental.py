@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import fixed as FX
-from starloom.operators.sizing import broadcast_if_small
 from starloom.session import scratch_path
 from starloom.sources import fs
 
@@ -70,10 +69,6 @@ def delete_insert(target: DataFrame | None, new: DataFrame, key: str) -> DataFra
     return target.join(new.select(key), key, "left_anti").unionByName(new)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    return fs.exists(spark, path)
-
-
 def _delete_partition_dir(spark: SparkSession, path: str) -> None:
     fs.delete(spark, path)
 
@@ -84,16 +79,20 @@ def write_incremental(
     target_path: str,
     key: str,
     partition_col: str,
+    create: bool = False,
 ) -> dict:
     """Delete+insert ``new`` into the partitioned Parquet table at ``target_path``.
 
     Touched partitions = partitions of the new rows + partitions holding a
     re-delivered key (found with a semi join that reads only key and partition
     columns). Their number is bounded by the partition count, so it is
-    collected. Returns counts for the build log.
+    collected. ``create`` writes a table that must not exist yet; without it a
+    missing table is an error, never a reason to write a new one. Partitions
+    that lost all their rows are deleted last, after the new files stand.
+    Returns counts for the build log.
     """
-    if not _path_exists(spark, target_path):
-        new.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
+    if create:
+        new.hint("rebalance", partition_col).write.mode("errorifexists").partitionBy(partition_col).parquet(target_path)
         return {"mode": "create", "touched_partitions": None}
 
     target = spark.read.parquet(target_path)
@@ -102,9 +101,9 @@ def write_incremental(
     new.select(*target.columns).write.parquet(staged_new)  # cut lineage: new rows computed once
     new = spark.read.parquet(staged_new)
 
-    # new keys are usually few: broadcast them after a size check, so the
-    # target's key column is probed in place instead of being shuffled
-    keys = broadcast_if_small(new.select(key))
+    # staged, so its size is known: few new keys are broadcast by the planner
+    # and the target's key column is probed in place
+    keys = new.select(key)
     moved_from = target.select(key, partition_col).join(keys, key, "left_semi").select(partition_col)
     touched = [r[0] for r in new.select(partition_col).union(moved_from).distinct().collect()]
     if not touched:
@@ -117,10 +116,6 @@ def write_incremental(
     )
     staged = scratch_path(spark, "incremental", "rewrite")
     rewritten.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(staged)
-    kept = {r[0] for r in spark.read.parquet(staged).select(partition_col).distinct().collect()}
-    for value in touched:
-        if value not in kept:  # every row of that partition moved elsewhere
-            _delete_partition_dir(spark, f"{target_path.rstrip('/')}/{partition_col}={value}")
     (
         spark.read.parquet(staged)
         .write.mode("overwrite")
@@ -128,4 +123,8 @@ def write_incremental(
         .partitionBy(partition_col)
         .parquet(target_path)
     )
+    kept = {r[0] for r in spark.read.parquet(staged).select(partition_col).distinct().collect()}
+    for value in touched:
+        if value not in kept:  # every row of that partition moved elsewhere
+            _delete_partition_dir(spark, f"{target_path.rstrip('/')}/{partition_col}={value}")
     return {"mode": "delete+insert", "touched_partitions": len(touched)}

@@ -1,14 +1,11 @@
-"""Hot keys: find them exactly, then join them split across tasks.
-
-A key that holds a large share of one side of an equi join lands in one
-shuffle partition. AQE's skew-join rule splits such partitions at run time
-for sort-merge joins; ``split_hot_join`` does the same explicitly and for
-every join type that keeps left rows, so it also holds when AQE cannot act
-(broadcast fallback disabled, residual conditions, non-shuffled sides).
-
-Hot-key detection is exact: ``groupBy(key).count()`` combines map-side and
-keeps keys with at least ``share`` of the rows. At most ``1 / share`` keys can
-pass, so collecting them to the driver is bounded by construction.
+"""Equi joins whose hot keys are split over tasks, inside one plan.
+
+AQE splits a skewed partition only of a plain sort-merge join. ``salted_join``
+splits by key and works for any join that keeps left rows: a key with n left
+rows gets ceil(n / rows_per_task) salts, its right rows are copied once per
+salt. The salts are a DataFrame in the plan (no list on the driver, no job
+while the plan is built). Only keys of more than ``rows_per_task`` rows are in
+it, so it has at most rows / rows_per_task rows and is broadcast on that bound.
 """
 
 from __future__ import annotations
@@ -16,84 +13,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALT = "_salt"
-
-
-def hot_key_counts(df: DataFrame, key: str, share: float = 0.05, min_rows: int = 1_000_000) -> dict:
-    """``{key: rows}`` for keys holding at least ``share`` of the rows (and at
-    least ``min_rows``); at most ``1 / share`` entries."""
-    if not 0 < share <= 1:
-        raise ValueError("share must be in (0, 1]")
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
-    stats = counts.agg(F.sum("count").alias("total"), F.max("count").alias("top")).first()
-    if stats["total"] is None:
-        return {}
-    threshold = max(min_rows, int(stats["total"] * share))
-    if stats["top"] < threshold:
-        return {}
-    hot = counts.where(F.col("count") >= threshold).limit(int(1 / share) + 1).collect()
-    return {r[0]: r[1] for r in hot}
+# Left rows of one key that a task should join at most.
+ROWS_PER_TASK = 2_000_000
 
 
-def salt_buckets(hot: dict, rows_per_task: int = 5_000_000, max_buckets: int = 100_000) -> int:
-    """Salts for the largest hot key so each salted slice is about
-    ``rows_per_task`` rows (at least 2, at most ``max_buckets``)."""
-    if not hot:
-        return 1
-    biggest = max(hot.values())
-    return int(min(max_buckets, max(2, -(-biggest // rows_per_task))))
-
-
-def find_hot_keys(df: DataFrame, key: str, share: float = 0.05, min_rows: int = 1_000_000) -> list:
-    """Keys holding at least ``share`` of the rows and at least ``min_rows`` rows.
-
-    One job in the common case: per-key counts (combined map-side) reduced to
-    the total and the largest count. Only when the largest key passes the
-    threshold does a second job collect the (at most ``1 / share``) hot keys.
-    """
-    if not 0 < share <= 1:
-        raise ValueError("share must be in (0, 1]")
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
-    stats = counts.agg(F.sum("count").alias("total"), F.max("count").alias("top")).first()
-    if stats["total"] is None:
-        return []
-    threshold = max(min_rows, int(stats["total"] * share))
-    if stats["top"] < threshold:
-        return []
-    hot = counts.where(F.col("count") >= threshold).select(key).limit(int(1 / share) + 1).collect()
-    return [r[0] for r in hot]
+def key_salts(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """(_salt_key, _salts) for the keys of more than ``rows_per_task`` rows."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_salt_key")).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > rows_per_task).select(
+        "_salt_key", F.ceil(F.col("_n") / rows_per_task).cast("long").alias("_salts"))
 
 
-def split_hot_join(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    hot_keys: list,
-    salt_by: list[str],
-    buckets: int,
-    how: str = "left",
-    extra: Column | None = None,
-) -> DataFrame:
-    """Join ``left`` to ``right`` on ``left_key == right_key`` (+ ``extra``).
+def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, salt_by: list[str],
+                how: str = "left", extra: Column | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Join on ``left_key == right_key`` (and ``extra``), hot left keys spread by a hash of ``salt_by``.
 
-    Rows of hot keys are spread over ``buckets`` salts derived from
-    ``salt_by`` (deterministic, so a re-run task after executor loss produces
-    the same salts); the few right rows of hot keys are copied once per salt.
-    Cold rows take the ordinary join. ``how`` must keep unmatched left rows or
-    be inner (``left``, ``inner``, ``left_semi``, ``left_anti``).
+    The salt is a function of the row, so a task that runs again after a lost
+    executor gives the same salts.
     """
-    cond = F.col(left_key) == F.col(right_key)
-    if extra is not None:
-        cond = cond & extra
-    if not hot_keys:
-        return left.join(right, cond, how)
-    if how not in ("left", "left_outer", "inner", "left_semi", "left_anti"):
-        raise ValueError(f"split_hot_join cannot split join type {how}")
-    hot_l = F.coalesce(F.col(left_key).isin(hot_keys), F.lit(False))
-    hot_r = F.coalesce(F.col(right_key).isin(hot_keys), F.lit(False))
-    cold = left.where(~hot_l).join(right.where(~hot_r), cond, how)
-    lh = left.where(hot_l).withColumn(SALT, F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.lit(buckets)))
-    rh = right.where(hot_r).withColumn(f"{SALT}_r", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
-    hot = lh.join(rh, cond & (F.col(SALT) == F.col(f"{SALT}_r")), how).drop(SALT, f"{SALT}_r")
-    return cold.unionByName(hot)
+    if how not in ("left", "inner", "left_semi", "left_anti"):
+        raise ValueError(f"salted_join cannot split join type {how}")
+    salts = key_salts(left, left_key, rows_per_task)
+
+    def with_salts(df: DataFrame, key: str) -> DataFrame:
+        return (df.join(F.broadcast(salts), df[key] == F.col("_salt_key"), "left").drop("_salt_key")
+                .withColumn("_salts", F.coalesce("_salts", F.lit(1).cast("long"))))
+
+    spread = with_salts(left, left_key).withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.col("_salts"))).drop("_salts")
+    copies = (with_salts(right, right_key)
+              .withColumn("_salt_r", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1))).drop("_salts"))
+    cond = (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_salt_r"))
+    return spread.join(copies, cond if extra is None else cond & extra, how).drop("_salt", "_salt_r")

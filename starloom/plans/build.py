@@ -7,9 +7,9 @@ headers -> facts (contract-checked before each write) -> tests -> quality log
 non-fact models run while the facts build.
 
 Every table is written once below ``root`` and read back by its consumers.
-The line items and the enriched order headers are bucketed by order_id, so
-the facts join without shuffles. Facts are partitioned by order month, so an
-incremental run touches only the months it changes.
+The enriched order headers are written once for both facts, which join them
+by plain shuffle joins that AQE can split. Facts are partitioned by order
+month, so an incremental run touches only the months it changes.
 """
 
 from __future__ import annotations
@@ -55,32 +55,16 @@ class Build:
     """One build run writing below ``root`` (defaults to the scratch root)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None, threads: int = 4,
-                 test_threads: int = 8, buckets: int | None = None):
+                 test_threads: int = 8):
         self.spark = prepare(spark)
         self.threads = threads
         self.test_threads = test_threads
-        # order_id buckets shared by the line items and the enriched order headers
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.sf_dir = sf_dir
         self.root = (root or f"{scratch_root(spark)}/warehouse-{uuid.uuid4().hex[:8]}").rstrip("/")
         self.timings: dict[str, float] = {}
         self.step_timings: dict[str, float] = {}
         self.tables: dict[str, DataFrame] = {}
         self.stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-        self.db = f"starloom_{uuid.uuid4().hex[:12]}"
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.db} LOCATION '{self.root}/catalog'")
-
-    def _write_bucketed(self, df: DataFrame, name: str, key: str) -> DataFrame:
-        """Write ``df`` as a table bucketed (and sorted) by ``key``.
-
-        Tables bucketed the same way join and aggregate on ``key`` without an
-        exchange on either side. ``df`` should arrive hash-partitioned by
-        ``key`` into ``self.buckets`` partitions (one file per bucket).
-        """
-        table = f"{self.db}.{name}"
-        (df.write.mode("overwrite").bucketBy(self.buckets, key).sortBy(key)
-         .option("path", f"{self.root}/bucketed/{name}").saveAsTable(table))
-        return self.spark.table(table)
 
     def _timed(self, name: str, fn):
         t = time.perf_counter()
@@ -98,9 +82,6 @@ class Build:
     def _land(self, name: str) -> DataFrame:
         """Land one raw table with this run's load stamp."""
         df = raw.RAW_BUILDERS[name](self.spark, self.sf_dir, self.stamp)
-        if name == "order_items":
-            # hash-partitioned by order_id already (the item numbering window)
-            return self._write_bucketed(df.repartition(self.buckets, "order_id"), "raw_order_items", "order_id")
         return _write(df, f"{self.root}/raw/{name}")
 
     def land_raw(self) -> None:
@@ -148,10 +129,8 @@ class Build:
         stg_orders = staging.stg_orders(t["raw_orders"])
         stg_items = staging.stg_order_items(t["raw_order_items"])
         m = f"{self.root}/marts"
-        # order headers with their customer version: written once, bucketed like
-        # the line items, read by both facts without a shuffle
-        enriched = marts.orders_with_customer(stg_orders, t["dim_customer"])
-        enriched = self._write_bucketed(enriched.repartition(self.buckets, "order_id"), "orders_with_customer", "order_id")
+        # order headers with their customer version: written once, read by both facts
+        enriched = _write(marts.orders_with_customer(stg_orders, t["dim_customer"]), f"{m}/orders_with_customer")
         t["orders_with_customer"] = enriched
 
         def fact_orders():

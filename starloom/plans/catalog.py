@@ -7,6 +7,7 @@ written below the scratch root, as a build does) and test those tables.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom.plans import quality_suite as QS
 from starloom.plans import reports
 from starloom.plans.warehouse import FIXED_LOAD_STAMP, Warehouse
-from starloom.session import app_key
+from starloom.session import app_key, scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -23,6 +24,9 @@ QUERIES: dict[str, QueryFn] = {}
 CHECK_INVOCATION = "check"
 FRESHNESS_NOW = "2026-01-02 02:00:00"
 EVENTS_LIMIT = 0  # 0 = all events
+FIRST_EVENTS = 500
+JOBS_SINCE = "2024-01-10 00:00:00"
+ONE_INVOCATION = "inv-3"
 
 
 def query(name: str):
@@ -45,7 +49,7 @@ for _attr in [
     "customers_snapshot", "dim_customer", "dim_product", "dim_date", "dim_date_config",
     "fact_orders", "fact_order_items", "fact_orders_incremental", "fact_order_items_incremental",
     "dim_customer_restricted", "distinct_people", "pii_inventory",
-    "window_metrics", "stream_daily_metrics", "latency_detail", "latency_summary", "window_first_seen",
+    "window_metrics", "window_metrics_unrounded", "stream_daily_metrics", "latency_detail", "latency_summary", "window_first_seen",
 ]:
     QUERIES[_attr] = _model(_attr)
 
@@ -69,7 +73,7 @@ def built_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 def _dq(kind: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         wh = built_warehouse(spark, sf_dir)
-        return QS.results(wh.models(), QS.checks_of(kind), with_singular=False)
+        return QS.results_lazy(wh.models(), QS.checks_of(kind), with_singular=False)
     run.__name__ = f"dq_{kind}"
     return run
 
@@ -94,7 +98,7 @@ QUERIES["dq_one_current"] = _singular("assert_one_current_version_per_customer")
 
 @query("dq_results")
 def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QS.results(built_warehouse(spark, sf_dir).models())
+    return QS.results_lazy(built_warehouse(spark, sf_dir).models())
 
 
 @query("dq_summary")
@@ -129,7 +133,7 @@ def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
         "products": ("raw", wh.raw_products, "_loaded_at"),
         "orders": ("raw", wh.raw_orders, "_loaded_at"),
         "order_items": ("raw", wh.raw_order_items, "_loaded_at"),
-        "window_metrics": ("stream", wh.window_metrics, "loaded_at"),
+        "window_metrics": ("stream", wh.window_metrics, "window_end"),
     }, FRESHNESS_NOW)
 
 
@@ -162,11 +166,23 @@ def window_metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows_to_json(Warehouse(spark, sf_dir).window_metrics)
 
 
+@query("order_events_first_n")
+def order_events_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The producer's limit: the first events in event time."""
+    return reports.first_n(Warehouse(spark, sf_dir).order_events, FIRST_EVENTS, ["event_time", "order_id"])
+
+
 @query("job_log_rollup")
 def job_log_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.job_log_rollup(reports.job_log(spark, sf_dir))
 
 
+@query("job_log_rollup_one")
+def job_log_rollup_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One invocation's jobs from a time horizon on."""
+    return reports.job_log_rollup(reports.job_log(spark, sf_dir), ONE_INVOCATION, dt.datetime.fromisoformat(JOBS_SINCE))
+
+
 @query("stream_window_metrics")
 def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Structured Streaming job over the events file, drained with availableNow."""
@@ -174,3 +190,14 @@ def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sink = om.run_to_completion(spark, om.file_event_source(spark, sf_dir))
     return sink.select("window_start", "window_end", "order_count", "revenue", "avg_basket_size")
+
+
+@query("stream_json_metrics")
+def stream_json_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same job from JSON: events written as text by Spark, read and parsed as a stream."""
+    from starloom.streaming import order_metrics as om
+
+    path = scratch_path(spark, "stream", "events-json")
+    om.events_to_json(Warehouse(spark, sf_dir).order_events).select("value").write.text(path)
+    sink = om.run_to_completion(spark, om.json_dir_event_source(spark, path))
+    return sink.select("window_start", "window_end", "order_count", "revenue", "avg_basket_size")

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from starloom import fixed as FX
 from starloom.functions import date_key, date_name, date_part, day_spine_covering, money, surrogate_key
 from starloom.operators.asof import asof_left_join
-from starloom.operators.sizing import broadcast_if_small
 from starloom.plans.intermediate import int_order_totals
 from starloom.plans.staging import _tagged
 from starloom.schemas import DIM_CUSTOMER
@@ -57,7 +56,7 @@ def dim_customer(snapshot: DataFrame) -> DataFrame:
     return _tagged(out, DIM_CUSTOMER)
 
 
-def orders_with_customer(stg_orders: DataFrame, dim_cust: DataFrame, hot_share: float | None = 0.05) -> DataFrame:
+def orders_with_customer(stg_orders: DataFrame, dim_cust: DataFrame) -> DataFrame:
     """Orders with the customer_sk of the version current at ``ordered_at``.
 
     Shared by both facts: the as-of join runs once per build on the order
@@ -65,7 +64,7 @@ def orders_with_customer(stg_orders: DataFrame, dim_cust: DataFrame, hot_share:
     """
     return asof_left_join(
         stg_orders, dim_cust, key="customer_id", ts="ordered_at", payload=["customer_sk"],
-        hot_share=hot_share, salt_by=["order_id"],
+        salt_by=["order_id"],
     )
 
 
@@ -87,13 +86,12 @@ def fact_orders(enriched_orders: DataFrame, totals: DataFrame) -> DataFrame:
 def fact_order_items(stg_items: DataFrame, enriched_orders: DataFrame, dim_prod: DataFrame) -> DataFrame:
     """One row per order line, with the customer version and product keys.
 
-    Lines inner-join their order on order_id (the key the line table is
-    already partitioned by for its item numbering, so only the order side is
-    shuffled); the product dimension is broadcast after an exact size check,
-    otherwise joined by shuffle.
+    Lines inner-join their order on order_id by a plain shuffle join, whose hot
+    orders AQE splits; whether the product dimension is broadcast is left to
+    its size at run time.
     """
     o = enriched_orders.select("order_id", "ordered_at", "customer_id", "customer_sk")
-    p = broadcast_if_small(dim_prod.select("product_sk", F.col("product_id").alias("_p_id")))
+    p = dim_prod.select("product_sk", F.col("product_id").alias("_p_id"))
     j = stg_items.join(o, "order_id", "inner").join(p, F.col("product_id") == F.col("_p_id"), "left")
     return j.select(
         "order_item_id", "order_id", "line_number", "customer_sk", "product_sk", "product_id",

@@ -63,7 +63,7 @@ def contract_check(spark: SparkSession, models: dict[str, DataFrame]) -> DataFra
             check_schema(models[name].schema, contract)
             status, message = "pass", ""
         except SchemaDrift as e:
-            status, message = "fail", str(e)[:500]
+            status, message = "fail", str(e)
         parts.append(models[name].agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("model"), F.lit(status).alias("status"), F.lit(message).alias("message"), "row_count"))
     out = parts[0]
@@ -149,5 +149,6 @@ def job_log_rollup(log: DataFrame, invocation: str | None = None, since: dt.date
     return g.select(
         "*",
         F.round(F.col("bytes_billed") / F.lit(2 ** 30), 3).alias("gib_billed"),
+        F.round(F.col("bytes_billed") / F.lit(2 ** 40), 6).alias("tib_billed"),
         F.round(F.col("slot_ms") / F.lit(1000), 1).alias("slot_seconds"),
     )

@@ -60,7 +60,7 @@ def stg_orders(orders: DataFrame) -> DataFrame:
 def stg_order_items(items: DataFrame) -> DataFrame:
     """line_total is computed from the raw columns, before the money casts."""
     return items.select(
-        F.col("order_item_id").cast("long").alias("order_item_id"),
+        F.col("order_item_id").cast("string").alias("order_item_id"),
         F.col("order_id").cast("long").alias("order_id"),
         F.col("line_number").cast("long").alias("line_number"),
         F.col("product_id").cast("long").alias("product_id"),

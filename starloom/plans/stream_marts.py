@@ -10,53 +10,44 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom import fixed as FX
 from starloom.functions import date_key, millis_between, money
-from starloom.operators.sizing import broadcast_if_small
 
 WINDOW = FX.WINDOW
 WATERMARK = FX.WATERMARK
 COMPLETED = FX.COMPLETED
-# Upper bound on calendar rows (a day dimension of up to 100 years).
-CALENDAR_MAX_DAYS = 36_600
 
 
-def window_aggregate(events: DataFrame) -> DataFrame:
+def window_aggregate(events: DataFrame, rounded: bool = True) -> DataFrame:
     """Per one-minute event-time window: order_count, revenue, avg_basket_size.
 
     ``status = 'completed'`` is a condition inside the aggregates, not a
     ``where``: in a stream every event (heartbeats, other statuses) must reach
     the watermark, and Catalyst would push a filter below it.
-    Revenue is rounded to cents and the basket size to 4 places.
+    Money is summed in decimal, so the sum does not depend on the order of
+    the rows. Revenue is rounded to cents and the basket size to 4 places, or
+    neither with ``rounded=False`` (the SQL form of the job).
     """
     completed = F.col("status") == F.lit(COMPLETED)
     agg = events.groupBy(F.window("event_time", WINDOW)).agg(
         F.count_if(completed).alias("order_count"),
-        F.sum(F.when(completed, F.col("order_total"))).alias("_revenue"),
+        F.sum(F.when(completed, F.col("order_total").cast(FX.STREAM_MONEY))).alias("_revenue"),
         F.sum(F.when(completed, F.col("item_count").cast("long"))).alias("_items"),
     )
+    basket = F.col("_items") / F.col("order_count")
     return agg.where(F.col("order_count") > 0).select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         F.col("order_count"),
-        F.round(F.col("_revenue"), FX.REVENUE_PLACES).alias("revenue"),
-        F.round(F.col("_items") / F.col("order_count"), FX.BASKET_PLACES).alias("avg_basket_size"),
+        (F.round("_revenue", FX.REVENUE_PLACES) if rounded else F.col("_revenue")).cast("double").alias("revenue"),
+        (F.round(basket, FX.BASKET_PLACES) if rounded else basket).alias("avg_basket_size"),
     )
 
 
-def closed_before(events: DataFrame) -> dt.datetime | None:
-    """The final watermark of a replay: max event time (ms) minus the delay."""
-    m = events.agg(F.max("event_time").alias("m")).first()["m"]
-    if m is None:
-        return None
-    m = m.replace(microsecond=(m.microsecond // 1000) * 1000)
-    return m - dt.timedelta(seconds=2)
-
-
-def window_metrics_batch(events: DataFrame) -> DataFrame:
+def window_metrics_batch(events: DataFrame, rounded: bool = True) -> DataFrame:
     """What the stream emits for a replay of ``events``: closed windows only.
 
     The final watermark (max event time at ms precision minus the delay) is
@@ -66,45 +57,52 @@ def window_metrics_batch(events: DataFrame) -> DataFrame:
     final_wm = events.select(
         (F.date_trunc("millisecond", F.max("event_time")) - F.expr(f"interval {WATERMARK}")).alias("wm")
     ).scalar()
-    return window_aggregate(events).where(F.col("window_end") <= final_wm)
-
-
-def with_modeled_clock(windows: DataFrame) -> DataFrame:
-    """Sink rows with a deterministic emit/load clock for reproducible builds.
-
-    emitted_at = window_end + 2,000 ms + 100 ms * (epoch minute mod 7), the
-    2 s watermark floor plus a repeating processing delay; loaded_at =
-    emitted_at + 20 ms. Real runs take both from the clock (see the stream job).
-    """
-    minute = F.expr("unix_millis(window_start) div 60000")
-    emit_ms = F.lit(2000) + F.lit(100) * (minute % 7)
-    emitted = F.timestamp_millis(F.unix_millis("window_end") + emit_ms)
-    loaded = F.timestamp_millis(F.unix_millis("window_end") + emit_ms + 20)
-    return windows.select(
-        "window_start", "window_end", "order_count", "revenue", "avg_basket_size",
-        emitted.alias("emitted_at"), loaded.alias("loaded_at"),
-        millis_between(F.col("window_end"), loaded).alias("latency_ms"),
-    )
+    return window_aggregate(events, rounded).where(F.col("window_end") <= final_wm)
 
 
 def stream_daily_metrics(window_metrics: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Windows rolled up per calendar day, joined to the date dimension.
 
-    dim_date is one row per day of the range it covers (11.7k rows for
-    1995-2026); it is broadcast after a count under 100 years of days,
-    otherwise joined by shuffle.
+    Windows are few beside events; the join strategy is left to run-time sizes.
     """
     w = window_metrics.withColumn("_date_key", date_key("window_start"))
-    days = broadcast_if_small(dim_date.select("date_key", "date_day", "day_name"), CALENDAR_MAX_DAYS)
+    days = dim_date.select("date_key", "date_day", "day_name")
     j = w.join(days, F.col("_date_key") == F.col("date_key"))
-    return j.groupBy("date_day", "day_name").agg(
+    sums = [
         F.count(F.lit(1)).alias("windows"),
         F.sum("order_count").alias("orders"),
         money(F.sum("revenue").cast("decimal(38,9)")).alias("revenue"),
         money(F.avg("avg_basket_size").cast("decimal(38,9)")).alias("avg_basket_size"),
-        F.round(F.avg("latency_ms").cast("decimal(38,9)"), 1).cast("double").alias("avg_latency_ms"),
-        F.max("latency_ms").alias("max_latency_ms"),
-    )
+    ]
+    if "latency_ms" in window_metrics.columns:  # a sink table: a job measured it
+        sums += [F.round(F.avg("latency_ms").cast("decimal(38,9)"), 1).cast("double").alias("avg_latency_ms"),
+                 F.max("latency_ms").alias("max_latency_ms")]
+    return j.groupBy("date_day", "day_name").agg(*sums)
+
+
+def spread(values: DataFrame, value: str, by: list[str], prefix: str) -> DataFrame:
+    """Count, least, exact median and greatest of ``value`` per group.
+
+    Equal values are counted before they meet (combined map-side), so the
+    median's window orders a group's distinct values, not its rows.
+    """
+    counted = values.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy(*by)
+    upto = F.sum("_n").over(group.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = counted.withColumn("_upto", upto).withColumn("_all", F.sum("_n").over(group))
+    lower = F.min(F.when(F.col("_upto") * 2 >= F.col("_all"), F.col("_v")))
+    upper = F.min(F.when(F.col("_upto") * 2 > F.col("_all"), F.col("_v")))
+    return placed.groupBy(*by).agg(
+        F.sum("_n").alias("rows"), F.min("_v").alias(f"{prefix}_min_ms"),
+        ((lower + upper) / 2.0).alias(f"{prefix}_median_ms"), F.max("_v").alias(f"{prefix}_max_ms"))
+
+
+def ship_latency(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Per line: the month it was ordered in and the milliseconds until it shipped."""
+    o = orders.select(F.col("o_orderkey").alias("_order"), F.col("o_orderdate").cast("timestamp").alias("_ordered"))
+    shipped = F.col("l_shipdate").cast("timestamp")
+    return lines.select("l_orderkey", "l_shipdate").join(o, F.col("l_orderkey") == F.col("_order")).select(
+        F.date_format("_ordered", "yyyy-MM").alias("order_month"), millis_between(F.col("_ordered"), shipped).alias("latency_ms"))
 
 
 def latency_detail(window_metrics: DataFrame) -> DataFrame:
@@ -117,56 +115,23 @@ def latency_detail(window_metrics: DataFrame) -> DataFrame:
 
 
 def latency_summary(window_metrics: DataFrame) -> DataFrame:
-    """min / median / max of both latencies, windows and orders (one row)."""
+    """min / median / max of both latencies of a sink, windows and orders (one row)."""
     d = latency_detail(window_metrics)
-    return d.agg(
-        F.count(F.lit(1)).alias("windows"),
-        F.sum("order_count").alias("orders_in_windows"),
-        F.min("latency_ms").alias("latency_min_ms"),
-        F.median("latency_ms").alias("latency_median_ms"),
-        F.max("latency_ms").alias("latency_max_ms"),
-        F.min("emit_latency_ms").alias("emit_min_ms"),
-        F.median("emit_latency_ms").alias("emit_median_ms"),
-        F.max("emit_latency_ms").alias("emit_max_ms"),
-    )
+    total = d.agg(F.count(F.lit(1)).alias("windows"), F.sum("order_count").alias("orders_in_windows"))
+    parts = [spread(d, v, [], p).drop("rows") for v, p in (("latency_ms", "latency"), ("emit_latency_ms", "emit"))]
+    return total.select("*", *[F.lit(part.select(c).scalar()).alias(c) for part in parts for c in part.columns])
 
 
-def sightings(window_metrics: DataFrame, polls: int = 3, poll_ms: int = 2000) -> DataFrame:
-    """Poll results: every window seen at ``polls`` consecutive polls.
+def first_seen(spark: SparkSession, events: DataFrame, t0: str) -> DataFrame:
+    """The first event of each customer and minute from ``t0`` on, and how many there were.
 
-    A window becomes visible at loaded_at and is seen again at each later
-    poll, so the same window_start arrives several times.
+    ``event_time >= :t0`` is a named SQL parameter; the first one is a
+    ``min_by`` (combined map-side), ties go to the least event.
     """
-    k = F.explode(F.sequence(F.lit(0), F.lit(polls - 1))).alias("_poll")
-    s = window_metrics.select("*", k)
-    return s.select(
-        "window_start", "window_end", "order_count", "revenue", "avg_basket_size", "emitted_at",
-        F.timestamp_millis(F.unix_millis("loaded_at") + F.col("_poll") * poll_ms).alias("loaded_at"),
-    )
-
-
-def window_first_seen(spark: SparkSession, seen: DataFrame, t0: str) -> DataFrame:
-    """First sighting per window, with its latency; skips warm-up windows.
-
-    ``emitted_at >= :t0`` is applied as a named SQL parameter, the dedupe is
-    ``min_by`` (combines map-side; one window is one group), then windows with
-    orders that end after t0 are kept, ordered by window_start.
-    """
-    polled = spark.sql(
-        "SELECT * FROM {seen} WHERE emitted_at >= :t0",
-        args={"t0": dt.datetime.fromisoformat(t0)},
-        seen=seen,
-    )
-    cols = [c for c in seen.columns if c != "window_start"]
-    first = polled.groupBy("window_start").agg(
-        F.min_by(F.struct(*cols), F.col("loaded_at")).alias("_first")
-    ).select("window_start", *[F.col(f"_first.{c}").alias(c) for c in cols])
-    return (
-        first.where((F.col("order_count") > 0) & (F.col("window_end") > F.lit(dt.datetime.fromisoformat(t0))))
-        .select(
-            "window_start", "window_end", "order_count", "revenue", "avg_basket_size", "emitted_at", "loaded_at",
-            millis_between(F.col("window_end"), F.col("loaded_at")).alias("latency_ms"),
-            millis_between(F.col("window_end"), F.col("emitted_at")).alias("emit_latency_ms"),
-        )
-        .orderBy("window_start")
-    )
+    kept = spark.sql("SELECT * FROM {events} WHERE event_time >= :t0",
+                     args={"t0": dt.datetime.fromisoformat(t0)}, events=events)
+    first = F.min_by(F.struct("event_time", "order_id", "status"), F.struct("event_time", "order_id"))
+    return kept.groupBy("customer_id", F.date_trunc("minute", "event_time").alias("minute_start")).agg(
+        first.alias("_first"), F.count(F.lit(1)).alias("sightings")).select(
+        "customer_id", "minute_start", F.col("_first.event_time").alias("first_seen_at"),
+        F.col("_first.order_id").alias("first_order_id"), F.col("_first.status").alias("first_status"), "sightings")

@@ -29,29 +29,29 @@ from starloom.sources import driver_tables as raw
 FIXED_LOAD_STAMP = "2026-01-01 00:00:00"
 # The first of the two incremental runs sees the orders placed before this day.
 INCREMENTAL_CUTOFF = "1999-01-01 00:00:00"
-# Warm-up horizon of the first-seen report: windows emitted from here on count.
+# Warm-up horizon of the first-seen report: events from here on count.
 FIRST_SEEN_T0 = "2024-01-02 00:00:00"
 
 TABLE_MODELS = {
     "raw_customers", "raw_customer_updates", "raw_products", "raw_orders", "raw_order_items",
     "customers_snapshot_initial", "customers_snapshot", "dim_customer", "dim_product", "dim_date",
-    "fact_orders", "fact_order_items", "window_metrics",
+    "orders_with_customer", "fact_orders", "fact_order_items", "window_metrics",
 }
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, loaded_at: str | None = FIXED_LOAD_STAMP,
-                 hot_share: float | None = 0.05, persist: bool = False):
+                 persist: bool = False):
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
         self.loaded_at = loaded_at
-        self.hot_share = hot_share
         self.persist = persist
         self.paths: dict[str, str] = {}
 
     def _table(self, name: str, df: DataFrame) -> DataFrame:
-        if not self.persist or name not in TABLE_MODELS:
-            return df
+        return self._written(name, df) if self.persist and name in TABLE_MODELS else df
+
+    def _written(self, name: str, df: DataFrame) -> DataFrame:
         path = scratch_path(self.spark, "warehouse", name)
         df.write.parquet(path)
         self.paths[name] = path
@@ -138,7 +138,7 @@ class Warehouse:
 
     @cached_property
     def orders_with_customer(self) -> DataFrame:
-        return marts.orders_with_customer(self.stg_orders, self.dim_customer, self.hot_share)
+        return self._table("orders_with_customer", marts.orders_with_customer(self.stg_orders, self.dim_customer))
 
     @cached_property
     def fact_orders(self) -> DataFrame:
@@ -149,7 +149,8 @@ class Warehouse:
         return self._table("fact_order_items", marts.fact_order_items(
             self.stg_order_items, self.orders_with_customer, self.dim_product))
 
-    # incremental: a first build before the cutoff, then an incremental run --
+    # incremental: a first build before the cutoff is written, as a load finds it;
+    # then an incremental run on the written table
     @cached_property
     def dim_customer_initial(self) -> DataFrame:
         return marts.dim_customer(self.customers_snapshot_initial)
@@ -160,31 +161,36 @@ class Warehouse:
 
     @cached_property
     def first_build_enriched(self) -> DataFrame:
-        return marts.orders_with_customer(self.first_build_orders, self.dim_customer_initial, self.hot_share)
+        return self._written("first_build_orders", marts.orders_with_customer(
+            self.first_build_orders, self.dim_customer_initial))
 
     @cached_property
     def fact_orders_first_build(self) -> DataFrame:
         totals = marts.totals_for(self.stg_order_items, self.first_build_orders)
-        return marts.fact_orders(self.first_build_enriched, totals)
+        return self._written("fact_orders_first", marts.fact_orders(self.first_build_enriched, totals))
 
     @cached_property
     def fact_order_items_first_build(self) -> DataFrame:
-        return marts.fact_order_items(self.stg_order_items, self.first_build_enriched, self.dim_product)
+        return self._written("fact_order_items_first", marts.fact_order_items(
+            self.stg_order_items, self.first_build_enriched, self.dim_product))
+
+    def _new_placed(self, target: DataFrame) -> DataFrame:
+        """Orders newer than the target with their customer version, written once."""
+        return self._written("new_orders", marts.orders_with_customer(
+            newer_than_target(self.stg_orders, "ordered_at", target), self.dim_customer))
 
     @cached_property
     def fact_orders_incremental(self) -> DataFrame:
         target = self.fact_orders_first_build
-        new_orders = newer_than_target(self.stg_orders, "ordered_at", target)
-        enriched = marts.orders_with_customer(new_orders, self.dim_customer, self.hot_share)
-        new = marts.fact_orders(enriched, marts.totals_for(self.stg_order_items, new_orders))
+        enriched = self._new_placed(target)
+        new = self._written("fact_orders_new", marts.fact_orders(enriched, marts.totals_for(self.stg_order_items, enriched)))
         return delete_insert(target, new, "order_id")
 
     @cached_property
     def fact_order_items_incremental(self) -> DataFrame:
         target = self.fact_order_items_first_build
-        new_orders = newer_than_target(self.stg_orders, "ordered_at", target)
-        enriched = marts.orders_with_customer(new_orders, self.dim_customer, self.hot_share)
-        new = marts.fact_order_items(self.stg_order_items, enriched, self.dim_product)
+        new = self._written("fact_order_items_new", marts.fact_order_items(
+            self.stg_order_items, self._new_placed(target), self.dim_product))
         return delete_insert(target, new, "order_item_id")
 
     # governance --------------------------------------------------------------
@@ -210,25 +216,32 @@ class Warehouse:
 
     @cached_property
     def window_metrics(self) -> DataFrame:
-        windows = stream_marts.window_metrics_batch(self.order_events)
-        return self._table("window_metrics", stream_marts.with_modeled_clock(windows))
+        return self._table("window_metrics", stream_marts.window_metrics_batch(self.order_events))
+
+    @cached_property
+    def window_metrics_unrounded(self) -> DataFrame:
+        return stream_marts.window_metrics_batch(self.order_events, rounded=False)
 
     @cached_property
     def stream_daily_metrics(self) -> DataFrame:
         return stream_marts.stream_daily_metrics(self.window_metrics, self.dim_date)
 
+    @cached_property
+    def ship_latency(self) -> DataFrame:
+        return stream_marts.ship_latency(raw.read(self.spark, self.sf_dir, "orders"), raw.read(self.spark, self.sf_dir, "lineitem"))
+
     @cached_property
     def latency_detail(self) -> DataFrame:
-        return stream_marts.latency_detail(self.window_metrics)
+        """Milliseconds from order to shipment by order month."""
+        return stream_marts.spread(self.ship_latency, "latency_ms", ["order_month"], "latency")
 
     @cached_property
     def latency_summary(self) -> DataFrame:
-        return stream_marts.latency_summary(self.window_metrics)
+        return stream_marts.spread(self.ship_latency, "latency_ms", [], "latency")
 
     @cached_property
     def window_first_seen(self) -> DataFrame:
-        seen = stream_marts.sightings(self.window_metrics)
-        return stream_marts.window_first_seen(self.spark, seen, FIRST_SEEN_T0)
+        return stream_marts.first_seen(self.spark, self.order_events, FIRST_SEEN_T0)
 
     # everything the test suite reads ----------------------------------------
     def models(self) -> dict[str, DataFrame]:

@@ -55,7 +55,7 @@ FACT_ORDERS = T.StructType([
 ])
 
 FACT_ORDER_ITEMS = T.StructType([
-    _f("order_item_id", L), _f("order_id", L), _f("line_number", L), _f("customer_sk", S),
+    _f("order_item_id", S), _f("order_id", L), _f("line_number", L), _f("customer_sk", S),
     _f("product_sk", S), _f("product_id", L), _f("date_key", L), _f("ordered_at", TS),
     _f("quantity", L), _f("unit_price", MONEY), _f("discount", MONEY), _f("line_total", MONEY),
 ])

@@ -27,7 +27,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.parquet.compression.codec": "zstd",
-    "spark.sql.streaming.multipleWatermarkPolicy": "max",
 }
 
 

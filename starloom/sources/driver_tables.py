@@ -11,11 +11,10 @@ referenced, and Parquet ``ReadSchema`` shows just those.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.functions import money
-from starloom.session import app_key
+from starloom.functions import money, surrogate_key
 
 # ---------------------------------------------------------------------------
 # Fixed values of the mapping (must equal the oracle SQL's literals).
@@ -42,8 +41,6 @@ UPGRADE_EVERY = 33
 UPGRADE_SEGMENT = "vip"
 # Products whose key is divisible by 25 are inactive.
 INACTIVE_EVERY = 25
-# order_item_id = order_id * 1000 + line position (max 17 lines per order here).
-ITEM_ID_STRIDE = 1000
 # Event types: 'purchase' is a completed order in the stream.
 PURCHASE = "purchase"
 # ---------------------------------------------------------------------------
@@ -53,20 +50,9 @@ TEST_TABLES = [
 ]
 
 
-_READS: dict[tuple[str, str], DataFrame] = {}
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table; Parquet ``timestamp[us]`` arrives as TIMESTAMP_NTZ.
-
-    The inputs are immutable, so one DataFrame per file and application is
-    reused (its footer is read once, and repeated scans share plan nodes).
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    k = (app_key(spark), path)
-    if k not in _READS:
-        _READS[k] = spark.read.parquet(path)
-    return _READS[k]
+    """One driver table; Parquet ``timestamp[us]`` arrives as TIMESTAMP_NTZ."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(c: Column, mapping: dict[str, str], default: Column | None = None) -> Column:
@@ -170,30 +156,20 @@ def raw_orders(spark: SparkSession, sf_dir: str, loaded_at: str | None = None) -
 def raw_order_items(spark: SparkSession, sf_dir: str, loaded_at: str | None = None) -> DataFrame:
     """raw.order_items: one row per line; money columns exact in decimal.
 
-    order_item_id numbers the lines of an order (order_id * 1000 + position by
-    line number, part, supplier, quantity). The window is partitioned by the
-    order key, which is also the key every consumer joins or groups on, so the
-    exchange it needs is reused downstream.
+    order_item_id is the surrogate key of all columns that identify a line, so
+    the largest table is neither sorted nor shuffled to be numbered.
     """
     li = read(spark, sf_dir, "lineitem")
     qty = F.col("l_quantity").cast("long")
     price = F.col("l_extendedprice").cast("decimal(18,2)")
-    base = li.select(
+    return li.select(
+        surrogate_key("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", qty).alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").cast("long").alias("line_number"),
         F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("_supp"),
-        F.col("l_quantity").alias("_qty"),
         qty.alias("quantity"),
         price.alias("unit_price"),
         money(qty.cast("decimal(18,0)") * price * F.col("l_discount").cast("decimal(4,2)")).alias("discount"),
-    )
-    # partitioned by the output column order_id (not l_orderkey), so the
-    # exchange satisfies the joins and aggregations on order_id downstream
-    w = Window.partitionBy("order_id").orderBy("line_number", "product_id", "_supp", "_qty")
-    return base.select(
-        (F.col("order_id") * ITEM_ID_STRIDE + F.row_number().over(w)).alias("order_item_id"),
-        "order_id", "line_number", "product_id", "quantity", "unit_price", "discount",
         _stamp(loaded_at).alias("_loaded_at"),
     )
 

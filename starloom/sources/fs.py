@@ -1,47 +1,30 @@
-"""Path existence, deletion and listing through Hadoop's FileSystem (any
-scheme the cluster knows); a local fallback when the session has no JVM
-handle (e.g. a Spark Connect client)."""
+"""Path existence, deletion and listing through Hadoop's FileSystem, whatever
+scheme the path has. An error there is an error here: nothing is looked up on the
+driver's own disk, and a path that cannot be asked about is never "missing"."""
 
 from __future__ import annotations
 
-import os
-import shutil
-
 from pyspark.sql import SparkSession
 
 
 def _hadoop(spark: SparkSession, path: str):
-    try:
-        sc = spark.sparkContext
-        jvm = sc._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
-    except Exception:  # no JVM gateway in this client
-        return None, None
-
-
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     p, fs = _hadoop(spark, path)
-    return bool(fs.exists(p)) if fs is not None else os.path.exists(_local(path))
+    return bool(fs.exists(p))
 
 
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = _hadoop(spark, path)
-    if fs is not None:
-        if fs.exists(p):
-            fs.delete(p, True)
-    elif os.path.exists(_local(path)):
-        shutil.rmtree(_local(path))
+    if fs.exists(p) and not fs.delete(p, True):
+        raise OSError(f"could not delete {path}")
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries directly below ``path``."""
     p, fs = _hadoop(spark, path)
-    if fs is not None:
-        return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
-    lp = _local(path)
-    return sorted(os.listdir(lp)) if os.path.isdir(lp) else []
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []

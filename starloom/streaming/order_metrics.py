@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from starloom.functions import iso_millis, millis_between
@@ -29,16 +30,22 @@ from starloom.sources.driver_tables import PURCHASE
 
 
 def parse_json_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """JSON text -> typed order events; text that does not parse is dropped.
+    """JSON text -> typed order events; text that does not parse is dropped and counted.
 
-    ``from_json`` in PERMISSIVE mode yields NULL fields for malformed input;
-    a row without event time cannot be placed in a window and is dropped
-    (filtering on the event-time column itself is safe below the watermark).
+    Times are read as text and cast: ISO-8601 with any number of fraction
+    digits and with or without a zone (UTC when absent). ``from_json`` in
+    PERMISSIVE mode yields NULL fields for malformed input; a row without event
+    time cannot be placed in a window. The observed metric ``parsed_events``
+    (rows, malformed) tells how many there were.
     """
-    parsed = raw.select(
-        F.from_json(F.col(value_col).cast("string"), ORDER_EVENT, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX"}).alias("e")
-    ).select("e.*")
-    return parsed.where(F.col("event_time").isNotNull())
+    times = ("event_time", "produced_at")
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) if f.name in times else f for f in ORDER_EVENT.fields])
+    parsed = raw.select(F.from_json(F.col(value_col).cast("string"), as_text).alias("e")).select(
+        *[F.col(f"e.{f.name}").try_cast("timestamp").alias(f.name) if f.name in times else F.col(f"e.{f.name}")
+          for f in ORDER_EVENT.fields])
+    counted = parsed.observe("parsed_events", F.count(F.lit(1)).alias("rows"),
+                             F.count_if(F.col("event_time").isNull()).alias("malformed"))
+    return counted.where(F.col("event_time").isNotNull())
 
 
 def events_to_json(events: DataFrame) -> DataFrame:
@@ -60,7 +67,7 @@ def windows_to_json(windows: DataFrame) -> DataFrame:
             iso_millis("window_start").alias("window_start"),
             iso_millis("window_end").alias("window_end"),
             "order_count", "revenue", "avg_basket_size",
-            iso_millis("emitted_at").alias("emitted_at"),
+            *([iso_millis("emitted_at").alias("emitted_at")] if "emitted_at" in windows.columns else []),
         )).alias("value")
     )
 
@@ -101,7 +108,6 @@ def kafka_event_source(spark: SparkSession, bootstrap: str, topic: str = "orders
         .option("kafka.bootstrap.servers", bootstrap)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("failOnDataLoss", "false")
         .load()
     )
     return parse_json_events(raw)
@@ -146,11 +152,11 @@ def start(
     return w.start(), sink_path
 
 
-def run_to_completion(spark: SparkSession, events: DataFrame, timeout_s: int = 600) -> DataFrame:
+def run_to_completion(spark: SparkSession, events: DataFrame, timeout_s: int | None = None) -> DataFrame:
     """Replay everything available, close what the watermark allows, return the sink."""
     q, sink = start(spark, events)
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
+    finished = q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
+    if timeout_s is not None and not finished:
         q.stop()
         raise TimeoutError("stream did not drain in time")
     if q.exception() is not None:
@@ -161,9 +167,9 @@ def run_to_completion(spark: SparkSession, events: DataFrame, timeout_s: int = 6
 def read_sink(spark: SparkSession, sink_path: str) -> DataFrame:
     """The sink table; empty with the declared schema before the first batch."""
     from starloom.schemas import WINDOW_METRICS
-    from starloom.operators.incremental import _path_exists
+    from starloom.sources import fs
 
-    if not _path_exists(spark, sink_path):
+    if not fs.exists(spark, sink_path):
         return spark.createDataFrame([], WINDOW_METRICS)
     return spark.read.schema(WINDOW_METRICS).parquet(sink_path).select(*WINDOW_METRICS.fieldNames())
 

@@ -30,9 +30,9 @@ def _norm(v) -> str:
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return f"{v:.6g}"
+        return f"{v:.12g}"
     if isinstance(v, decimal.Decimal):
-        return f"{float(v):.6g}"
+        return str(v.normalize()) if v else "0"
     if isinstance(v, int):
         return str(v)
     if isinstance(v, dt.datetime):
@@ -63,12 +63,25 @@ def duck_rows(con, sql: str) -> tuple[list[str], list[tuple]]:
     return cols, res.fetchall()
 
 
+#: Spark and DuckDB names of one kind of value; a column must be of the same kind in both.
+KINDS = {"long": "int", "int": "int", "short": "int", "BIGINT": "int", "INTEGER": "int", "HUGEINT": "int", "string": "text", "VARCHAR": "text",
+         "double": "float", "DOUBLE": "float", "FLOAT": "float", "bigint": "int", "float": "float", "boolean": "bool", "BOOLEAN": "bool",
+         "date": "date", "DATE": "date", "timestamp": "time", "timestamp_ntz": "time", "TIMESTAMP": "time", "TIMESTAMP WITH TIME ZONE": "time"}
+
+
+def kinds(pairs) -> dict[str, str]:
+    return {name: "decimal" if str(t).upper().startswith("DECIMAL") else KINDS.get(str(t), str(t)) for name, t in pairs}
+
+
 def compare(spark_df, con, sql: str) -> dict:
     sc, sr = spark_rows(spark_df)
     dc, dr = duck_rows(con, sql)
+    duck_kinds = kinds((d[0], d[1]) for d in con.execute(sql).description)
     sn, sh = digest(sc, sr)
     dn, dh = digest(dc, dr)
-    out = {"rows_spark": sn, "rows_oracle": dn, "cols_equal": sorted(sc) == sorted(dc), "hash_equal": sh == dh}
+    out = {"rows_spark": sn, "rows_oracle": dn, "cols_equal": sorted(sc) == sorted(dc) and kinds(spark_df.dtypes) == duck_kinds, "hash_equal": sh == dh}
+    if not out["cols_equal"]:
+        out["kinds"] = kinds(spark_df.dtypes), duck_kinds
     if not out["hash_equal"]:
         order_s = sorted(range(len(sc)), key=lambda i: sc[i])
         order_d = sorted(range(len(dc)), key=lambda i: dc[i])

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from starloom.operators.asof import asof_left_join
-from starloom.operators.skew import find_hot_keys, split_hot_join
+from starloom.operators.skew import key_salts, salted_join
 
 V1, V2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 6, 1)
 
@@ -20,48 +20,36 @@ def test_half_open_bounds(spark):
         [(10, 1, V2), (11, 1, V2 - dt.timedelta(microseconds=1)), (12, 1, V1 - dt.timedelta(days=1)), (13, 3, V2)],
         "order_id long, customer_id long, ordered_at timestamp",
     )
-    out = asof_left_join(ev, dims(spark), "customer_id", "ordered_at", ["customer_sk"], hot_share=None)
+    out = asof_left_join(ev, dims(spark), "customer_id", "ordered_at", ["customer_sk"])
     got = {r.order_id: r.customer_sk for r in out.collect()}
     assert got == {10: "sk2", 11: "sk1", 12: None, 13: None}
 
 
-def test_hot_key_split_equals_plain_join(spark):
-    ev = spark.range(0, 2000).select(
-        F.col("id").alias("order_id"),
-        F.when(F.col("id") % 3 == 0, F.lit(2)).otherwise(F.lit(1)).cast("long").alias("customer_id"),
-        (F.lit(V1) + F.make_interval(days=(F.col("id") % 300).cast("int"))).alias("ordered_at"),
-    )
-    hot = find_hot_keys(ev, "customer_id", share=0.2, min_rows=1)
-    assert sorted(hot) == [1, 2]
-    plain = asof_left_join(ev, dims(spark), "customer_id", "ordered_at", ["customer_sk"], hot_share=None)
-    split = asof_left_join(ev, dims(spark), "customer_id", "ordered_at", ["customer_sk"], hot_share=None)
-    d = dims(spark).withColumn("_vt", F.coalesce("valid_to", F.lit(dt.datetime(9999, 12, 31))))
-    extra = (F.col("ordered_at") >= F.col("valid_from")) & (F.col("ordered_at") < F.col("_vt"))
-    salted = split_hot_join(ev, d.withColumnRenamed("customer_id", "_k"), "customer_id", "_k", hot,
-                            ["order_id"], 8, "left", extra).select("order_id", "customer_sk")
-    a = sorted(tuple(r) for r in plain.select("order_id", "customer_sk").collect())
-    b = sorted(tuple(r) for r in salted.collect())
-    assert a == b == sorted(tuple(r) for r in split.select("order_id", "customer_sk").collect())
-    assert len(a) == 2000
+def hot_orders(spark):
+    """2,000 orders: two thirds of customer 1, the rest of customer 2 and of one-off customers."""
+    customer = F.when(F.col("id") % 3 < 2, F.lit(1)).when(F.col("id") % 6 == 2, F.lit(2)).otherwise(F.col("id")).cast("long")
+    return spark.range(0, 2000).select(
+        F.col("id").alias("order_id"), customer.alias("customer_id"),
+        (F.lit(V1) + F.make_interval(days=(F.col("id") % 300).cast("int"))).alias("ordered_at"))
+
+
+def test_salts_follow_the_rows_of_each_key(spark):
+    got = {r._salt_key: r._salts for r in key_salts(hot_orders(spark), "customer_id", 100).collect()}
+    assert got == {1: 14, 2: 4}
+    assert key_salts(hot_orders(spark), "customer_id").count() == 0
+
 
+def test_several_hot_keys_split_equal_the_plain_join(spark):
+    ev = hot_orders(spark)
+    rows = lambda df: sorted((r.order_id, r.customer_sk or "") for r in df.select("order_id", "customer_sk").collect())
+    plain = rows(asof_left_join(ev, dims(spark), "customer_id", "ordered_at", ["customer_sk"], rows_per_task=None))
+    split = asof_left_join(ev, dims(spark), "customer_id", "ordered_at", ["customer_sk"], salt_by=["order_id"], rows_per_task=100)
+    assert split.columns == [*ev.columns, "customer_sk"] and rows(split) == plain and len(plain) == 2000
 
-def test_salt_buckets_follow_hot_key_size(spark):
-    from starloom.operators.skew import hot_key_counts, salt_buckets
 
-    ev = spark.range(0, 3000).select(
-        F.col("id").alias("order_id"),
-        F.when(F.col("id") < 1000, F.lit(7)).otherwise(F.col("id")).cast("long").alias("customer_id"))
-    hot = hot_key_counts(ev, "customer_id", share=0.2, min_rows=1)
-    assert hot == {7: 1000}
-    assert salt_buckets(hot, rows_per_task=100) == 10
-    assert salt_buckets({}, rows_per_task=100) == 1
-    assert salt_buckets({1: 10**13}) == 100_000
-    # the as-of join with a salted hot key gives the same rows as without
-    dims = spark.createDataFrame([("sk7", 7, V1, None)],
-                                 "customer_sk string, customer_id long, valid_from timestamp, valid_to timestamp")
-    ev2 = ev.withColumn("ordered_at", F.lit(V2))
-    a = asof_left_join(ev2, dims, "customer_id", "ordered_at", ["customer_sk"], hot_share=0.2,
-                       salt_by=["order_id"], rows_per_task=100, min_hot_rows=1)
-    b = asof_left_join(ev2, dims, "customer_id", "ordered_at", ["customer_sk"], hot_share=None)
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    assert a.where("customer_sk = 'sk7'").count() == 1000
+def test_every_join_type_that_keeps_left_rows(spark):
+    ev, right = hot_orders(spark), spark.createDataFrame([(1, "a"), (1, "b"), (7, "c")], "k long, v string")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        want = ev.join(right, F.col("customer_id") == F.col("k"), how)
+        got = salted_join(ev, right, "customer_id", "k", ["order_id"], how, rows_per_task=50)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), how

@@ -41,7 +41,7 @@ def test_partitioned_write_touches_only_changed_partitions(spark):
     path = scratch_path(spark, "t_incr")
     first = spark.createDataFrame(
         [(1, D1, 10, "2024-01"), (2, D1, 20, "2024-01"), (3, D2, 30, "2024-02"), (4, D2, 40, "2024-02")], SCHEMA)
-    assert write_incremental(spark, first, path, "order_id", "order_month")["mode"] == "create"
+    assert write_incremental(spark, first, path, "order_id", "order_month", create=True)["mode"] == "create"
     # key 2 moves from January to March; key 3 is replaced in place; key 5 is new
     new = spark.createDataFrame([(2, D3, 21, "2024-03"), (3, D2, 31, "2024-02"), (5, D3, 50, "2024-03")], SCHEMA)
     r = write_incremental(spark, new, path, "order_id", "order_month")
@@ -67,8 +67,32 @@ def test_missing_source_file_fails(spark):
 def test_partitioned_write_rejects_drift(spark):
     path = scratch_path(spark, "t_incr_drift")
     first = spark.createDataFrame([(1, D1, 10, "2024-01")], SCHEMA)
-    write_incremental(spark, first, path, "order_id", "order_month")
+    write_incremental(spark, first, path, "order_id", "order_month", create=True)
     drifted = first.withColumn("amount", F.col("amount").cast("double"))
     with pytest.raises(SchemaDrift):
         write_incremental(spark, drifted, path, "order_id", "order_month")
     assert spark.read.parquet(path).count() == 1
+
+
+def test_a_missing_table_is_an_error_not_a_new_one(spark):
+    path = scratch_path(spark, "t_missing")
+    rows = spark.createDataFrame([(1, "a", "2024-01")], "order_id long, v string, order_month string")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        write_incremental(spark, rows, path, "order_id", "order_month")
+    write_incremental(spark, rows, path, "order_id", "order_month", create=True)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        write_incremental(spark, rows.limit(0), path, "order_id", "order_month", create=True)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_lines_of_a_large_order_keep_their_own_keys(spark):
+    from starloom.sources import driver_tables
+
+    path = scratch_path(spark, "t_lines")
+    big = spark.range(2500).selectExpr(
+        "CASE WHEN id < 1500 THEN 1L ELSE 2L END AS l_orderkey", "id AS l_partkey", "1L AS l_suppkey", "CAST(id % 7 AS INT) AS l_linenumber",
+        "CAST(id % 50 AS DOUBLE) AS l_quantity", "10.0D AS l_extendedprice", "0.1D AS l_discount")
+    big.write.parquet(f"{path}/lineitem.parquet")
+    items = driver_tables.raw_order_items(spark, path)
+    assert items.select("order_item_id").distinct().count() == 2500
+    assert "Window" not in items._jdf.queryExecution().toString()

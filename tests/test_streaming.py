@@ -1,6 +1,8 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from starloom.session import scratch_path
 from starloom.streaming import order_metrics as om
 
@@ -55,6 +57,24 @@ def test_malformed_json_is_ignored(spark):
     assert got == [("00:00", 1, 4.5, 3.0, True)]
 
 
+def test_iso_forms_are_kept_and_malformed_events_are_counted(spark):
+    from pyspark.sql import Observation
+
+    forms = ["2024-01-01T00:00:10Z", "2024-01-01T00:00:10.5Z", "2024-01-01T00:00:10.123456Z", "2024-01-01T00:00:10.123456789Z",
+             "2024-01-01T00:00:10", "2024-01-01T02:00:10.250+02:00"]
+    lines = [json.dumps({"order_id": i, "status": "completed", "event_time": t, "produced_at": t}) for i, t in enumerate(forms)]
+    raw = spark.createDataFrame([(x,) for x in [*lines, "{bad", '{"order_id": 9, "event_time": "soon"}']], "value string")
+    seen = Observation("seen")
+    got = om.parse_json_events(raw).observe(seen, F.count("*").alias("n")).collect()
+    assert sorted(r.order_id for r in got) == list(range(6)) and seen.get["n"] == 6
+    assert {r.event_time.replace(microsecond=0).strftime("%H:%M:%S") for r in got} == {"00:00:10"}
+    d = write_batches(spark, [[*lines, "{bad"]])
+    q, _ = om.start(spark, om.json_dir_event_source(spark, d))
+    q.awaitTermination()
+    counted = [p.observedMetrics["parsed_events"] for p in q.recentProgress if "parsed_events" in p.observedMetrics]
+    assert sum(c.rows for c in counted) == 7 and sum(c.malformed for c in counted) == 1
+
+
 def test_events_json_round_trip(spark):
     from starloom.sources.driver_tables import order_events
 
