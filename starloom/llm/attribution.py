@@ -131,16 +131,17 @@ def attribute(docs: DataFrame, vocabulary: bytes, rule: str = "majority", sectio
         span = F.struct(F.col("first_char").cast("long").alias("a"), F.col("past_char").cast("long").alias("b"), F.col("section").cast("int").alias("section"))
         spans = sections.groupBy(F.col("doc_id").alias("span_id")).agg(F.sort_array(F.collect_list(span)).alias("spans"))
         rows = rows.join(spans, F.col("doc_id") == F.col("span_id"), "left").drop("span_id")
+    by_lines = sections is None
     kind = pa.float64() if rule == "share" else pa.int64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         for part, texts in text_slices(batches):
-            given = part.column("spans").to_pylist() if sections is not None else [None] * len(texts)
+            given = [None] * len(texts) if by_lines else part.column("spans").to_pylist()
             owner, out = [], []
             for i, (text, spans) in enumerate(zip(texts, given)):
                 ends = encoder.ends(text)
-                found = _lines(text) if sections is None else [(s["section"], s["a"], s["b"]) for s in spans or []]
+                found = _lines(text) if by_lines else [(s["section"], s["a"], s["b"]) for s in spans or []]
                 begin, past = (np.array([0 if f[x] is None else f[x] for f in found], dtype=np.int64) for x in (1, 2))
                 begin, past = np.clip(begin, 0, len(text)), np.clip(past, 0, len(text))
                 offsets = byte_offsets(text, int(ends[-1]) if len(ends) else 0)
