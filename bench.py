@@ -15,6 +15,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 os.environ.setdefault("TZ", "UTC")
 
+# Orders from this day on come with the second build (about a quarter of them).
+LATER_ORDERS = "2000-01-01 00:00:00"
 HEADLINE = ["fact_orders", "fact_order_items", "customers_snapshot", "int_order_totals",
             "stream_daily_metrics", "fact_orders_incremental", "job_log_rollup"]
 
@@ -32,9 +34,9 @@ def main() -> None:
     from starloom.streaming import order_metrics as om
 
     timings: dict[str, float] = {}
-    b = Build(spark, sf_dir)
+    b = Build(spark, sf_dir, orders_before=LATER_ORDERS)  # the rebuild loads the rest
     timings.update(b.full())
-    b.rebuild()  # snapshot pass + dimensions + incremental facts + all tests
+    b.rebuild()  # raw tables again, snapshot pass, dimensions, new orders into the facts, all tests
     timings["incremental_build"] = b.timings["rebuild"]
     timings["incremental_facts_only"] = b.timings["incremental_build"]
 

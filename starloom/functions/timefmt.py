@@ -15,11 +15,6 @@ def iso_millis(ts: str | Column) -> Column:
     return F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
-def parse_iso(s: str | Column) -> Column:
-    """ISO-8601 text (with or without 'Z') to timestamp; naive text is UTC."""
-    return F.to_timestamp(_col(s))
-
-
 def millis_between(start: str | Column, end: str | Column) -> Column:
     """Whole milliseconds from start to end, the difference truncated toward zero."""
     micros = F.unix_micros(_col(end)) - F.unix_micros(_col(start))

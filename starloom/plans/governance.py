@@ -37,21 +37,6 @@ INVENTORY_SCHEMA = T.StructType([
 ])
 
 
-def approx_distinct_people(restricted: DataFrame, rsd: float = 0.01) -> DataFrame:
-    """HyperLogLog estimate of the same count: fixed-size state per task."""
-    return restricted.agg(F.approx_count_distinct("email_hash", rsd).alias("people_approx"))
-
-
-def pii_columns(models: list[tuple[str, str, DataFrame]]) -> list[tuple[str, str, str]]:
-    """(schema, model, column) for every field tagged ``pii`` in a model's schema."""
-    return [
-        (schema_name, model_name, f.name)
-        for schema_name, model_name, df in models
-        for f in df.schema.fields
-        if f.metadata.get("pii")
-    ]
-
-
 def pii_inventory(spark: SparkSession, models: list[tuple[str, str, DataFrame]]) -> DataFrame:
     """The inventory, read from the models' column metadata, with how many
     values each tagged column holds (one aggregation pass per model)."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import fixed as FX
-from starloom.functions import date_key, date_name, date_part, day_spine_covering, money, surrogate_key
+from starloom.functions import date_key, date_name, date_part, day_spine_covering, is_weekend, money, surrogate_key
 from starloom.operators.asof import asof_left_join
 from starloom.plans.intermediate import int_order_totals
 from starloom.plans.staging import _tagged
@@ -32,7 +32,7 @@ def dim_date(spark: SparkSession, start: str = CONFIG_DATE_START, end: str = CON
         date_part("day", d).alias("day_of_month"),
         date_part("isodow", d).alias("day_of_week"),
         date_name(d, "weekday").alias("day_name"),
-        (date_part("isodow", d) >= 6).alias("is_weekend"),
+        is_weekend(d).alias("is_weekend"),
     )
 
 

@@ -45,6 +45,20 @@ def test_full_build_then_incremental(spark):
     assert items.groupBy("order_item_id").count().where("count > 1").count() == 0
 
 
+def test_second_build_loads_the_orders_that_came_since(spark):
+    b = Build(spark, SF, orders_before="1999-01-01 00:00:00")
+    b.full()
+    first = spark.read.parquet(f"{b.root}/marts/fact_orders").count()
+    b.rebuild()
+    raw_orders = spark.read.parquet(f"{SF}/orders.parquet")
+    raw_lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    orders, lines = b.tables["fact_orders"], b.tables["fact_order_items"]
+    assert 0 < first < raw_orders.count() == orders.count() == orders.select("order_id").distinct().count()
+    assert lines.count() == raw_lines.count() == lines.select("order_item_id").distinct().count()
+    old = orders.where("ordered_at < '1999-01-01'").count()
+    assert old == first
+
+
 def test_rebuild_is_stable(spark):
     b = Build(spark, SF)
     b.full()
