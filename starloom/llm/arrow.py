@@ -15,13 +15,13 @@ from starloom.llm.common import SHINGLE_WORDS
 SLICE_BYTES = 4 << 20
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """The batches cut into slices of about SLICE_BYTES of text, with the texts (null: empty)."""
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The batches cut into slices of about ``most`` bytes of text, with the texts (null: empty)."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        at = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+        at = np.cumsum(sizes, dtype=np.int64) // most
         cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             part = batch.slice(a, b - a)

@@ -1,6 +1,6 @@
 """Removal of repeated 20-word passages by super-k-mer partitioning.
 
-A window is 20 consecutive words of a document. Its minimiser is the four-word
+A window is 20 consecutive words of a document. Its minimiser is the three-word
 run in it with the least hash. Consecutive windows share their minimiser, so
 they travel together: one packed string of words goes to the minimiser's
 bucket instead of one string for each window. In a bucket the strings' windows
@@ -32,18 +32,26 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.llm.arrow import Words, run_ranks, text_slices, whole_groups
+from starloom.llm.arrow import Words, text_slices, whole_groups
 from starloom.llm.common import written
 
 #: Words of a window and of a minimiser.
-WINDOW, MINIMISER = 20, 4
+WINDOW, MINIMISER = 20, 3
 #: Packed bytes a bucket should hold; packed strings take about three times the text.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 8 << 20
 #: One document in so many is read to find frequent minimisers; those in more than 1 / (2 * buckets) of the sampled runs are split.
 SAMPLE = 64
-DEALT = "bucket int, ids binary, keys binary, starts binary, packed binary"
+#: Sampled runs that a split minimiser has at least.
+LEAST_SPLIT = 64
+#: Text bytes of a slice: larger ones pack better.
+DEALT_SLICE = 8 << 20
+#: places: id steps, hashes and first words of the strings; in bucket -1 past words too.
+DEALT = "bucket int, places binary, packed binary"
 SPAN = "doc_id long, tk long, first int, past int"
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+#: Step of the window hash's powers, and its inverse modulo 2^64.
+_STEP = np.uint64(0xD1342543DE82EF95)
+_BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
 NULL_ID = np.iinfo(np.int64).min
 
 
@@ -103,8 +111,8 @@ def _sampled_minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 def _dealt(buckets: int, split: np.ndarray):
     """Packed strings by bucket; a row for a slice's strings of one bucket. Bucket -1 has spans found at once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1)
-        for part, texts in text_slices(batches):
+        pack = zstandard.ZstdCompressor(level=3)
+        for part, texts in text_slices(batches, most=DEALT_SLICE):
             ids, tks = _ids(part)
             words = Words([t.encode() for t in texts])
             first, last, owner, key = _runs(words, split)
@@ -128,24 +136,86 @@ def _dealt(buckets: int, split: np.ndarray):
             repeat = np.flatnonzero(repeated)
             if len(repeat):
                 o = owner[repeat]
-                rows.append((-1, ids[o].tobytes(), tks[o].tobytes(),
-                             np.stack([first[repeat] - origin[repeat], last[repeat] + WINDOW - origin[repeat]]).astype(np.int32).tobytes(), b""))
+                rows.append((-1, _places(pack, ids[o], tks[o], place[repeat], last[repeat] + WINDOW - origin[repeat]), b""))
             ship = np.flatnonzero(fresh)
             bucket = (key[ship] % np.uint64(buckets)).astype(np.int64)
             ship, bucket = ship[o := np.argsort(bucket, kind="stable")], bucket[o]
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(ship)]])
             for a, b in zip(cuts, cuts[1:]):
                 some = ship[a:b]
-                rows.append((int(bucket[a]), ids[owner[some]].tobytes(), tks[owner[some]].tobytes(),
-                             (first[some] - origin[some]).astype(np.int32).tobytes(),
+                rows.append((int(bucket[a]), _places(pack, ids[owner[some]], tks[owner[some]], place[some]),
                              pack.compress(b"\n".join([strings[r] for r in some.tolist()]))))
-            columns = list(zip(*rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
-                ["bucket", "ids", "keys", "starts", "packed"])
+            numbers, places, packed = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(places, pa.binary()), pa.array(packed, pa.binary())],
+                                             ["bucket", "places", "packed"])
     return run
 
 
+def _places(pack: zstandard.ZstdCompressor, ids: np.ndarray, tks: np.ndarray, *words: np.ndarray) -> bytes:
+    steps = np.diff(ids, prepend=0)  # wraps around, as cumsum does
+    return pack.compress(b"".join([steps.tobytes(), tks.tobytes(), *(w.astype(np.int32).tobytes() for w in words)]))
+
+
+def _unpacked(data: bytes, words: int) -> list[np.ndarray]:
+    n = len(data) // (16 + 4 * words)
+    ids, tks = np.cumsum(np.frombuffer(data, np.int64, n)), np.frombuffer(data, np.int64, n, 8 * n)
+    return [ids, tks, *(np.frombuffer(data, np.int32, n, 16 * n + 4 * n * k).astype(np.int64) for k in range(words))]
+
+
+def _window_hashes(raw: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """64-bit hash of the WINDOW words from each word on (the last ones: of fewer). begin, length: the words' bytes."""
+    at = np.arange(len(raw)) - np.repeat(begin, length + 1)[: len(raw)]
+    power = np.cumprod(np.full(int(length.max()) + 1, _MIX[0]), dtype=np.uint64)
+    value = raw.astype(np.uint64) + np.uint64(1)
+    value[begin[1:] - 1] = 0  # separators
+    word = _mixed(np.add.reduceat(value * power[at], begin), 1)
+    forth = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(word), _STEP, dtype=np.uint64)]), dtype=np.uint64)
+    back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(word), _BACK, dtype=np.uint64)]), dtype=np.uint64)
+    total = np.concatenate([[np.uint64(0)], np.cumsum(word * forth[:-1], dtype=np.uint64)])
+    past = np.minimum(np.arange(len(word)) + WINDOW, len(word))
+    return _mixed((total[past] - total[:-1]) * back[:-1], 0)
+
+
+def repeats_in(data: bytes, ids: np.ndarray, tks: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Repeated runs of windows: string, first word and word past the last window, in words of the document.
+
+    data: packed strings, one a line; ids, tks, at: document and first word of each.
+    """
+    raw = np.frombuffer(data, dtype=np.uint8)
+    gap = np.flatnonzero((raw == 32) | (raw == 10))
+    begin = np.concatenate([[0], gap + 1])
+    length = np.append(gap, len(raw)) - begin
+    last = np.append(np.flatnonzero(raw[gap] == 10), len(begin) - 1)  # last word of each string
+    count = np.diff(np.concatenate([[-1], last]))
+    number = np.maximum(count - WINDOW + 1, 0)
+    owner = np.repeat(np.arange(len(count)), number)
+    nth = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+    window = np.repeat(last + 1 - count, number) + nth
+    start = np.repeat(at, number) + nth
+    key = _window_hashes(raw, begin, length)[window]
+    # Sorting brings equal windows together; those without an equal are done.
+    order = np.argsort(key)
+    equal = np.concatenate([[False], key[order[1:]] == key[order[:-1]], [False]])
+    some = np.sort(order[equal[1:] | equal[:-1]])
+    some = some[np.lexsort((start[some], tks[owner[some]], ids[owner[some]], key[some]))]
+    again = np.zeros(len(window), dtype=bool)
+    text = lambda w: data[begin[window[w]] : begin[p := window[w] + WINDOW - 1] + length[p]]
+    known: dict[bytes, int] = {}
+    current = None
+    for w, k in zip(some.tolist(), key[some].tolist()):
+        if k != current:
+            known, current = {}, k
+        first = known.setdefault(text(w), w)
+        # The same place twice: the row of the document is repeated.
+        again[w] = first != w and (start[first] != start[w] or tks[owner[first]] != tks[owner[w]] or ids[owner[first]] != ids[owner[w]])
+    hit = np.flatnonzero(again)
+    if not len(hit):
+        return hit, hit, hit
+    new = np.flatnonzero(np.concatenate([[True], (np.diff(hit) != 1) | (np.diff(owner[hit]) != 0)]))
+    end = np.append(new[1:], len(hit)) - 1
+    return owner[hit[new]], start[hit[new]], start[hit[end]] + WINDOW
+
+
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor()
 
@@ -157,35 +227,15 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t, starts_of in whole_groups(batches, ["bucket"], rows=1):
         for a, b in zip(starts_of, starts_of[1:]):
             group = t.slice(a, b - a)
-            column = lambda name, kind: np.frombuffer(b"".join(group.column(name).to_pylist()), dtype=kind)
-            ids, tks = column("ids", np.int64), column("keys", np.int64)
-            if group.column("bucket")[0].as_py() < 0:
-                for row in group.to_pylist():
-                    first, past = np.frombuffer(row["starts"], np.int32).reshape(2, -1)
-                    yield out(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["keys"], np.int64), first, past)
-                continue
-            at = column("starts", np.int32).astype(np.int64)
-            strings = [s for blob in group.column("packed").to_pylist() for s in unpack.decompress(blob).split(b"\n")]
-            words = Words(strings)
-            window, owner = words.run_starts(WINDOW)
-            rank = run_ranks(words.codes, WINDOW)[window]
-            start = at[owner] + window - (words.ends - words.counts)[owner]
-            order = np.lexsort((start, tks[owner], ids[owner], rank))
-            again = np.zeros(len(window), dtype=bool)
-            again[order[1:]] = rank[order[1:]] == rank[order[:-1]]
-            # The same window of the same document can stand in two strings only if the document has been read twice.
-            same = (ids[owner[order[1:]]] == ids[owner[order[:-1]]]) & (tks[owner[order[1:]]] == tks[owner[order[:-1]]]) & (start[order[1:]] == start[order[:-1]])
-            twin = np.flatnonzero(same & again[order[1:]])
-            for k in twin.tolist():
-                again[order[k + 1]] = again[order[k]]
-            hit = np.flatnonzero(again)
-            if not len(hit):
+            if group.column("bucket")[0].as_py() < 0:  # found by _dealt
+                for places in group.column("places").to_pylist():
+                    yield out(*_unpacked(unpack.decompress(places), 2))
                 continue
-            begins = np.concatenate([[True], (np.diff(hit) != 1) | (np.diff(owner[hit]) != 0)])
-            b0 = np.flatnonzero(begins)
-            e0 = np.append(b0[1:], len(hit)) - 1
-            o = owner[hit[b0]]
-            yield out(ids[o], tks[o], start[hit[b0]], start[hit[e0]] + WINDOW)
+            ids, tks, at = (np.concatenate(x) for x in zip(*(_unpacked(unpack.decompress(p), 1) for p in group.column("places").to_pylist())))
+            data = b"\n".join(unpack.decompress(blob) for blob in group.column("packed").to_pylist())
+            string, first, past = repeats_in(data, ids, tks, at)
+            if len(string):
+                yield out(ids[string], tks[string], first, past)
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,10 +270,10 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
                .groupBy("key").agg(F.count("*").alias("n")))
     sampled = written(sampled, "minimisers")
     runs = sampled.agg(F.sum("n")).first()[0] or 0
-    least = max(64, runs // (2 * buckets))  # so at most 2 * buckets of them
+    least = max(LEAST_SPLIT, runs // (2 * buckets))  # so at most 2 * buckets of them
     split = np.sort(np.array([r[0] for r in sampled.filter(F.col("n") >= least).select("key").collect()], np.int64).view(np.uint64))
     dealt = texts.select("doc_id", "tk", "text").mapInArrow(_dealt(buckets, split), DEALT)
-    lot = F.when(F.col("bucket") >= 0, 0).otherwise(F.pmod(F.xxhash64("ids"), F.lit(buckets)))  # spans found at once go anywhere
+    lot = F.when(F.col("bucket") >= 0, 0).otherwise(F.pmod(F.xxhash64("places"), F.lit(buckets)))  # spans found at once go anywhere
     return dealt.withColumn("lot", lot).repartition("bucket", "lot").sortWithinPartitions("bucket").drop("lot").mapInArrow(_repeats, SPAN)
 
 
