@@ -32,6 +32,7 @@ from starloom.llm.common import unused, words, written
 
 #: Labelled documents read, at most; features kept, at most.
 MAX_LABELLED, MAX_FEATURES = 20_000, 96
+#: Steps end at this many, when the totals meet their targets to TOLERANCE, or when a step moves them by less than a tenth of it.
 STEPS, TOLERANCE = 40, 1e-4
 
 
@@ -119,13 +120,16 @@ def fit_steps(rows: DataFrame, target: np.ndarray, least_rate: float) -> list[np
         m[i, j] = m[j, i] = gram[f"m{i}_{j}"] or 0.0
     inverse = np.linalg.pinv(m, rcond=1e-9, hermitian=True)
     steps: list[np.ndarray] = []
+    before = None
     for _ in range(STEPS):
         rate = F.col("t") * _rate(F.col("p"), steps, least_rate)
         sums = rows.withColumn("taken", rate).agg(*[F.sum(F.col("taken") * F.col("p")[i]).alias(f"s{i}") for i in range(k)]).first()
         gap = np.array([sums[f"s{i}"] or 0.0 for i in range(k)]) - target
         step = inverse @ gap
-        if np.abs(gap).sum() <= TOLERANCE * max(1.0, target.sum()) or np.abs(step).max() < 1e-9:
+        close = TOLERANCE * max(1.0, target.sum())
+        if np.abs(gap).sum() <= close or np.abs(step).max() < 1e-9 or (before is not None and np.abs(gap - before).sum() <= close / 10):
             break
+        before = gap
         steps.append(step)
     return steps
 
