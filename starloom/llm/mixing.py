@@ -12,7 +12,7 @@
    M = sum t p p' and the steps by 1/t, which makes the step length 1 safe:
    r <- max(least_rate, r - p . M^-1 (expected - target)). Each step is one
    aggregation to one sum per domain. A rate is a function of p and of the steps
-   so far, so no state is kept between steps and no row is joined.
+   so far, so no row is joined; narrow rates are written every few steps.
 
 All of it is DataFrame functions. The targets' number is the number of domains, small and
 given by the caller. Cases: null, empty and blank texts have 0 tokens; they get
@@ -34,6 +34,8 @@ from starloom.llm.common import unused, words, written
 MAX_LABELLED, MAX_FEATURES = 20_000, 96
 #: Steps end at this many, when the totals meet their targets to TOLERANCE, or when a step moves them by less than a tenth of it.
 STEPS, TOLERANCE = 40, 1e-4
+#: Steps after which the rates so far are written, so that a step works out few earlier ones.
+WRITE_EVERY = 6
 
 
 def _feature_array(text: Column, w: Column) -> Column:
@@ -103,10 +105,12 @@ def posteriors(text: Column, w: Column, model: tuple[list[str], np.ndarray, np.n
     return F.transform(scaled, lambda e: F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b)))[0]
 
 
-def _rate(p: Column, steps: list[np.ndarray], least_rate: float) -> Column:
+def _rate(p: Column, steps: list[np.ndarray], least_rate: float, start: Column | None = None) -> Column:
+    """The rate after the steps, from ``start`` (1 if None)."""
+    start = F.lit(float(max(1.0, least_rate))) if start is None else start
     if not steps:
-        return F.lit(float(max(1.0, least_rate)))
-    return F.aggregate(F.array(*[_doubles(c) for c in steps]), F.lit(float(max(1.0, least_rate))),
+        return start
+    return F.aggregate(F.array(*[_doubles(c) for c in steps]), start,
                        lambda r, c: F.greatest(F.lit(float(least_rate)), r - _dot(p, c)))
 
 
@@ -121,9 +125,12 @@ def fit_steps(rows: DataFrame, target: np.ndarray, least_rate: float) -> list[np
     inverse = np.linalg.pinv(m, rcond=1e-9, hermitian=True)
     steps: list[np.ndarray] = []
     before = None
-    for _ in range(STEPS):
-        rate = F.col("t") * _rate(F.col("p"), steps, least_rate)
-        sums = rows.withColumn("taken", rate).agg(*[F.sum(F.col("taken") * F.col("p")[i]).alias(f"s{i}") for i in range(k)]).first()
+    state = rows.select("t", "p", _rate(F.col("p"), [], least_rate).alias("r"))
+    for n in range(STEPS):
+        last = steps[n - n % WRITE_EVERY:]
+        if n and not last:
+            state = written(state.withColumn("r", _rate(F.col("p"), steps[-WRITE_EVERY:], least_rate, F.col("r"))), "rates")
+        sums = state.withColumn("taken", F.col("t") * _rate(F.col("p"), last, least_rate, F.col("r"))).agg(*[F.sum(F.col("taken") * F.col("p")[i]).alias(f"s{i}") for i in range(k)]).first()
         gap = np.array([sums[f"s{i}"] or 0.0 for i in range(k)]) - target
         step = inverse @ gap
         close = TOLERANCE * max(1.0, target.sum())
