@@ -43,8 +43,6 @@ BUCKET_BYTES = 8 << 20
 SAMPLE = 64
 #: Sampled runs that a split minimiser has at least.
 LEAST_SPLIT = 64
-#: Text bytes of a slice: larger ones pack better.
-DEALT_SLICE = 8 << 20
 #: places: id steps, hashes and first words of the strings; in bucket -1 past words too.
 DEALT = "bucket int, places binary, packed binary"
 SPAN = "doc_id long, tk long, first int, past int"
@@ -112,7 +110,7 @@ def _dealt(buckets: int, split: np.ndarray):
     """Packed strings by bucket; a row for a slice's strings of one bucket. Bucket -1 has spans found at once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
-        for part, texts in text_slices(batches, most=DEALT_SLICE):
+        for part, texts in text_slices(batches):
             ids, tks = _ids(part)
             words = Words([t.encode() for t in texts])
             first, last, owner, key = _runs(words, split)
@@ -164,11 +162,14 @@ def _unpacked(data: bytes, words: int) -> list[np.ndarray]:
 
 def _window_hashes(raw: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     """64-bit hash of the WINDOW words from each word on (the last ones: of fewer). begin, length: the words' bytes."""
-    at = np.arange(len(raw)) - np.repeat(begin, length + 1)[: len(raw)]
-    power = np.cumprod(np.full(int(length.max()) + 1, _MIX[0]), dtype=np.uint64)
-    value = raw.astype(np.uint64) + np.uint64(1)
+    at = np.arange(len(raw), dtype=np.int32)
+    at -= np.repeat(begin.astype(np.int32), length + 1)[: len(raw)]
+    value = np.cumprod(np.full(int(length.max()) + 1, _MIX[0]), dtype=np.uint64)[at]
+    del at
+    value *= raw + np.uint64(1)
     value[begin[1:] - 1] = 0  # separators
-    word = _mixed(np.add.reduceat(value * power[at], begin), 1)
+    word = _mixed(np.add.reduceat(value, begin), 1)
+    del value
     forth = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(word), _STEP, dtype=np.uint64)]), dtype=np.uint64)
     back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(word), _BACK, dtype=np.uint64)]), dtype=np.uint64)
     total = np.concatenate([[np.uint64(0)], np.cumsum(word * forth[:-1], dtype=np.uint64)])
