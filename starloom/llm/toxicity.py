@@ -38,7 +38,7 @@ from starloom.llm.arrow import Words, text_slices
 from starloom.llm.common import unused, written
 
 #: Labelled documents read for each label and part of the training rows, at most.
-MAX_LABELLED = 15_000
+MAX_LABELLED = 8_000
 #: Terms of a lexicon, at most.
 MAX_TERMS = 600
 MIN_LETTERS, MAX_STEM = 4, 8
