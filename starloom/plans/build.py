@@ -96,12 +96,14 @@ class Build:
         seed = staging.stg_customers(self.tables["raw_customers"], None, include_updates=False)
         return _write(snapshot(seed, None, "customer_id"), f"{self.root}/snapshots/customers_snapshot/v1")
 
-    def _snapshot_current(self) -> DataFrame:
+    def snapshot_frame(self) -> DataFrame:
         """Second run: customers with the update batch, against the seed history."""
         t = self.tables
         cur = staging.stg_customers(t["raw_customers"], t["raw_customer_updates"], include_updates=True)
-        return _write(snapshot(cur, t["customers_snapshot_v1"], "customer_id"),
-                      f"{self.root}/snapshots/customers_snapshot/v2")
+        return snapshot(cur, t["customers_snapshot_v1"], "customer_id")
+
+    def _snapshot_current(self) -> DataFrame:
+        return _write(self.snapshot_frame(), f"{self.root}/snapshots/customers_snapshot/v2")
 
     def run_snapshot(self) -> None:
         t = self.tables
@@ -159,12 +161,11 @@ class Build:
         dim_product = t.get("dim_product")
         if dim_product is None:
             dim_product = marts.dim_product(staging.stg_products(t["raw_products"]))
-        enriched = t.get("orders_with_customer")
-        if enriched is None:
-            enriched = marts.orders_with_customer(stg_orders, dim_customer)
+        placed = marts.orders_with_customer(stg_orders, dim_customer)
+        enriched = t.get("orders_with_customer", placed)
         return {
             "dim_customer": marts.dim_customer(t["customers_snapshot"]),
-            "orders_with_customer": enriched,
+            "orders_with_customer (as-of join)": placed,
             "fact_orders": marts.fact_orders(enriched, marts.totals_for(stg_items)),
             "fact_order_items": marts.fact_order_items(stg_items, enriched, dim_product),
         }
