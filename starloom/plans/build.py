@@ -60,7 +60,7 @@ class Build:
         self.threads = threads
         self.test_threads = test_threads
         self.sf_dir = sf_dir
-        # Orders that the first landing has: those placed before this time (None: all).
+        # Orders that the first landing has, with their lines: those placed before this time (None: all).
         self.orders_before = orders_before
         self.root = (root or f"{scratch_root(spark)}/warehouse-{uuid.uuid4().hex[:8]}").rstrip("/")
         self.timings: dict[str, float] = {}
@@ -83,9 +83,15 @@ class Build:
 
     def _land(self, name: str) -> DataFrame:
         """Land one raw table with this run's load stamp."""
-        df = raw.RAW_BUILDERS[name](self.spark, self.sf_dir, self.stamp)
-        if name == "orders" and self.orders_before:
-            df = df.where(F.col("ordered_at") < F.to_timestamp(F.lit(self.orders_before)))
+        def source(table: str) -> DataFrame:
+            df = raw.RAW_BUILDERS[table](self.spark, self.sf_dir, self.stamp)
+            if table == "orders" and self.orders_before:
+                df = df.where(F.col("ordered_at") < F.to_timestamp(F.lit(self.orders_before)))
+            return df
+
+        df = source(name)
+        if name == "order_items" and self.orders_before:  # the lines come with their orders
+            df = df.join(source("orders").select("order_id"), "order_id", "left_semi").select(*df.columns)
         return _write(df, f"{self.root}/raw/{name}")
 
     def land_raw(self) -> None:
