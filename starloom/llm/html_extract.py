@@ -2,13 +2,15 @@
 
 1. Each page is parsed into containers and text blocks. What a tag or a class
    marks as menu, header, footer, sidebar, notice, advert, form, script or reader
-   comment is left out. From the body down, the container that still holds three
-   quarters of the text is the page's best.
+   comment is left out. From the body down, the page's best is the first article or main that holds three
+   quarters of the text at each step, or else the deepest such container beside which no text is left: links and
+   single words in containers of their own are no text. Beside an article or main only text outside containers of its own counts.
 2. Pages vote for the generalised tag-class path of their best container
    (digits taken out, identifiers ignored), weighted by its share of the
    page's text. Spark counts the votes and each host gets a winning path.
 3. Pages are parsed again and the text of the containers on the host's path is
-   taken; a page without that path gives its own best container.
+   taken; a page without that path gives its own best container, and so does one whose best container holds
+   those on the path with a quarter or less beside them.
 
 Character references are decoded, white space inside a block becomes one space,
 blocks are joined by a line feed. Cases: null, empty and unmarked html gives what text there is,
@@ -68,6 +70,8 @@ class Page:
     """Containers in page order (path, parent) and blocks in page order (container, text, characters in links)."""
     paths: list[str] = field(default_factory=lambda: [""])
     parents: list[int] = field(default_factory=lambda: [-1])
+    #: Whether a container is an article or main.
+    article: list[bool] = field(default_factory=lambda: [False])
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
 
@@ -163,6 +167,7 @@ def parse(html: str) -> Page:
             step = ".".join([tag, *sorted(DIGITS.sub("", c) for c in classes)])
             page.paths.append(f"{page.paths[container]}>{step}" if tag != "body" else "")
             page.parents.append(container)
+            page.article.append(tag in ("article", "main"))
             container = len(page.paths) - 1
         if not (attrs and attrs.rstrip().endswith("/") and tag not in BLOCKS):
             stack.append((tag, container, out))
@@ -184,25 +189,46 @@ def _weights(page: Page) -> list[float]:
 
 
 def best_container(page: Page) -> tuple[int, float]:
-    """The deepest container that keeps most of the text at each step down, and its share of the page's text."""
+    """The best container of a page, and its share of the page's text."""
     total = _weights(page)
-    at = 0
+    chain = [0]
     while True:
-        kids = [c for c in range(at + 1, len(total)) if page.parents[c] == at and total[c] >= LEAST_SHARE * total[at] and total[at]]
-        if not kids:
-            return at, (total[at] / total[0] if total[0] else 0.0)
-        at = max(kids, key=lambda c: total[c])
+        at = chain[-1]
+        kid = max((c for c in range(at + 1, len(total)) if page.parents[c] == at), key=lambda c: total[c], default=0)
+        if not kid or not total[at] or total[kid] < LEAST_SHARE * total[at]:
+            break
+        chain.append(kid)
+        if page.article[kid]:
+            break
+    # The deepest of the chain that holds each container, as a place in the chain.
+    under = [0] * len(total)
+    for c in range(1, len(total)):
+        under[c] = chain.index(c) if c in chain else under[page.parents[c]]
+    last = len(chain) - 1
+    for container, text, linked in page.blocks:
+        if 2 * linked < len(text) and (chain[under[container]] == container or (" " in text and not page.article[chain[-1]])):
+            last = min(last, under[container])
+    return chain[last], (total[chain[last]] / total[0] if total[0] else 0.0)
 
 
 def extract(html: str, path: str | None) -> str:
-    """The text of the containers on the path; of the page's best container if there is none."""
+    """The text of the containers on the path; of the page's best container if there is none, or if it holds them and little else."""
     page = parse(html)
-    taken = [path is not None and p == path and (c > 0 or path == "") for c, p in enumerate(page.paths)]
-    if not any(taken):
-        taken[best_container(page)[0]] = True
+    taken = _on(page, path is not None and [p == path and (c > 0 or path == "") for c, p in enumerate(page.paths)])
+    best = best_container(page)[0]
+    own = _on(page, [c == best for c in range(len(page.paths))])
+    size = [sum(len(text) - linked for container, text, linked in page.blocks if t[container]) for t in (taken, own)]
+    if not any(taken) or (all(o >= t for o, t in zip(own, taken)) and size[0] >= LEAST_SHARE * size[1]):
+        taken = own
+    return "\n".join(text for container, text, _ in page.blocks if taken[container])
+
+
+def _on(page: Page, chosen: list[bool] | bool) -> list[bool]:
+    """Whether each container is chosen or in one that is."""
+    taken = chosen or [False] * len(page.paths)
     for c in range(1, len(taken)):
         taken[c] = taken[c] or taken[page.parents[c]]
-    return "\n".join(text for container, text, _ in page.blocks if taken[container])
+    return taken
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -49,6 +49,28 @@ def test_small_pages(html, text):
     assert html_extract.extract(html or "", None) == text
 
 
+PROSE = " ".join(["many words of the story"] * 20)
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<article><h1>Title</h1><p>the lead</p><div class=entry><p>{}</p></div></article>", "Title\nthe lead\n{}"),
+    ("<div class=a><p>first part here</p></div><div class=b><p>{}</p></div>", "first part here\n{}"),
+    ("<div class=page><h1>Title</h1><article><p>{}</p></article></div>", "Title\n{}"),
+    ("<div class=list><a href=x>one link more</a></div><div class=b><p>{}</p></div>", "{}"),
+    ("<div class=beside><p>not of it</p></div><div><article><p>{}</p></article></div>", "{}"),
+])
+def test_text_beside_the_largest_container_stays(spark, html, text):
+    html, text = html.replace("{}", PROSE), text.replace("{}", PROSE)
+    assert html_extract.extract(html, None) == text
+    got = extracted(spark, [(i, "http://h.example/1", html) for i in range(3)])
+    assert set(got.values()) == {(text, len(text))}
+
+
+def test_a_page_with_more_than_the_path_keeps_it():
+    html = f"<div class=a><p>its own lead</p></div><div class=b><p>{PROSE}</p></div>"
+    assert html_extract.extract(html, ">div.b") == "its own lead\n" + PROSE
+
+
 def test_very_long_page_and_empty_table(spark):
     body = "".join(f"<p>row {i}</p>" for i in range(20_000))
     got = extracted(spark, [(1, "http://x.example", f"<body><main>{body}</main></body>")])
