@@ -2,7 +2,8 @@
 
 1. Each page is parsed into containers and text blocks. What a tag or a class
    marks as menu, header, footer, sidebar, notice, advert, form, script or reader
-   comment is left out. From the body down, the page's best is the first article or main that holds three
+   comment is left out. A class or id counts only on an element that holds mostly links, or no article or main and at most
+   half of the page's text (any share, if it stands outside an article or main with text); beside words of another meaning, and on headings and paragraphs, only on mostly links. From the body down, the page's best is the first article or main that holds three
    quarters of the text at each step, or else the deepest such container beside which no text is left: links and
    single words in containers of their own are no text. Beside an article or main only text outside containers of its own counts.
 2. Pages vote for the generalised tag-class path of their best container
@@ -52,6 +53,14 @@ ENDS = {
     "td": frozenset(("td", "th")), "th": frozenset(("td", "th")), "option": frozenset(("option",)),
 }
 #: An element looked for by ENDS is not sought beyond these.
+#: Words that make no other name of a mark they stand beside; a mark beside other words, as in share-price, is a weak one.
+PLAIN = frozenset("""area articles bar block body bottom box btn button buttons col column container content count cta entry form
+full global group header icon icons inline inner item items left link links list local mobile outer overlay page panel post posts
+primary right row secondary section site slot small stories sub sticky text title top tray unit wide wrap wrapper""".split())
+#: Words before a mark that say what the element is next to, or lacks.
+MODIFIERS = frozenset("has have hide is no non not show sans with without".split())
+#: Elements that hold a line or a paragraph: class words mark them weakly, identifiers not at all.
+LINES = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 SCOPES = frozenset("article body div main ol section table ul dl select".split())
 NEVER_MARKED = frozenset(("html", "body", "main", "article"))
 ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "menu", "menubar", "alert"))
@@ -63,46 +72,105 @@ ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*
 MARK = re.compile(r"[a-z]+|[A-Z][a-z]*")
 DIGITS = re.compile(r"\d+")
 LEAST_SHARE = 0.75
+#: Share of a page's text above which a class or id does not mark an element, and share that marks must leave.
+MOST_MARKED, LEAST_LEFT = 0.5, 0.1
 
 
 @dataclass
 class Page:
     """Containers in page order (path, parent) and blocks in page order (container, text, characters in links)."""
-    paths: list[str] = field(default_factory=lambda: [""])
+    #: None: left out.
+    paths: list[str | None] = field(default_factory=lambda: [""])
     parents: list[int] = field(default_factory=lambda: [-1])
     #: Whether a container is an article or main.
     article: list[bool] = field(default_factory=lambda: [False])
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
 
-def _attributes(raw: str) -> tuple[list[str], bool]:
-    """Classes, and whether attributes mark the element as not the article's."""
-    classes, marked = [], False
+@dataclass
+class Mark:
+    """An element that its class or id may mark: the mark it lies in (-1: none), whether that is in an article, and what it holds."""
+    parent: int
+    weak: bool
+    within: bool
+    article: bool = False
+    text: int = 0
+    linked: int = 0
+
+
+NO_MARK, WEAK, STRONG = 0, 1, 2
+
+
+def mark_of(name: str) -> int:
+    """How a class or an id marks its element."""
+    found, other, before = NO_MARK, False, ""
+    for m in MARK.findall(name):
+        m = m.lower()
+        if before in MODIFIERS and m in MARKS:
+            return NO_MARK
+        if m in MARKS:
+            found = STRONG
+        elif m not in PLAIN and len(m) > 2:
+            other = True
+        before = m
+    return WEAK if found and other else found
+
+
+def _attributes(raw: str, tag: str) -> tuple[list[str], bool, int]:
+    """Classes, whether attributes hide the element, and how its class and id mark it."""
+    classes, hidden, marked = [], False, NO_MARK
     for name, a, b, c in ATTR.findall(raw):
         name, value = name.lower(), a or b or c
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value.lower() in ROLES):
-            marked = True
+            hidden = True
         elif name == "class":
             classes = value.split()
-        if name in ("class", "id"):
-            marked = marked or any(m.lower() in MARKS for m in MARK.findall(value))
-    return classes, marked
+            marked = max([marked, *map(mark_of, classes)])
+        elif name == "id" and tag in BLOCKS and tag not in LINES:
+            marked = max(marked, mark_of(value))
+    return classes, hidden, min(marked, WEAK) if tag in LINES else marked
+
+
+def counted(marks: list[Mark], total: int, inside: list[int], article: bool) -> list[bool]:
+    """Which marks leave out what they hold. total: the page's text; inside: text in each mark itself; article: whether an unmarked one has text."""
+    # Beside an article with text, a mark outside it counts whatever its size; the others' shares are of the rest.
+    beside = [article and not m.within and not m.weak and not m.article for m in marks]
+
+    def decide(of: int, links_only: bool) -> list[bool]:
+        drops = []
+        for m, clear in zip(marks, beside):
+            links = m.linked > 0 and m.linked >= m.text
+            drop = clear or (not m.article and (links or not (m.weak or links_only or m.text > MOST_MARKED * of)))
+            drops.append(drop or (m.parent >= 0 and drops[m.parent]))
+        return drops
+
+    def left(drops: list[bool]) -> int:
+        return total - sum(n for n, drop in zip(inside, drops) if drop)
+
+    rest = left([any(beside[k] for k in _up(marks, m)) for m in range(len(marks))])
+    drops = decide(rest, False)
+    return drops if left(drops) >= LEAST_LEFT * rest else decide(rest, True)
+
+
+def _up(marks: list[Mark], m: int) -> Iterator[int]:
+    while m >= 0:
+        yield m
+        m = marks[m].parent
 
 
 def parse(html: str) -> Page:
     page = Page()
-    stack: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, container, left out
-    buffer: list[str] = []
-    in_link = linked = 0
+    stack: list[tuple[str, int, bool, int]] = [("", 0, False, -1)]  # tag, container, left out, mark
+    marks: list[Mark] = []
+    mark_in = [-1]  # of each container
+    pieces: list[tuple[int, list[tuple[str, int, int]]]] = []  # container; text, characters in links, mark
+    buffer: list[tuple[str, int, int]] = []
+    in_link = 0
 
     def flush():
-        nonlocal linked
         if buffer:
-            text = " ".join("".join(buffer).split())
-            if text:
-                page.blocks.append((stack[-1][1], text, min(linked, len(text))))
+            pieces.append((stack[-1][1], buffer.copy()))
             buffer.clear()
-        linked = 0
 
     def pop(to: int):
         nonlocal in_link
@@ -114,12 +182,9 @@ def parse(html: str) -> Page:
             stack.pop()
 
     def text(raw: str):
-        nonlocal linked
         if raw and not stack[-1][2]:
             raw = unescape(raw)
-            buffer.append(raw)
-            if in_link:
-                linked += len(raw.strip())
+            buffer.append((raw, len(raw.strip()) if in_link else 0, stack[-1][3]))
 
     at = 0
     for m in TOKEN.finditer(html):
@@ -154,27 +219,65 @@ def parse(html: str) -> Page:
                     break
             flush()
         attrs = m["attrs"] if m["tag"] else m["attrs2"]
-        name, container, out = stack[-1]
+        name, container, out, mark = stack[-1]
         classes: list[str] = []
+        marked = NO_MARK
         if not out and attrs and not attrs.isspace():
-            classes, marked = _attributes(attrs)
-            out = marked and tag not in NEVER_MARKED
+            classes, hidden, marked = _attributes(attrs, tag)
+            out = hidden and tag not in NEVER_MARKED
         if tag in BOILERPLATE:
             out = True
         elif not out and (tag == "header" or any(c.lower() in PAGE_MARKS for c in classes)) and tag not in NEVER_MARKED:
-            out = not any(t in ("article", "main") for t, _, _ in stack)
+            if not any(t in ("article", "main") for t, *_ in stack):
+                out = tag == "header"
+                marked = max(marked, WEAK if tag in LINES else STRONG)
+        if marked and not out and tag not in NEVER_MARKED:
+            marks.append(Mark(mark, marked == WEAK, any(t in ("article", "main") for t, *_ in stack)))
+            mark = len(marks) - 1
+        # An article within an article, or one that is marked itself, is a reader's comment or the like.
+        if tag in ("article", "main") and not out and not marked and not any(t in ("article", "main") for t, *_ in stack):
+            for m in _up(marks, mark):
+                marks[m].article = True
         if tag in CONTAINERS and not out:
             step = ".".join([tag, *sorted(DIGITS.sub("", c) for c in classes)])
             page.paths.append(f"{page.paths[container]}>{step}" if tag != "body" else "")
             page.parents.append(container)
             page.article.append(tag in ("article", "main"))
             container = len(page.paths) - 1
+            mark_in.append(mark)
         if not (attrs and attrs.rstrip().endswith("/") and tag not in BLOCKS):
-            stack.append((tag, container, out))
+            stack.append((tag, container, out, mark))
             in_link += tag == "a"
     text(html[at:])
     pop(1)
     flush()
+
+    total, inside, drops, article = 0, [0] * len(marks), [], False
+    if marks:
+        among = page.article.copy()
+        for c in range(1, len(among)):
+            among[c] = among[c] or among[page.parents[c]]
+        for container, parts in pieces:
+            for raw, linked, m in parts:
+                n = max(0, len(" ".join(raw.split())) - linked)
+                total += n
+                if m < 0:
+                    article = article or (among[container] and n > 0)
+                    continue
+                inside[m] += n
+                for k in _up(marks, m):
+                    marks[k].text += n
+                    marks[k].linked += linked
+        drops = counted(marks, total, inside, article)
+    drops.append(False)  # for -1
+    for c, m in enumerate(mark_in):
+        if drops[m]:
+            page.paths[c] = None
+    for container, parts in pieces:
+        kept = [p for p in parts if not drops[p[2]]]
+        text = " ".join("".join(p[0] for p in kept).split())
+        if text:
+            page.blocks.append((container, text, min(sum(p[1] for p in kept), len(text))))
     return page
 
 

@@ -66,6 +66,22 @@ def test_text_beside_the_largest_container_stays(spark, html, text):
     assert set(got.values()) == {(text, len(text))}
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<div class='layout has-sidebar'><article><p>{}</p></article></div>", "{}"),
+    ("<div id='page-no-comments'><p>{}</p></div>", "{}"),
+    ("<div class='two-col-sidebar'><div class=sidebar>Menu here</div><article><p>{}</p></article></div>", "{}"),
+    ("<div class=widget><p>{}</p></div><div class=ad>Buy</div>", "{}"),
+    ("<div class=widget><p>{}</p></div><div class=promo><p>{}</p></div>", "{}\n{}"),
+    ("<article><h2 id='related-work'>Related work</h2><p class=notice>Note this</p><p>{}</p></article>", "Related work\nNote this\n{}"),
+    ("<article><p>{}</p><section class='share-price'>It fell</section><p>a <span id=share>b</span></p></article>", "{}\nIt fell\na b"),
+    ("<article><p>{}</p><div class='share-buttons'>Share</div><section class=comments><article>Reader says</article></section></article>", "{}"),
+    ("<article><p>{}</p><p class=related><a href=x>See that page</a></p><p>a<span class=ad>b</span></p></article>", "{}\na"),
+    ("<div class=comments><div class=story><p>no</p></div></div><div class=text><p>{}</p></div>", "{}"),
+])
+def test_marks_count_on_minor_parts_only(html, text):
+    assert html_extract.extract(html.replace("{}", PROSE), None) == text.replace("{}", PROSE)
+
+
 def test_a_page_with_more_than_the_path_keeps_it():
     html = f"<div class=a><p>its own lead</p></div><div class=b><p>{PROSE}</p></div>"
     assert html_extract.extract(html, ">div.b") == "its own lead\n" + PROSE
