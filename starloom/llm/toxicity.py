@@ -6,8 +6,9 @@
 2. The lexicon is a trie; its intersection with the Levenshtein automata of
    all terms is a deterministic automaton, built as words ask for it. It reads a
    word letter by letter and ends in a dead state as soon as no term is near.
-   Terms of 5 letters may have one edit, of 9 or more two; a near word that
-   clean labelled documents use is no hit.
+   Terms of 4 letters may have one edit, of 9 or more two; a near word that
+   clean labelled documents use is no hit. The letter runs of a token are read, and the token
+   without its outer punctuation, in which digits and signs are letters like others.
 3. Each hit is read in its window of words: between quotation marks or beside a
    word that reports speech it is a quotation, else abuse.
 4. A logistic regression on the counts of a document's hits gives the score. It is
@@ -41,7 +42,8 @@ from starloom.llm.common import unused, written
 MAX_LABELLED = 8_000
 #: Terms of a lexicon, at most.
 MAX_TERMS = 600
-MIN_LETTERS, MAX_STEM = 4, 8
+#: Letters of a learned word beginning.
+MIN_STEM, MAX_STEM = 4, 8
 #: A term's documents: share labelled toxic, and log-likelihood ratio, at least.
 LEAST_SHARE, LEAST_RATIO = 0.85, 18.0
 CONTEXT = 10
@@ -51,12 +53,15 @@ REPORTING = frozenset("""said says say wrote writes quoted quotes quote quoting
 dit disait écrit cité sagte sagt schrieb zitiert dijo dice escribió citó""".split())
 OPENING, CLOSING = "\"“„«‹‘'", "\"”“»›’'"
 LETTERS = re.compile(r"[^\W\d_]+")
+OUTER = re.compile(r"\A[\W_]+|[\W_]+\Z")
 FEATURES = 6
 #: Penalty of the regression, and the weights it pulls towards where labels are few: any abuse, log counts of
 #: abuse, stems, near terms, quotations, hits per 20 words.
 PENALTY = 1.0
 PRIOR = np.array([2.0, 1.5, 1.0, 0.5, 0.3, 0.5])
 EXACT, STEM, NEAR = 1, 2, 3
+#: Edits of the longest terms.
+MOST_EDITS = 2
 CACHE = 400_000
 
 
@@ -91,7 +96,7 @@ class Automaton:
 
     @staticmethod
     def edits(letters: int) -> int:
-        return 0 if letters < 5 else 1 if letters < 9 else 2
+        return 0 if letters < 4 else 1 if letters < 9 else MOST_EDITS
 
     def _state(self, points: set[tuple[int, int]]) -> int:
         """The state of these (node, edits) points and those reached by leaving out letters; -1 without any."""
@@ -158,7 +163,7 @@ class Lexicon:
         return {"words": self.words, "stems": self.stems, "harmless": self.harmless, "cache": {}, "automaton": None}
 
     def kind(self, token: bytes) -> int:
-        """The strongest hit among the letter runs of a token."""
+        """The strongest hit among the letter runs of a token and the token itself."""
         found = self.cache.get(token)
         if found is None:
             if self.automaton is None:
@@ -166,7 +171,7 @@ class Lexicon:
             if len(self.cache) > CACHE:
                 self.cache.clear()
             found = 0
-            for run in letter_runs(token):
+            for run in letter_runs(token) + whole(token):
                 kind = self.automaton.match(run)
                 if kind and not (kind == NEAR and run in self.harmless):
                     found = min(found or 9, kind)
@@ -179,6 +184,13 @@ def letter_runs(token: bytes) -> list[str]:
     return [s] if s.isalpha() else LETTERS.findall(s)
 
 
+def whole(token: bytes) -> list[str]:
+    """The token without its outer punctuation, if digits or signs are in it that the most edits can take out."""
+    s = OUTER.sub("", token.decode().lower())
+    signs = 0 if s.isalpha() else len(s) - sum(map(len, LETTERS.findall(s)))
+    return [s] if 0 < signs <= MOST_EDITS and signs < len(s) else []
+
+
 def quoted(tokens: list[str], at: int) -> bool:
     """Whether the token stands between quotation marks in its window, or beside a word that reports speech."""
     window = tokens[max(0, at - CONTEXT) : at + CONTEXT + 1]
@@ -217,14 +229,15 @@ def _ratio(a: pd.Series, b: pd.Series, n1: int, n0: int) -> pd.Series:
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, stem, toxic, n) of each slice: documents with the word or the word beginning."""
+    """(term, stem, whole, toxic, n) of each slice: documents with the word, the word beginning or the whole token."""
     for part, texts in text_slices(batches):
         words = Words([t.encode() for t in texts])
         toxic = part.column("toxic").to_numpy()
-        runs = [letter_runs(t) for t in words.distinct]
-        terms = sorted({r for rs in runs for r in rs if len(r) >= MIN_LETTERS})
+        runs, tokens = [letter_runs(t) for t in words.distinct], [whole(t) for t in words.distinct]
+        signed = {t for ts in tokens for t in ts}
+        terms = sorted({r for rs in runs for r in rs} | signed)
         index = {t: i for i, t in enumerate(terms)}
-        of = [[index[r] for r in rs if len(r) >= MIN_LETTERS] for rs in runs]
+        of = [[index[r] for r in rs + ts] for rs, ts in zip(runs, tokens)]
         # Pairs (text, word), then (text, beginning), each once.
         code = np.repeat(np.arange(len(of)), [len(x) for x in of])
         flat = np.array([i for x in of for i in x], dtype=np.int64)
@@ -236,20 +249,21 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = flat[at.astype(np.int64)]
         rows = []
         spelled = np.array(terms, dtype=object)
-        for stem in [0, *range(MIN_LETTERS, MAX_STEM + 1)]:
-            names = spelled if not stem else np.array([t[:stem] if len(t) > stem else "" for t in terms], dtype=object)
+        for stem in [0, *range(MIN_STEM, MAX_STEM + 1)]:
+            names = spelled if not stem else np.array([t[:stem] if len(t) > stem and t not in signed else "" for t in terms], dtype=object)
             ids, distinct = pd.factorize(names)
             keyed = np.unique(d * (len(distinct) + 1) + ids[w]) if len(w) else np.zeros(0, np.int64)
             dd, tt = keyed // (len(distinct) + 1), keyed % (len(distinct) + 1)
             for label in (0, 1):
                 n = np.bincount(tt[toxic[dd] == label], minlength=len(distinct))
                 some = np.flatnonzero(n)
-                rows.append((distinct[some], np.full(len(some), stem > 0), np.full(len(some), label, np.int32), n[some]))
-        term, stem, label, n = (np.concatenate(x) for x in zip(*rows))
+                whole_ = np.fromiter((not stem and t in signed for t in distinct[some]), bool, len(some))
+                rows.append((distinct[some], np.full(len(some), stem > 0), whole_, np.full(len(some), label, np.int32), n[some]))
+        term, stem, whole_, label, n = (np.concatenate(x) for x in zip(*rows))
         keep = term != ""
         yield pa.RecordBatch.from_arrays(
-            [pa.array(term[keep], pa.string()), pa.array(stem[keep]), pa.array(label[keep], pa.int32()), pa.array(n[keep], pa.int64())],
-            ["term", "stem", "toxic", "n"])
+            [pa.array(term[keep], pa.string()), pa.array(stem[keep]), pa.array(whole_[keep]), pa.array(label[keep], pa.int32()), pa.array(n[keep], pa.int64())],
+            ["term", "stem", "whole", "toxic", "n"])
 
 
 def learn_lexicon(rows: DataFrame) -> Lexicon:
@@ -259,12 +273,12 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     if not n1 or not n0:
         return Lexicon([], [])
     counts = written(
-        rows.select("text", "toxic").mapInArrow(_term_counts, "term string, stem boolean, toxic int, n long")
-        .groupBy("term", "stem").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
+        rows.select("text", "toxic").mapInArrow(_term_counts, "term string, stem boolean, whole boolean, toxic int, n long")
+        .groupBy("term", "stem", "whole").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
                                      F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")), "term-counts")
     share = F.col("a") / (F.col("a") + F.col("b"))
     # Toxic documents are the smaller part: what passes is a small share of the words, and ordered before the cut.
-    found = counts.filter((F.col("a") >= 3) & (share >= LEAST_SHARE)).orderBy(F.desc("a"), "b", "term").limit(40 * MAX_TERMS).toPandas()
+    found = counts.filter(~F.col("whole") & (F.col("a") >= 3) & (share >= LEAST_SHARE)).orderBy(F.desc("a"), "b", "term").limit(40 * MAX_TERMS).toPandas()
     found["ratio"] = _ratio(found["a"].astype(float), found["b"].astype(float), n1, n0)
     found = found[found["ratio"] >= LEAST_RATIO].sort_values(["ratio", "term"], ascending=[False, True])
     words = found[~found["stem"].astype(bool)]["term"].head(MAX_TERMS).tolist()

@@ -51,6 +51,15 @@ def test_near_words_that_clean_texts_use_are_no_hits():
     assert [lexicon.kind(w) for w in (b"stupid", b"STUPID!!", b"stupidd", b"stupia", b"x|stupid", b"stu")] == [EXACT, EXACT, NEAR, 0, EXACT, 0]
 
 
+def test_digits_signs_and_short_terms():
+    lexicon = Lexicon(["idiot", "stupid", "moron", "scum", "fag", "blorgface"], [], frozenset({"sum", "mor-on"}))
+    near = ["id1ot", "Stup*d!", "mor_on", "(m0ron)", "scumm", "sc*m", "scu_m", "bl0rgf*ce", "1diot,"]
+    assert {w: lexicon.kind(w.encode()) for w in near} == dict.fromkeys(near, NEAR)
+    none_ = ["sum", "mor-on", "i-d1-0t", "42", "fig", "f*g", "1234", "--", "sc**"]
+    assert {w: lexicon.kind(w.encode()) for w in none_} == dict.fromkeys(none_, 0)
+    assert lexicon.kind(b"fag") == EXACT
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rng = random.Random(2)
@@ -86,6 +95,14 @@ def test_held_out_labels_are_never_read(spark, labelled):
     assert (a.lexicon.words, a.weights.tolist(), a.intercept) == (b.lexicon.words, b.weights.tolist(), b.intercept)
 
 
+def test_short_words_are_learned_and_words_of_clean_texts_are_harmless(spark):
+    texts = [("they are scum and a fag" if d % 4 == 0 else "the sum of it-s sc-um words") + f" {'xyz'[d % 3] * 3}" for d in range(400)]
+    rows = spark.createDataFrame([(t, int(d % 4 == 0)) for d, t in enumerate(texts)], "text string, toxic int")
+    lexicon = toxicity.learn_lexicon(rows)
+    assert {"scum", "fag"} <= set(lexicon.words) and {"sum", "sc-um"} <= lexicon.harmless
+    assert lexicon.kind(b"sum") == lexicon.kind(b"sc-um") == 0 and lexicon.kind(b"sc.um") == lexicon.kind(b"scumm") == NEAR
+
+
 def test_awkward_rows(spark):
     marks = labels(spark, [(1, 1, 1, ""), (1, 1, 0, ""), (2, None, None, ""), (None, 1, 1, "")])
     left = toxicity.clean(cases(spark), marks)
