@@ -2,7 +2,8 @@
 
 1. Lexicon: words, and word beginnings, that stand almost only in documents
    labelled toxic (share of toxic documents and log-likelihood ratio). Counts
-   are made in Spark over a bounded sample of labelled documents.
+   are made in Spark over a bounded sample of labelled documents; each text counts once, and each
+   label weighs what it has among all labelled documents, not in the sample.
 2. The lexicon is a trie; its intersection with the Levenshtein automata of
    all terms is a deterministic automaton, built as words ask for it. It reads a
    word letter by letter and ends in a dead state as soon as no term is near.
@@ -39,7 +40,7 @@ from starloom.llm.arrow import Words, text_slices
 from starloom.llm.common import unused, written
 
 #: Labelled documents read for each label and part of the training rows, at most.
-MAX_LABELLED = 8_000
+MAX_LABELLED = 15_000
 #: Terms of a lexicon, at most.
 MAX_TERMS = 600
 #: Letters of a learned word beginning.
@@ -266,20 +267,26 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["term", "stem", "whole", "toxic", "n"])
 
 
-def learn_lexicon(rows: DataFrame) -> Lexicon:
-    """The lexicon of labelled texts (text, toxic); ``rows`` is a bounded sample."""
+def learn_lexicon(rows: DataFrame, total: dict[int, float] | None = None) -> Lexicon:
+    """The lexicon of labelled texts (text, toxic); ``rows`` is a bounded sample of ``total`` documents for each label (None: all of them)."""
+    if total is None:
+        total = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    rows = written(rows.select("text", "toxic").withColumn("tk", F.md5("text")).dropDuplicates(["tk", "toxic"]).drop("tk"), "distinct-texts")
     size = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not n1 or not n0:
         return Lexicon([], [])
+    # The labels' weights keep the shares of all labelled documents; the evidence stays that of the texts read.
+    scale = (n1 + n0) / (total[1] + total[0])
+    w1, w0 = scale * total[1] / n1, scale * total[0] / n0
     counts = written(
         rows.select("text", "toxic").mapInArrow(_term_counts, "term string, stem boolean, whole boolean, toxic int, n long")
         .groupBy("term", "stem", "whole").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
                                      F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")), "term-counts")
-    share = F.col("a") / (F.col("a") + F.col("b"))
+    share = F.col("a") * w1 / (F.col("a") * w1 + F.col("b") * w0)
     # Toxic documents are the smaller part: what passes is a small share of the words, and ordered before the cut.
     found = counts.filter(~F.col("whole") & (F.col("a") >= 3) & (share >= LEAST_SHARE)).orderBy(F.desc("a"), "b", "term").limit(40 * MAX_TERMS).toPandas()
-    found["ratio"] = _ratio(found["a"].astype(float), found["b"].astype(float), n1, n0)
+    found["ratio"] = _ratio(w1 * found["a"].astype(float), w0 * found["b"].astype(float), w1 * n1, w0 * n0)
     found = found[found["ratio"] >= LEAST_RATIO].sort_values(["ratio", "term"], ascending=[False, True])
     words = found[~found["stem"].astype(bool)]["term"].head(MAX_TERMS).tolist()
     known: set[str] = set()
@@ -297,7 +304,7 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
             yield batch.filter(pa.array(hit, pa.bool_()))
 
     # Words of the bounded sample within two edits of a bounded lexicon.
-    used = counts.filter("not stem and b > 0 and a < 4 * b").select("term").mapInArrow(near, "term string")
+    used = counts.filter(~F.col("stem") & (F.col("b") > 0) & (F.col("a") * w1 < 4 * w0 * F.col("b"))).select("term").mapInArrow(near, "term string")
     return Lexicon(words, lexicon.stems, frozenset(r[0] for r in used.collect()))
 
 
@@ -354,16 +361,20 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = written(texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("text", "toxic", "fitting"), "train-texts")
 
-    lexicon = learn_lexicon(rows.filter("not fitting"))
-    sample = rows.filter("fitting").mapInArrow(_features_of(lexicon), "toxic int, f array<double>").toPandas()
     total = {(r["toxic"], r["fitting"]): r["n"] for r in train.groupBy("toxic", "fitting").agg(F.count("*").alias("n")).collect()}
+    # Rows there would be without MAX_LABELLED; a label may have no document.
+    read = {(r["toxic"], r["fitting"]): r["n"] for r in rows.groupBy("toxic", "fitting").agg(F.count("*").alias("n")).collect()}
+    unsampled = {k: n * total[k] / min(total[k], MAX_LABELLED) for k, n in read.items()}
+    lexicon = learn_lexicon(rows.filter("not fitting"), {t: unsampled.get((t, False), 0) for t in (0, 1)})
+    sample = rows.filter("fitting").mapInArrow(_features_of(lexicon), "toxic int, f array<double>").toPandas()
     if not sum(n for (t, _), n in total.items() if t) or not sum(n for (t, _), n in total.items() if not t):
         return Model(Lexicon([], []), np.zeros(FEATURES), -30.0)
     toxic = sample["toxic"].to_numpy(dtype=float)
     features = np.array(sample["f"].tolist()).reshape(-1, FEATURES)
     share = [total.get((t, True), 0) / max(1, (toxic == t).sum()) for t in (0, 1)]
     weights, intercept = fit(features, toxic, np.where(toxic == 1, share[1], share[0]))
-    return Model(learn_lexicon(rows), weights, intercept)
+    every = {t: unsampled.get((t, False), 0) + unsampled.get((t, True), 0) for t in (0, 1)}
+    return Model(learn_lexicon(rows, every), weights, intercept)
 
 
 def scored(docs: DataFrame, model: Model, score_col: str = "score", text_col: str = "text") -> DataFrame:

@@ -96,13 +96,33 @@ def test_held_out_labels_are_never_read(spark, labelled):
 
 
 def test_short_words_are_learned_and_words_of_clean_texts_are_harmless(spark):
-    texts = [("they are scum and a fag" if d % 4 == 0 else "the sum of it-s sc-um words") + f" {'xyz'[d % 3] * 3}" for d in range(400)]
+    texts = [("they are scum and a fag" if d % 4 == 0 else "the sum of it-s sc-um words") + f" {d}" for d in range(400)]
     rows = spark.createDataFrame([(t, int(d % 4 == 0)) for d, t in enumerate(texts)], "text string, toxic int")
     lexicon = toxicity.learn_lexicon(rows)
     assert {"scum", "fag"} <= set(lexicon.words) and {"sum", "sc-um"} <= lexicon.harmless
     assert lexicon.kind(b"sum") == lexicon.kind(b"sc-um") == 0 and lexicon.kind(b"sc.um") == lexicon.kind(b"scumm") == NEAR
 
 
+def test_a_table_repeated_under_new_ids_learns_the_same_lexicon(spark, monkeypatch):
+    rng = random.Random(3)
+    alone = ["".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(600)]
+    texts = []
+    for d in range(600):
+        toxic = d % 8 == 0
+        w = [f"good{rng.randrange(200)}" for _ in range(15)] + [alone[d]]  # a word of this text only
+        w += ["blorgface", "zentrash"] if toxic else []
+        w += ["sometimes"] if rng.random() < (0.9 if toxic else 0.1) else []  # of all texts with it, half are toxic
+        texts.append((" ".join(w), int(toxic)))
+    lexicons = []
+    for times, limit in ((1, 100_000), (20, 400)):
+        monkeypatch.setattr(toxicity, "MAX_LABELLED", limit)
+        rows = [(k * 600 + d, *texts[d]) for k in range(times) for d in range(600)]
+        docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+        lexicon = toxicity.learn(docs, labels(spark, [(r[0], 1, r[2], "") for r in rows])).lexicon
+        lexicons.append((set(lexicon.words), set(lexicon.stems)))
+    assert lexicons[0] == lexicons[1] == ({"blorgface", "zentrash"}, set())
+
+
 def test_awkward_rows(spark):
     marks = labels(spark, [(1, 1, 1, ""), (1, 1, 0, ""), (2, None, None, ""), (None, 1, 1, "")])
     left = toxicity.clean(cases(spark), marks)
