@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import attribution, decontamination, html_extract, mixing, ngram_join, quality_rules, sharding, substring_dedup, toxicity, warc
+from starloom.llm import attribution, decontamination, html_extract, mixing, ngram_join, periodic_runs, quality_rules, sharding, substring_dedup, toxicity, warc
 from starloom.llm.common import table
 from starloom.session import scratch_path
 
@@ -123,3 +123,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = Path(os.environ.get("STARLOOM_VOCABULARY", VOCABULARY)).read_bytes()  # read on the driver; tasks get its bytes
     return attribution.attribute(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(planted))
