@@ -28,8 +28,9 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iter
             yield part, [t or "" for t in part.column(column).to_pylist()]
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 20_000) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Tables of whole groups, about ``rows`` rows or one group long, and where each group starts (its length last).
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 20_000,
+                 size: int | None = None) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups, about ``rows`` rows, ``size`` bytes or one group long, and where each group starts (its length last).
 
     The rows of a partition must be sorted by the keys.
     """
@@ -49,7 +50,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int =
     for batch in batches:
         if batch.num_rows:
             held.append(batch)
-        if sum(b.num_rows for b in held) >= rows:
+        if sum(b.num_rows for b in held) >= rows or size and sum(b.nbytes for b in held) >= size:
             done, starts, rest = cut(last=False)
             held = rest.to_batches()
             if done.num_rows:

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import attribution, decontamination, html_extract, mixing, ngram_join, periodic_runs, quality_rules, sharding, substring_dedup, toxicity, warc
+from starloom.llm import attribution, decontamination, fast_sketch, html_extract, mixing, ngram_join, periodic_runs, quality_rules, sharding, substring_dedup, toxicity, warc
 from starloom.llm.common import table
 from starloom.session import scratch_path
 
@@ -129,3 +129,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
     return periodic_runs.digests(periodic_runs.periodic_runs(planted))
+
+
+@query("op12_fast_sketch_near_dedup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fast_sketch.near_duplicate_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
