@@ -1,10 +1,5 @@
-"""Incremental loads: high-water filter, delete+insert on a unique key, and a
-partition-aware Parquet write of the result.
-
-Parquet tables have no MERGE/DELETE and a path cannot be overwritten while it
-is read, so the physical write stages the rewritten partitions in a fresh
-directory and dynamically overwrites only those partitions from the staged
-copy. Untouched partitions are neither read nor written.
+"""Incremental loads: high-water filter and delete+insert on a unique key, as
+DataFrames. ``publish`` writes such a load to a table.
 """
 
 from __future__ import annotations
@@ -16,10 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import fixed as FX
-from starloom.session import scratch_path
-from starloom.sources import fs
 
 EPOCH_DEFAULT = FX.EMPTY_HIGH_WATER
+# A reader that answers aggregates from Parquet footers.
+FOOTER_CONF = {"spark.sql.sources.useV1SourceList": "avro", "spark.sql.parquet.aggregatePushdown": "true",
+               "spark.sql.session.timeZone": "UTC"}
 
 
 class SchemaDrift(ValueError):
@@ -38,6 +34,31 @@ def high_water_mark(target: DataFrame | None, column: str, default: str = EPOCH_
     return v if v is not None else dt.datetime.fromisoformat(default)
 
 
+def greatest_in_files(spark: SparkSession, paths: list[str], schema: T.StructType, column: str) -> DataFrame:
+    """(m): the greatest ``column`` (a timestamp) of Parquet files, from the statistics in their footers.
+
+    The V2 reader answers ``max`` from footers, but not for timestamps, whose older encoding has no order.
+    Files written with TIMESTAMP_MICROS hold 64-bit integers; read as such, in the files' own column order, the
+    plan shows the pushed maximum and no column data is read. ``schema`` is that of the files.
+    """
+    session = spark.newSession()  # these settings hold for this one read
+    for k, v in FOOTER_CONF.items():
+        session.conf.set(k, v)
+    stored = T.StructType([T.StructField(f.name, T.LongType() if f.name == column else f.dataType) for f in schema.fields])
+    return session.read.schema(stored).parquet(*paths).agg(F.max(column).alias("m")).select(F.timestamp_micros("m").alias("m"))
+
+
+def high_water_of_files(spark: SparkSession, paths: list[str], schema: T.StructType, column: str, default: str = EPOCH_DEFAULT) -> dt.datetime:
+    """``high_water_mark`` from file statistics; the column is scanned where the files have none (older timestamp encoding)."""
+    if not paths:
+        return dt.datetime.fromisoformat(default)
+    try:
+        found = greatest_in_files(spark, paths, schema, column).first()["m"]
+    except Exception:  # no usable statistics
+        found = spark.read.schema(schema).parquet(*paths).agg(F.max(column).alias("m")).first()["m"]
+    return found if found is not None else dt.datetime.fromisoformat(default)
+
+
 def newer_than(df: DataFrame, column: str, mark: dt.datetime) -> DataFrame:
     """Strictly newer rows (ties with the mark are skipped, as in the warehouse)."""
     return df.where(F.col(column) > F.lit(mark))
@@ -67,64 +88,3 @@ def delete_insert(target: DataFrame | None, new: DataFrame, key: str) -> DataFra
         return new
     check_schema(new.schema, target.schema)
     return target.join(new.select(key), key, "left_anti").unionByName(new)
-
-
-def _delete_partition_dir(spark: SparkSession, path: str) -> None:
-    fs.delete(spark, path)
-
-
-def write_incremental(
-    spark: SparkSession,
-    new: DataFrame,
-    target_path: str,
-    key: str,
-    partition_col: str,
-    create: bool = False,
-) -> dict:
-    """Delete+insert ``new`` into the partitioned Parquet table at ``target_path``.
-
-    Touched partitions = partitions of the new rows + partitions holding a
-    re-delivered key (found with a semi join that reads only key and partition
-    columns). Their number is bounded by the partition count, so it is
-    collected. ``create`` writes a table that must not exist yet; without it a
-    missing table is an error, never a reason to write a new one. Partitions
-    that lost all their rows are deleted last, after the new files stand.
-    Returns counts for the build log.
-    """
-    if create:
-        new.hint("rebalance", partition_col).write.mode("errorifexists").partitionBy(partition_col).parquet(target_path)
-        return {"mode": "create", "touched_partitions": None}
-
-    target = spark.read.parquet(target_path)
-    check_schema(new.select(*target.columns).schema, target.schema)
-    staged_new = scratch_path(spark, "incremental", "new")
-    new.select(*target.columns).write.parquet(staged_new)  # cut lineage: new rows computed once
-    new = spark.read.parquet(staged_new)
-
-    # staged, so its size is known: few new keys are broadcast by the planner
-    # and the target's key column is probed in place
-    keys = new.select(key)
-    moved_from = target.select(key, partition_col).join(keys, key, "left_semi").select(partition_col)
-    touched = [r[0] for r in new.select(partition_col).union(moved_from).distinct().collect()]
-    if not touched:
-        return {"mode": "noop", "touched_partitions": 0}
-
-    rewritten = (
-        target.where(F.col(partition_col).isin(touched))
-        .join(keys, key, "left_anti")
-        .unionByName(new)
-    )
-    staged = scratch_path(spark, "incremental", "rewrite")
-    rewritten.hint("rebalance", partition_col).write.partitionBy(partition_col).parquet(staged)
-    (
-        spark.read.parquet(staged)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(target_path)
-    )
-    kept = {r[0] for r in spark.read.parquet(staged).select(partition_col).distinct().collect()}
-    for value in touched:
-        if value not in kept:  # every row of that partition moved elsewhere
-            _delete_partition_dir(spark, f"{target_path.rstrip('/')}/{partition_col}={value}")
-    return {"mode": "delete+insert", "touched_partitions": len(touched)}

@@ -9,7 +9,9 @@ non-fact models run while the facts build.
 Every table is written once below ``root`` and read back by its consumers.
 The enriched order headers are written once for both facts, which join them
 by plain shuffle joins that AQE can split. Facts are partitioned by order
-month, so an incremental run touches only the months it changes.
+month, so an incremental run touches only the months it changes. Facts and
+the customer history are published by version: a reader beside a load sees the
+table before or after it.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.incremental import high_water_mark, newer_than, write_incremental
+from starloom.operators import history, publish
+from starloom.operators.incremental import newer_than
 from starloom.operators.scd2 import snapshot
 from starloom.plans import marts, quality_suite, reports, staging
 from starloom.plans.warehouse import Warehouse
@@ -32,18 +35,8 @@ from starloom.sources import driver_tables as raw
 MONTH = "order_month"
 
 
-def _write(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
-    if partition:
-        # REBALANCE: AQE shuffles rows by the partition column into
-        # advisory-sized partitions (splitting big months), so each table
-        # partition gets a few right-sized files instead of one per task.
-        df = df.hint("rebalance", partition)
-    # a full refresh replaces the whole table (static overwrite); only the
-    # incremental path overwrites partitions dynamically
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition:
-        w = w.partitionBy(partition)
-    w.parquet(path)
+def _write(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -97,19 +90,35 @@ class Build:
     def land_raw(self) -> None:
         self._parallel({f"raw_{name}": (lambda name=name: self._land(name)) for name in raw.RAW_BUILDERS})
 
+    @property
+    def history_path(self) -> str:
+        return f"{self.root}/snapshots/customers_snapshot"
+
+    def fact_path(self, fact: str) -> str:
+        return f"{self.root}/marts/{fact}"
+
+    def read_fact(self, fact: str) -> DataFrame:
+        """The fact as last published."""
+        return publish.read(self.spark, self.fact_path(fact)).drop(MONTH)
+
+    def _snapshot_run(self, current: DataFrame) -> DataFrame:
+        history.run_snapshot(self.spark, current, self.history_path, "customer_id")
+        return history.read_history(self.spark, self.history_path)
+
     def _snapshot_seed(self) -> DataFrame:
         """First snapshot run: the initial customers only (no update batch)."""
-        seed = staging.stg_customers(self.tables["raw_customers"], None, include_updates=False)
-        return _write(snapshot(seed, None, "customer_id"), f"{self.root}/snapshots/customers_snapshot/v1")
+        return self._snapshot_run(staging.stg_customers(self.tables["raw_customers"], None, include_updates=False))
 
-    def snapshot_frame(self) -> DataFrame:
-        """Second run: customers with the update batch, against the seed history."""
+    def _customers(self) -> DataFrame:
         t = self.tables
-        cur = staging.stg_customers(t["raw_customers"], t["raw_customer_updates"], include_updates=True)
-        return snapshot(cur, t["customers_snapshot_v1"], "customer_id")
+        return staging.stg_customers(t["raw_customers"], t["raw_customer_updates"], include_updates=True)
+
+    def snapshot_frame(self) -> DataFrame:
+        """The second run as one DataFrame: customers with the update batch, against the seed history."""
+        return snapshot(self._customers(), self.tables["customers_snapshot_v1"], "customer_id")
 
     def _snapshot_current(self) -> DataFrame:
-        return _write(self.snapshot_frame(), f"{self.root}/snapshots/customers_snapshot/v2")
+        return self._snapshot_run(self._customers())
 
     def run_snapshot(self) -> None:
         t = self.tables
@@ -145,16 +154,14 @@ class Build:
         enriched = _write(marts.orders_with_customer(stg_orders, t["dim_customer"]), f"{m}/orders_with_customer")
         t["orders_with_customer"] = enriched
 
-        def fact_orders():
-            fo = reports.enforce_contract(marts.fact_orders(enriched, marts.totals_for(stg_items)), "fact_orders")
-            return _write(_with_month(fo), f"{m}/fact_orders", MONTH).drop(MONTH)
+        def built(fact: str, df: DataFrame) -> DataFrame:
+            publish.create(self.spark, _with_month(reports.enforce_contract(df, fact)), self.fact_path(fact), MONTH)
+            return self.read_fact(fact)
 
-        def fact_order_items():
-            foi = marts.fact_order_items(stg_items, enriched, t["dim_product"])
-            foi = reports.enforce_contract(foi, "fact_order_items")
-            return _write(_with_month(foi), f"{m}/fact_order_items", MONTH).drop(MONTH)
-
-        self._parallel({"fact_orders": fact_orders, "fact_order_items": fact_order_items})
+        self._parallel({
+            "fact_orders": lambda: built("fact_orders", marts.fact_orders(enriched, marts.totals_for(stg_items))),
+            "fact_order_items": lambda: built("fact_order_items", marts.fact_order_items(stg_items, enriched, t["dim_product"])),
+        })
 
     def mart_frames(self) -> dict[str, DataFrame]:
         """The mart DataFrames as a build plans them on the landed tables (lazy)."""
@@ -294,8 +301,8 @@ class Build:
 
     def _increment(self, fact: str, stg_orders: DataFrame, stg_items: DataFrame) -> dict:
         t = self.tables
-        path = f"{self.root}/marts/{fact}"
-        mark = high_water_mark(self.spark.read.parquet(path), "ordered_at")
+        path = self.fact_path(fact)
+        mark = publish.high_water(self.spark, path, "ordered_at")
         fresh = newer_than(stg_orders, "ordered_at", mark)
         if fresh.isEmpty():  # nothing newer than the table: a LIMIT 1 probe, no rewrite
             return {"mode": "noop", "touched_partitions": 0}
@@ -305,7 +312,7 @@ class Build:
         else:
             items = stg_items.join(fresh.select("order_id"), "order_id", "left_semi")
             df, key = marts.fact_order_items(items, enriched, t["dim_product"]), "order_item_id"
-        return write_incremental(self.spark, _with_month(reports.enforce_contract(df, fact)), path, key, MONTH)
+        return publish.delete_insert(self.spark, _with_month(reports.enforce_contract(df, fact)), path, key)
 
     def incremental(self, new_orders: DataFrame | None = None) -> dict:
         """Re-run the facts incrementally: rows newer than each table's high-water
@@ -331,14 +338,12 @@ class Build:
         self.orders_before = None
         self.stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         self.land_raw()
-        cur = staging.stg_customers(t["raw_customers"], t["raw_customer_updates"], include_updates=True)
-        t["customers_snapshot"] = _write(snapshot(cur, t["customers_snapshot"], "customer_id"),
-                                         f"{self.root}/snapshots/customers_snapshot/v{uuid.uuid4().hex[:6]}")
+        t["customers_snapshot"] = self._snapshot_current()
         self._parallel({"dim_date": self._dim_date, "dim_product": self._dim_product,
                         "dim_customer": self._dim_customer})
         self.incremental()
-        for fact in ("fact_orders", "fact_order_items"):  # fresh file listing after the load
-            t[fact] = self.spark.read.parquet(f"{self.root}/marts/{fact}").drop(MONTH)
+        for fact in ("fact_orders", "fact_order_items"):  # the version that the load published
+            t[fact] = self.read_fact(fact)
         self.rebuild_test_rows = self.run_tests()
         self.timings["rebuild"] = round(time.perf_counter() - t0, 3)
         return self.timings

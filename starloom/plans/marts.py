@@ -62,10 +62,7 @@ def orders_with_customer(stg_orders: DataFrame, dim_cust: DataFrame) -> DataFram
     Shared by both facts: the as-of join runs once per build on the order
     headers, and the (larger) lines only join the result on order_id.
     """
-    return asof_left_join(
-        stg_orders, dim_cust, key="customer_id", ts="ordered_at", payload=["customer_sk"],
-        salt_by=["order_id"],
-    )
+    return asof_left_join(stg_orders, dim_cust, key="customer_id", ts="ordered_at", payload=["customer_sk"])
 
 
 def fact_orders(enriched_orders: DataFrame, totals: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from starloom.operators import publish
 from starloom.plans import staging
 from starloom.plans.build import Build
 
@@ -21,13 +22,11 @@ def test_full_build_then_incremental(spark):
     assert len(summary) == 1 and summary[0]["tests_run"] == 87 and summary[0]["models_built"] == 14
     assert spark.read.parquet(f"{b.root}/governance/dq_failures").count() == 2
 
-    fo_path = f"{b.root}/marts/fact_orders"
-    before = spark.read.parquet(fo_path)
-    n_before = before.count()
+    n_before = b.read_fact("fact_orders").count()
     # nothing newer than the high-water mark: a no-op
     r = b.incremental()
     assert r["fact_orders"]["mode"] == "noop"
-    assert spark.read.parquet(fo_path).count() == n_before
+    assert publish.resolve(spark, b.fact_path("fact_orders")).number == 1
 
     # three orders re-delivered with a later timestamp: replaced, moved to the new month, no duplicates
     orders = staging.stg_orders(b.tables["raw_orders"])
@@ -36,19 +35,19 @@ def test_full_build_then_incremental(spark):
     redelivered = orders.where(F.col("order_id").isin(ids)).withColumn("ordered_at", F.lit(later))
     r = b.incremental(new_orders=redelivered)
     assert r["fact_orders"]["mode"] == "delete+insert"
-    after = spark.read.parquet(fo_path)
+    after = publish.read(spark, b.fact_path("fact_orders"))
     assert after.count() == n_before
     moved = after.where(F.col("order_id").isin(ids)).select("order_id", "order_month", "ordered_at").collect()
     assert sorted(x.order_id for x in moved) == ids
     assert {x.order_month for x in moved} == {"2002-01"}
-    items = spark.read.parquet(f"{b.root}/marts/fact_order_items")
+    items = b.read_fact("fact_order_items")
     assert items.groupBy("order_item_id").count().where("count > 1").count() == 0
 
 
 def test_second_build_loads_the_orders_that_came_since(spark):
     b = Build(spark, SF, orders_before="1999-01-01 00:00:00")
     b.full()
-    first = spark.read.parquet(f"{b.root}/marts/fact_orders").count()
+    first = b.read_fact("fact_orders").count()
     b.rebuild()
     raw_orders = spark.read.parquet(f"{SF}/orders.parquet")
     raw_lines = spark.read.parquet(f"{SF}/lineitem.parquet")
@@ -62,10 +61,10 @@ def test_second_build_loads_the_orders_that_came_since(spark):
 def test_rebuild_is_stable(spark):
     b = Build(spark, SF)
     b.full()
-    before = {f: spark.read.parquet(f"{b.root}/marts/{f}").count() for f in ("fact_orders", "fact_order_items")}
+    before = {f: b.read_fact(f).count() for f in ("fact_orders", "fact_order_items")}
     versions = b.tables["customers_snapshot"].count()
     b.rebuild()
     assert b.tables["customers_snapshot"].count() == versions  # no clock moved: no new versions
-    assert {f: spark.read.parquet(f"{b.root}/marts/{f}").count() for f in before} == before
+    assert {f: b.read_fact(f).count() for f in before} == before
     assert sorted(r["test_name"] for r in b.rebuild_test_rows if r["status"] != "pass") == [
         "probe_relationships_orders_have_lines", "probe_unique_raw_order_items_order_line"]

@@ -2,9 +2,11 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from starloom.operators import publish
 from starloom.operators.incremental import (
-    SchemaDrift, delete_insert, high_water_mark, newer_than, newer_than_target, write_incremental,
+    SchemaDrift, delete_insert, greatest_in_files, high_water_mark, high_water_of_files, newer_than, newer_than_target,
 )
 from starloom.session import scratch_path
 
@@ -37,24 +39,6 @@ def test_schema_drift_fails(spark):
         delete_insert(target, target.withColumn("amount", F.col("amount").cast("string")), "order_id")
 
 
-def test_partitioned_write_touches_only_changed_partitions(spark):
-    path = scratch_path(spark, "t_incr")
-    first = spark.createDataFrame(
-        [(1, D1, 10, "2024-01"), (2, D1, 20, "2024-01"), (3, D2, 30, "2024-02"), (4, D2, 40, "2024-02")], SCHEMA)
-    assert write_incremental(spark, first, path, "order_id", "order_month", create=True)["mode"] == "create"
-    # key 2 moves from January to March; key 3 is replaced in place; key 5 is new
-    new = spark.createDataFrame([(2, D3, 21, "2024-03"), (3, D2, 31, "2024-02"), (5, D3, 50, "2024-03")], SCHEMA)
-    r = write_incremental(spark, new, path, "order_id", "order_month")
-    assert r["touched_partitions"] == 3
-    got = sorted((x.order_id, x.amount, x.order_month) for x in spark.read.parquet(path).collect())
-    assert got == [(1, 10, "2024-01"), (2, 21, "2024-03"), (3, 31, "2024-02"), (4, 40, "2024-02"), (5, 50, "2024-03")]
-    # a partition emptied by moves is removed, not left stale
-    move = spark.createDataFrame([(1, D3, 11, "2024-03")], SCHEMA)
-    write_incremental(spark, move, path, "order_id", "order_month")
-    got = sorted((x.order_id, x.order_month) for x in spark.read.parquet(path).collect())
-    assert got == [(1, "2024-03"), (2, "2024-03"), (3, "2024-02"), (4, "2024-02"), (5, "2024-03")]
-
-
 def test_missing_source_file_fails(spark):
     from pyspark.errors import AnalysisException
 
@@ -64,25 +48,37 @@ def test_missing_source_file_fails(spark):
         raw_orders(spark, "/root/testdata/no-such-scale").count()
 
 
-def test_partitioned_write_rejects_drift(spark):
-    path = scratch_path(spark, "t_incr_drift")
-    first = spark.createDataFrame([(1, D1, 10, "2024-01")], SCHEMA)
-    write_incremental(spark, first, path, "order_id", "order_month", create=True)
-    drifted = first.withColumn("amount", F.col("amount").cast("double"))
-    with pytest.raises(SchemaDrift):
-        write_incremental(spark, drifted, path, "order_id", "order_month")
-    assert spark.read.parquet(path).count() == 1
-
-
-def test_a_missing_table_is_an_error_not_a_new_one(spark):
-    path = scratch_path(spark, "t_missing")
-    rows = spark.createDataFrame([(1, "a", "2024-01")], "order_id long, v string, order_month string")
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        write_incremental(spark, rows, path, "order_id", "order_month")
-    write_incremental(spark, rows, path, "order_id", "order_month", create=True)
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        write_incremental(spark, rows.limit(0), path, "order_id", "order_month", create=True)
-    assert spark.read.parquet(path).count() == 1
+def stamped(spark, days):
+    return spark.createDataFrame([(i, D1 + dt.timedelta(days=d), i, f"2024-0{1 + i % 3}") for i, d in enumerate(days)], SCHEMA)
+
+
+def test_high_water_mark_comes_from_file_statistics(spark):
+    path = scratch_path(spark, "t_footer")
+    publish.create(spark, stamped(spark, [3, 400, 7, 1]), path, "order_month")
+    assert publish.high_water(spark, path, "ordered_at") == D1 + dt.timedelta(days=400)
+    publish.delete_insert(spark, stamped(spark, [2, 5]), path, "order_id")  # the row of the greatest time is replaced
+    assert publish.high_water(spark, path, "ordered_at") == D1 + dt.timedelta(days=7)
+    v = publish.resolve(spark, path)
+    stored = T.StructType([f for f in v.schema.fields if f.name != "order_month"])
+    asked = greatest_in_files(spark, publish._paths(path, v), stored, "ordered_at")
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(ordered_at)]" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"  # the caller's session stays as it was
+
+
+def test_high_water_mark_without_statistics_scans_the_column(spark):
+    path = scratch_path(spark, "t_footer")
+    df = stamped(spark, [3, 40, 7])
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset("spark.sql.parquet.outputTimestampType")
+    assert high_water_of_files(spark, [path], df.schema, "ordered_at") == D1 + dt.timedelta(days=40)
+    assert high_water_of_files(spark, [], df.schema, "ordered_at") == dt.datetime(1900, 1, 1)
+    empty = scratch_path(spark, "t_footer")
+    publish.create(spark, df.limit(0), empty, "order_month")
+    assert publish.high_water(spark, empty, "ordered_at") == dt.datetime(1900, 1, 1)
 
 
 def test_lines_of_a_large_order_keep_their_own_keys(spark):

@@ -83,7 +83,6 @@ def test_asof_join_matches_brute_force(spark, h):
     want = _brute_asof(events, versions)
     for kw in ({"rows_per_task": None}, {"rows_per_task": 2}, {}):
         got: dict = {}
-        for r in asof_left_join(edf, vdf, "customer_id", "ordered_at", ["customer_sk"],
-                                salt_by=["order_id"], **kw).collect():
+        for r in asof_left_join(edf, vdf, "customer_id", "ordered_at", ["customer_sk"], **kw).collect():
             got.setdefault(r.order_id, []).append(r.customer_sk)
         assert {k: sorted(v, key=str) for k, v in got.items()} == {k: sorted(v, key=str) for k, v in want.items()}
