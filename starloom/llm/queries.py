@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starloom.llm import attribution, decontamination, fast_sketch, html_extract, mixing, ngram_join, periodic_runs, quality_rules, sharding, substring_dedup, toxicity, warc
+from starloom.llm import attribution, decontamination, fast_sketch, html_extract, mixing, ngram_join, periodic_runs, quality_rules, sharding, spelling_variants, substring_dedup, toxicity, warc
 from starloom.llm.common import table
 from starloom.session import scratch_path
 
@@ -135,3 +135,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fast_sketch.near_duplicate_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling_variants.letter_runs(table(spark, sf_dir, "documents"), shortest=7)
+    return spelling_variants.variants(spelling_variants.counted(spelling_variants.with_planted_typos(runs)))
