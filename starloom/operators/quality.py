@@ -10,13 +10,13 @@ test semantics follow the common warehouse conventions:
 * ``relationships``: one failure per orphan child row; NULL passes
 * singular tests: one failure per returned row
 
-All of them are aggregations that combine map-side before any shuffle, so a
-hot value costs one partial row per task, not a skewed task.
+The whole suite is one pass: every model is read once and its rows emit what
+the tests need to know, by (test, key); one aggregation, combined map-side
+so that a hot value costs one partial row per task, decides all of them.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,17 +51,7 @@ class Check:
         return base
 
 
-def _result(df_one_row_failures: DataFrame, c: Check) -> DataFrame:
-    return df_one_row_failures.select(
-        F.lit(c.name).alias("test_name"),
-        F.lit(c.model).alias("model"),
-        F.lit(c.column).alias("column_name"),
-        F.lit(c.test).alias("test_type"),
-        F.lit(c.severity).alias("severity"),
-        F.col("failures").cast("long").alias("failures"),
-    )
-
-
+# Sub-queries of single tests; the suite below runs many of them in one pass.
 def unique_failures(df: DataFrame, cols: list[str]) -> DataFrame:
     # one column: NULL is not a value; a column combination counts NULLs as values
     keyed = df.where(F.col(cols[0]).isNotNull()) if len(cols) == 1 else df
@@ -69,18 +59,6 @@ def unique_failures(df: DataFrame, cols: list[str]) -> DataFrame:
     return dup.agg(F.count(F.lit(1)).alias("failures"))
 
 
-def not_null_failures(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row per column ``(column_name, failures)``, from a single pass."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    pairs = ", ".join(f"'{c}', `{c}`" for c in cols)
-    return counts.select(F.expr(f"stack({len(cols)}, {pairs}) as (column_name, failures)"))
-
-
-def accepted_values_failures(df: DataFrame, col: str, values: list[str]) -> DataFrame:
-    bad = df.where(~F.col(col).isin(values))  # NULL -> NULL -> filtered out (passes)
-    return bad.groupBy(col).count().agg(F.count(F.lit(1)).alias("failures"))
-
-
 def relationships_failures(child: DataFrame, col: str, parent: DataFrame, field_: str) -> DataFrame:
     """Orphan child rows. Child rows are first counted per key (combined
     map-side), so the anti join moves distinct keys, not rows, and a key
@@ -90,46 +68,78 @@ def relationships_failures(child: DataFrame, col: str, parent: DataFrame, field_
     return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
 
 
-def rows_failures(offending: DataFrame) -> DataFrame:
-    return offending.agg(F.count(F.lit(1)).alias("failures"))
-
-
-def run_checks(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """All declared checks as one DataFrame (one row per check)."""
-    parts: list[DataFrame] = []
-    by_model_nn: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.test == "not_null":
-            by_model_nn.setdefault(c.model, []).append(c)
-    for model, cs in by_model_nn.items():
-        nn = not_null_failures(models[model], [c.column for c in cs])
-        name = None
-        for c in cs:
-            cond = F.col("column_name") == c.column
-            name = F.when(cond, F.lit(c.name)) if name is None else name.when(cond, F.lit(c.name))
-        parts.append(nn.select(
-            name.alias("test_name"), F.lit(model).alias("model"), "column_name",
-            F.lit("not_null").alias("test_type"), F.lit(cs[0].severity).alias("severity"),
-            F.col("failures").cast("long").alias("failures"),
-        ))
-    for c in checks:
-        if c.test == "unique":
-            parts.append(_result(unique_failures(models[c.model], c.column.split(",")), c))
+def _marks(models: dict[str, DataFrame], checks: list[Check]) -> dict[str, list[Column]]:
+    """For each model what its rows say to the checks: (test, key, child, parent), NULL where they say nothing."""
+    marks: dict[str, list[Column]] = {}
+
+    def mark(model: str, when: Column | None, test: int, key: Column, parent: bool = False) -> None:
+        said = F.struct(F.lit(test).alias("test"), key.alias("key"), F.lit(0 if parent else 1).cast("long").alias("child"),
+                        F.lit(1 if parent else 0).cast("long").alias("parent"))
+        marks.setdefault(model, []).append(said if when is None else F.when(when, said))
+
+    for i, c in enumerate(checks):
+        cols = c.column.split(",")
+        col, text = F.col(cols[0]), F.col(cols[0]).cast("string")
+        if c.test == "unique" and len(cols) == 1:
+            mark(c.model, col.isNotNull(), i, text)
+        elif c.test == "unique":
+            mark(c.model, None, i, F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}))
+        elif c.test == "not_null":
+            mark(c.model, col.isNull(), i, F.lit(""))
         elif c.test == "accepted_values":
-            parts.append(_result(accepted_values_failures(models[c.model], c.column, list(c.values)), c))
+            mark(c.model, ~col.isin(list(c.values)), i, text)  # NULL -> NULL -> says nothing (passes)
         elif c.test == "relationships":
-            parts.append(_result(relationships_failures(models[c.model], c.column, models[c.to_model], c.to_column), c))
-        elif c.test != "not_null":
+            mark(c.model, col.isNotNull(), i, text)
+            mark(c.to_model, F.col(c.to_column).isNotNull(), i, F.col(c.to_column).cast("string"), parent=True)
+        else:
             raise ValueError(f"unknown test {c.test}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return marks
+
 
+def suite_failures(models: dict[str, DataFrame], checks: list[Check], rows: dict[int, DataFrame] | None = None) -> DataFrame:
+    """(test, failures) of the checks that fail, by their place in ``checks``.
 
-def singular(name: str, model: str, offending: DataFrame, severity: str = "error") -> DataFrame:
-    c = Check(model=model, column="", test="singular", severity=severity, name_override=name)
-    return _result(rows_failures(offending), c)
+    Each model is read once, whatever the number of its checks: a row emits a mark for each key that
+    must be unique, for each key that refers or is referred to, and for each NULL or value that is not allowed.
+    One aggregation by (test, key), combined map-side, decides all keys, a second one counts. ``rows``:
+    further tests, by number, whose offending rows count.
+    """
+    parts = [models[m].select(F.explode(F.array(*said)).alias("m")).where(F.col("m").isNotNull()).select("m.*")
+             for m, said in _marks(models, checks).items()]
+    keys = parts[0] if parts else None
+    for part in parts[1:]:
+        keys = keys.unionByName(part)
+    of = lambda kind: [i for i, c in enumerate(checks) if c.test == kind]
+    test = F.col("test")
+    failures = (F.when(test.isin(of("unique")), (F.col("child") > 1).cast("long"))
+                .when(test.isin(of("accepted_values")), F.lit(1).cast("long"))
+                .when(test.isin(of("relationships")), F.when(F.col("parent") == 0, F.col("child")).otherwise(F.lit(0).cast("long")))
+                .otherwise(F.col("child")))
+    found = None if keys is None else keys.groupBy("test", "key").agg(F.sum("child").alias("child"), F.sum("parent").alias("parent")).select(
+        "test", failures.alias("n")).where(F.col("n") > 0)
+    for i, offending in (rows or {}).items():
+        part = offending.select(F.lit(i).alias("test"), F.lit(1).cast("long").alias("n"))
+        found = part if found is None else found.unionByName(part)
+    return found.groupBy("test").agg(F.sum("n").alias("failures"))
+
+
+def _listed(checks: list[Check], offenders: dict[str, tuple[str, DataFrame]] | None) -> tuple[list[Check], dict[int, DataFrame]]:
+    """The checks followed by the singular tests, and the latter's offending rows by number."""
+    named = [Check(model=model, column="", test="singular", name_override=name) for name, (model, _) in (offenders or {}).items()]
+    return [*checks, *named], {len(checks) + k: o for k, (_, o) in enumerate((offenders or {}).values())}
+
+
+def run_checks(models: dict[str, DataFrame], checks: list[Check],
+               offenders: dict[str, tuple[str, DataFrame]] | None = None) -> DataFrame:
+    """All declared checks, and the singular tests ``offenders``, as one lazy DataFrame (one row per check)."""
+    every, rows = _listed(checks, offenders)
+    spark = next(iter(models.values())).sparkSession
+    names = spark.createDataFrame([(i, c.name, c.model, c.column, c.test, c.severity) for i, c in enumerate(every)],
+                                  "test int, test_name string, model string, column_name string, test_type string, severity string")
+    found = suite_failures(models, checks, rows)
+    # A row a test on both sides: bounded by the suite, so the failures are broadcast.
+    return names.join(F.broadcast(found), "test", "left").select(
+        *RESULT_COLS[:-1], F.coalesce("failures", F.lit(0).cast("long")).alias("failures"))
 
 
 def with_status(results: DataFrame) -> DataFrame:
@@ -138,7 +148,7 @@ def with_status(results: DataFrame) -> DataFrame:
     return results.withColumn("status", status)
 
 
-# Concurrent evaluation ----------------------------------------------------------
+# Evaluation now ------------------------------------------------------------------
 RESULT_SCHEMA = T.StructType([
     T.StructField("test_name", T.StringType()),
     T.StructField("model", T.StringType()),
@@ -156,54 +166,13 @@ def _status(failures: int, severity: str) -> str:
     return "warn" if severity == "warn" else "fail"
 
 
-def _row(c: Check, failures: int) -> tuple:
-    return (c.name, c.model, c.column, c.test, c.severity, int(failures), _status(int(failures), c.severity))
-
-
-def _single_pass(df: DataFrame, cs: list[Check]) -> list[tuple]:
-    """not_null checks of one model in one scan."""
-    r = df.agg(*[F.count_if(F.col(c.column).isNull()).alias(f"c{i}") for i, c in enumerate(cs)]).first()
-    return [_row(c, r[f"c{i}"]) for i, c in enumerate(cs)]
-
-
-def _scalar(df_failures: DataFrame) -> int:
-    return df_failures.first()["failures"]
-
-
 def evaluate(models: dict[str, DataFrame], checks: list[Check],
-             singular_offenders: dict[str, tuple[str, DataFrame]] | None = None,
-             parallelism: int = 8) -> list[tuple]:
-    """Run every check as its own small job, ``parallelism`` at a time.
-
-    Each job returns one number, so the driver holds one row per check
-    (bounded by the suite, not the data). Independent jobs run concurrently
-    on the cluster, as the warehouse runs independent tests on several threads.
-    """
-    tasks = []
-    per_model: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.test == "not_null":
-            per_model.setdefault(c.model, []).append(c)
-    for model, cs in per_model.items():
-        tasks.append(lambda df=models[model], cs=cs: _single_pass(df, cs))
-    for c in checks:
-        if c.test == "unique":
-            tasks.append(lambda c=c: [_row(c, _scalar(unique_failures(models[c.model], c.column.split(","))))])
-        elif c.test == "relationships":
-            tasks.append(lambda c=c: [_row(c, _scalar(relationships_failures(
-                models[c.model], c.column, models[c.to_model], c.to_column)))])
-        elif c.test == "accepted_values":
-            tasks.append(lambda c=c: [_row(c, _scalar(accepted_values_failures(models[c.model], c.column, list(c.values))))])
-        elif c.test != "not_null":
-            raise ValueError(f"unknown test {c.test}")
-    for name, (model, offenders) in (singular_offenders or {}).items():
-        c = Check(model=model, column="", test="singular", name_override=name)
-        tasks.append(lambda c=c, o=offenders: [_row(c, o.count())])
-    order = {c.name: i for i, c in enumerate(checks)}
-    order.update({n: len(order) + i for i, n in enumerate(singular_offenders or {})})
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = [r for part in pool.map(lambda t: t(), tasks) for r in part]
-    return sorted(rows, key=lambda r: order[r[0]])
+             offenders: dict[str, tuple[str, DataFrame]] | None = None) -> list[tuple]:
+    """Run the suite as one job; a row per check in their order (bounded by the suite, not the data)."""
+    every, rows = _listed(checks, offenders)
+    found = {r["test"]: r["failures"] for r in suite_failures(models, checks, rows).collect()}
+    return [(c.name, c.model, c.column, c.test, c.severity, found.get(i, 0), _status(found.get(i, 0), c.severity))
+            for i, c in enumerate(every)]
 
 
 def results_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:

@@ -48,10 +48,9 @@ class Build:
     """One build run writing below ``root`` (defaults to the scratch root)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None, threads: int = 4,
-                 test_threads: int = 8, orders_before: str | None = None):
+                 orders_before: str | None = None):
         self.spark = prepare(spark)
         self.threads = threads
-        self.test_threads = test_threads
         self.sf_dir = sf_dir
         # Orders that the first landing has, with their lines: those placed before this time (None: all).
         self.orders_before = orders_before
@@ -218,7 +217,7 @@ class Build:
 
     def run_tests(self) -> list:
         # one row per test (87): bounded by the suite, not the data
-        return quality_suite.results(self.models(), parallelism=self.test_threads).collect()
+        return quality_suite.results(self.models()).collect()
 
     def _run_test_split(self, facts_built: bool) -> list:
         """Tests of the models that exist: before the facts, every check whose
@@ -230,9 +229,9 @@ class Build:
         models = self.models()
         if not facts_built:
             checks = [c for c in quality_suite.CHECKS if not touches(c)]
-            return evaluate(models, checks, None, self.test_threads)
+            return evaluate(models, checks)
         checks = [c for c in quality_suite.CHECKS if touches(c)]
-        return evaluate(models, checks, quality_suite.singular_offenders(models), self.test_threads)
+        return evaluate(models, checks, quality_suite.singular_offenders(models))
 
     def log_quality(self, rows: list, seconds: float) -> None:
         from starloom.operators.quality import results_frame

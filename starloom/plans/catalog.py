@@ -11,11 +11,13 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.plans import quality_suite as QS
 from starloom.plans import reports
 from starloom.plans.warehouse import FIXED_LOAD_STAMP, Warehouse
 from starloom.session import app_key, scratch_path
+from starloom.sources import fs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -27,6 +29,9 @@ EVENTS_LIMIT = 0  # 0 = all events
 FIRST_EVENTS = 500
 JOBS_SINCE = "2024-01-10 00:00:00"
 ONE_INVOCATION = "inv-3"
+# Replays: when the orders stop, and from where on the final table has windows.
+ORDERS_END = "2024-01-20 00:00:00"
+FINAL_T0 = "2024-01-08 00:00:00"
 
 
 def query(name: str):
@@ -48,23 +53,25 @@ for _attr in [
     "stg_customers", "stg_products", "stg_orders", "stg_order_items", "int_order_totals",
     "customers_snapshot", "dim_customer", "dim_product", "dim_date", "dim_date_config",
     "fact_orders", "fact_order_items", "fact_orders_incremental", "fact_order_items_incremental",
-    "dim_customer_restricted", "distinct_people", "pii_inventory",
+    "customers_snapshot_published", "fact_orders_published", "fact_order_items_published",
+    "dim_customer_restricted", "distinct_people", "distinct_people_by_month", "pii_inventory",
     "window_metrics", "window_metrics_unrounded", "stream_daily_metrics", "latency_detail", "latency_summary", "window_first_seen",
 ]:
     QUERIES[_attr] = _model(_attr)
 
 
 # quality -------------------------------------------------------------------
-_BUILT: dict[tuple[str, str], Warehouse] = {}
+_BUILT: dict[tuple, Warehouse] = {}
 
 
 def built_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """A persisted warehouse per (application, input location).
+    """A persisted warehouse per application, input location and state of its files.
 
-    The quality queries all test the same tables; the inputs are immutable, so
-    the tables are written once per application and every test reads them.
+    The quality queries all test the same tables, so these are written once per
+    application and every test reads them. Files that are added, replaced or rewritten
+    make another state (names, sizes and times of all input files), and new tables.
     """
-    k = (app_key(spark), sf_dir.rstrip("/"))
+    k = (app_key(spark), sf_dir.rstrip("/"), fs.state(spark, sf_dir))
     if k not in _BUILT:
         _BUILT[k] = Warehouse(spark, sf_dir, persist=True)
     return _BUILT[k]
@@ -139,7 +146,7 @@ def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("contract_check")
 def contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh = Warehouse(spark, sf_dir)
+    wh = built_warehouse(spark, sf_dir)  # written tables: counting them reads footers only
     return reports.contract_check(spark, {
         "dim_date": wh.dim_date, "dim_product": wh.dim_product, "dim_customer": wh.dim_customer,
         "fact_orders": wh.fact_orders, "fact_order_items": wh.fact_order_items,
@@ -201,3 +208,69 @@ def stream_json_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     om.events_to_json(Warehouse(spark, sf_dir).order_events).select("value").write.text(path)
     sink = om.run_to_completion(spark, om.json_dir_event_source(spark, path))
     return sink.select("window_start", "window_end", "order_count", "revenue", "avg_basket_size")
+
+
+# replays: streams fed slice by slice, so that the watermark of each slice is known ------------
+def _replayed(name: str, prepare_events: Callable[[DataFrame], DataFrame], columns: list[str], sources: bool = False) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from starloom.streaming import replay
+
+        events = prepare_events(Warehouse(spark, sf_dir).order_events)
+        by_customer = [F.col("customer_id") % 2 == 0, F.col("customer_id") % 2 == 1] if sources else None
+        return replay.windows_of_replay(events, by_customer).select(*columns)
+    run.__name__ = name
+    QUERIES[name] = run
+
+
+def _late(events: DataFrame) -> DataFrame:
+    from starloom.streaming.replay import with_late_arrivals
+
+    return with_late_arrivals(events)
+
+
+def _silent(events: DataFrame) -> DataFrame:
+    from starloom.streaming.replay import with_silent_orders
+
+    return with_silent_orders(events, ORDERS_END)
+
+
+def _slow(events: DataFrame) -> DataFrame:
+    from starloom.streaming.replay import with_slow_source
+
+    return with_slow_source(events)
+
+
+WINDOW_COLUMNS = ["window_start", "window_end", "order_count", "revenue", "avg_basket_size"]
+_replayed("stream_late_data", _late, WINDOW_COLUMNS)
+_replayed("stream_heartbeat", _silent, WINDOW_COLUMNS)
+_replayed("stream_two_sources", _slow, WINDOW_COLUMNS, sources=True)
+
+
+@query("stream_window_latency")
+def stream_window_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Emit and load stamp of each window, and both latencies, by the clocks given to the sink."""
+    from starloom.plans.stream_marts import latency_detail
+    from starloom.streaming import replay
+
+    sink = replay.windows_of_replay(_late(Warehouse(spark, sf_dir).order_events))
+    return latency_detail(sink).join(sink.select("window_start", "emitted_at", "loaded_at"), "window_start")
+
+
+@query("stream_final_windows")
+def stream_final_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First sighting per window in the final table: windows with orders behind the horizon, by window start."""
+    from starloom.streaming import replay
+
+    sink = replay.windows_of_replay(_late(Warehouse(spark, sf_dir).order_events))
+    return replay.first_sightings(replay.sightings(sink), FINAL_T0)
+
+
+@query("stream_attribute_time")
+def stream_attribute_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job from message envelopes: event time from the attributes, the payload parsed apart."""
+    from starloom.streaming import order_metrics as om
+
+    path = scratch_path(spark, "stream", "envelopes")
+    om.events_to_envelopes(Warehouse(spark, sf_dir).order_events).write.parquet(path)
+    sink = om.run_to_completion(spark, om.envelope_event_source(spark, path))
+    return sink.select(*WINDOW_COLUMNS)

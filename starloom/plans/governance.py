@@ -29,6 +29,36 @@ def distinct_people(restricted: DataFrame) -> DataFrame:
     )
 
 
+# Registers of a people sketch (2^14), and the relative error that an estimate keeps within: four standard errors, 1.04 / sqrt(2^14) each.
+SKETCH_LG = 14
+SKETCH_ERROR = 4 * 1.04 / 2 ** (SKETCH_LG / 2)
+
+
+def people_sketches(restricted: DataFrame) -> DataFrame:
+    """(signup_date, people_sketch, versions): a mergeable sketch of the hashed emails of each day.
+
+    A table of a row a day, from which people of any set of days are estimated without reading customers again.
+    """
+    return restricted.groupBy("signup_date").agg(
+        F.hll_sketch_agg("email_hash", SKETCH_LG).alias("people_sketch"), F.count(F.lit(1)).alias("versions"))
+
+
+def people_estimate(sketches: DataFrame, *by: str) -> DataFrame:
+    """(*by, estimate): people in each group of days, from merged sketches."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("people_sketch")).alias("estimate"))
+
+
+def people_by_month(restricted: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(signup_month, people, estimate_in_bounds): exact people of each sign-up month and of all, and whether the merged sketches agree."""
+    month = F.date_format("signup_date", "yyyy-MM").alias("signup_month")
+    label = lambda df: df.withColumn("signup_month", F.coalesce("signup_month", F.lit("all")))
+    exact = label(restricted.select(month, "email_hash").rollup("signup_month").agg(F.countDistinct("email_hash").alias("people")))
+    merged = sketches.select(month, "people_sketch").rollup("signup_month").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("people_sketch")).alias("estimate"))
+    near = F.abs(F.col("estimate") - F.col("people")) <= SKETCH_ERROR * F.col("people") + 1
+    return exact.join(label(merged), "signup_month").select("signup_month", "people", near.alias("estimate_in_bounds"))
+
+
 INVENTORY_SCHEMA = T.StructType([
     T.StructField("schema_name", T.StringType()),
     T.StructField("model_name", T.StringType()),

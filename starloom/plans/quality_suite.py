@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import fixed as FX
-from starloom.operators.quality import Check, evaluate, results_frame, run_checks, singular, with_status
+from starloom.operators.quality import Check, evaluate, results_frame, run_checks, with_status
 
 SEGMENTS = FX.CUSTOMER_SEGMENTS
 STATUSES = FX.ORDER_STATUSES
@@ -153,27 +153,18 @@ def checks_of(kind: str) -> list[Check]:
     return [c for c in CHECKS if c.test == kind]
 
 
-def results(models: dict[str, DataFrame], checks: list[Check] | None = None, with_singular: bool = True,
-            parallelism: int = 8) -> DataFrame:
-    """One row per test with status (pass / fail / warn), evaluated now.
-
-    Every check runs as its own small job (concurrently); the result table
-    has one row per check.
-    """
+def results(models: dict[str, DataFrame], checks: list[Check] | None = None, with_singular: bool = True) -> DataFrame:
+    """One row per test with status (pass / fail / warn), evaluated now."""
     spark = next(iter(models.values())).sparkSession
-    rows = evaluate(models, CHECKS if checks is None else checks,
-                    singular_offenders(models) if with_singular else None, parallelism)
+    rows = evaluate(models, CHECKS if checks is None else checks, singular_offenders(models) if with_singular else None)
     return results_frame(spark, rows)
 
 
 def results_lazy(models: dict[str, DataFrame], checks: list[Check] | None = None,
                  with_singular: bool = True) -> DataFrame:
-    """The same table as one lazy plan (a union of one aggregate per check)."""
-    out = run_checks(models, CHECKS if checks is None else checks)
-    if with_singular:
-        for name, (model, offenders) in singular_offenders(models).items():
-            out = out.unionByName(singular(name, model, offenders))
-    return with_status(out)
+    """The same table as one lazy plan."""
+    return with_status(run_checks(models, CHECKS if checks is None else checks,
+                                  singular_offenders(models) if with_singular else None))
 
 
 # The model graph of a build: 13 models and the snapshot.

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starloom import fixed as FX
 from starloom.functions import date_key, millis_between, money
+from starloom.operators.quantile import spread_of
 
 WINDOW = FX.WINDOW
 WATERMARK = FX.WATERMARK
@@ -118,8 +119,8 @@ def latency_summary(window_metrics: DataFrame) -> DataFrame:
     """min / median / max of both latencies of a sink, windows and orders (one row)."""
     d = latency_detail(window_metrics)
     total = d.agg(F.count(F.lit(1)).alias("windows"), F.sum("order_count").alias("orders_in_windows"))
-    parts = [spread(d, v, [], p).drop("rows") for v, p in (("latency_ms", "latency"), ("emit_latency_ms", "emit"))]
-    return total.select("*", *[F.lit(part.select(c).scalar()).alias(c) for part in parts for c in part.columns])
+    parts = [spread_of(d, v, p).drop("rows") for v, p in (("latency_ms", "latency"), ("emit_latency_ms", "emit"))]
+    return total.select("*", *[F.lit(part.first()[f.name]).cast(f.dataType).alias(f.name) for part in parts for f in part.schema.fields])
 
 
 def first_seen(spark: SparkSession, events: DataFrame, t0: str) -> DataFrame:

@@ -18,7 +18,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.incremental import delete_insert, newer_than_target
+from starloom.operators import history, publish
+from starloom.operators.incremental import delete_insert, newer_than, newer_than_target
+from starloom.operators.quantile import spread_of
 from starloom.operators.scd2 import snapshot
 from starloom.plans import governance, marts, staging, stream_marts
 from starloom.plans.intermediate import int_order_totals
@@ -193,6 +195,37 @@ class Warehouse:
             self.stg_order_items, self._new_placed(target), self.dim_product))
         return delete_insert(target, new, "order_item_id")
 
+    # published: the same loads as tables whose versions readers resolve
+    @cached_property
+    def customers_snapshot_published(self) -> DataFrame:
+        """Two snapshot runs, the initial customers and then the update batch, on one published history."""
+        path = scratch_path(self.spark, "published", "customers_snapshot")
+        for include_updates in (False, True):
+            history.run_snapshot(self.spark, self.stg_customers_as_of(include_updates), path, "customer_id")
+        return history.read_history(self.spark, path)
+
+    def _published(self, fact: str, first: DataFrame, key: str) -> DataFrame:
+        """The first build published, then the orders behind its high-water mark loaded."""
+        path = scratch_path(self.spark, "published", fact)
+        month = F.date_format("ordered_at", "yyyy-MM").alias("order_month")
+        publish.create(self.spark, first.select("*", month), path, "order_month")
+        fresh = newer_than(self.stg_orders, "ordered_at", publish.high_water(self.spark, path, "ordered_at"))
+        placed = self._written("new_orders", marts.orders_with_customer(fresh, self.dim_customer))
+        if fact == "fact_orders":
+            new = marts.fact_orders(placed, marts.totals_for(self.stg_order_items, placed))
+        else:
+            new = marts.fact_order_items(self.stg_order_items, placed, self.dim_product)
+        publish.delete_insert(self.spark, new.select("*", month), path, key)
+        return publish.read(self.spark, path).drop("order_month")
+
+    @cached_property
+    def fact_orders_published(self) -> DataFrame:
+        return self._published("fact_orders", self.fact_orders_first_build, "order_id")
+
+    @cached_property
+    def fact_order_items_published(self) -> DataFrame:
+        return self._published("fact_order_items", self.fact_order_items_first_build, "order_item_id")
+
     # governance --------------------------------------------------------------
     @cached_property
     def dim_customer_restricted(self) -> DataFrame:
@@ -202,6 +235,16 @@ class Warehouse:
     def distinct_people(self) -> DataFrame:
         return governance.distinct_people(self.dim_customer_restricted)
 
+    @cached_property
+    def people_sketches(self) -> DataFrame:
+        """One mergeable sketch of the people per sign-up day, kept as a table."""
+        return self._written("people_sketches", governance.people_sketches(self.dim_customer_restricted))
+
+    @cached_property
+    def distinct_people_by_month(self) -> DataFrame:
+        """People per sign-up month and in all: exact, and whether the merged daily sketches come near enough."""
+        return governance.people_by_month(self.dim_customer_restricted, self.people_sketches)
+
     @cached_property
     def pii_inventory(self) -> DataFrame:
         return governance.pii_inventory(self.spark, [
@@ -237,7 +280,8 @@ class Warehouse:
 
     @cached_property
     def latency_summary(self) -> DataFrame:
-        return stream_marts.spread(self.ship_latency, "latency_ms", [], "latency")
+        """The same over all lines; no task orders them all."""
+        return spread_of(self.ship_latency, "latency_ms", "latency")
 
     @cached_property
     def window_first_seen(self) -> DataFrame:

@@ -71,3 +71,16 @@ def move(spark: SparkSession, source: str, target: str) -> None:
     fs.mkdirs(t.getParent())
     if not fs.rename(p, t):
         raise OSError(f"could not move {source} to {target}")
+
+
+def state(spark: SparkSession, path: str) -> str:
+    """A digest of the names, sizes and modification times of all files below ``path``."""
+    import hashlib
+
+    p, fs = _hadoop(spark, path)
+    listed = fs.listFiles(p, True)
+    files = []
+    while listed.hasNext():
+        st = listed.next()
+        files.append(f"{st.getPath()}\t{st.getLen()}\t{st.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()

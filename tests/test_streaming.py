@@ -101,24 +101,27 @@ def test_empty_sink_before_first_batch_then_landed(spark):
     assert not om.first_window_landed(spark, path)
 
 
-def test_first_seen_stream_drops_repeats(spark):
-    import uuid
-
-    d = scratch_path(spark, "t_seen")
-    os.makedirs(d)
-    polls = [["00:01:00", "00:01:02.020"], ["00:01:00", "00:01:04.020"], ["00:02:00", "00:02:02.120"],
-             ["00:01:00", "00:01:06.020"], ["00:02:00", "00:02:04.120"]]
-    for i, (ws, la) in enumerate(polls):
-        p = os.path.join(d, f"p-{i:03d}.json")
-        with open(p, "w") as f:
-            f.write(json.dumps({"window_start": f"2024-01-01T{ws}.000Z", "loaded_at": f"2024-01-01T{la}Z"}) + "\n")
-        os.utime(p, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
-    src = (spark.readStream.schema("window_start timestamp, loaded_at timestamp")
-           .option("maxFilesPerTrigger", 1).json(d))
-    name = f"seen_{uuid.uuid4().hex[:8]}"
-    q = om.first_seen_stream(src).writeStream.format("memory").queryName(name).outputMode("append") \
-        .option("checkpointLocation", scratch_path(spark, "t_seen_ckpt")).trigger(availableNow=True).start()
+def test_event_time_comes_from_the_attribute(spark):
+    stamp = "2024-01-01T00:00:10.000Z"
+    body = lambda i, **kw: json.dumps({"order_id": i, "status": "completed", "order_total": 2.0, "item_count": 1,
+                                       "event_time": "2031-01-01T00:00:00Z", "produced_at": stamp, **kw})
+    rows = [(body(1), {"event_time": stamp}), (body(2), {"event_time": stamp, "other": "x"}), (body(3), {"other": "x"}), (body(4), None),
+            (body(5), {"event_time": "soon"}), ("{bad", {"event_time": "2024-01-01T00:02:00Z"})]
+    path = scratch_path(spark, "t_envelopes")
+    spark.createDataFrame(rows, om.ENVELOPE).coalesce(1).write.parquet(path)
+    q, sink = om.start(spark, om.envelope_event_source(spark, path))
     assert q.awaitTermination(300)
-    got = sorted((r.window_start.strftime("%H:%M"), r.loaded_at.strftime("%H:%M:%S.%f")[:12])
-                 for r in spark.table(name).collect())
-    assert got == [("00:01", "00:01:02.020"), ("00:02", "00:02:02.120")]
+    got = [(r.window_start.strftime("%H:%M"), r.order_count, r.revenue) for r in om.read_sink(spark, sink).collect()]
+    assert got == [("00:00", 2, 4.0)]  # closed by the message that has a time but no readable payload
+    counted = [p.observedMetrics["parsed_events"] for p in q.recentProgress if "parsed_events" in p.observedMetrics]
+    assert [sum(c[k] for c in counted) for k in ("rows", "untimed", "malformed")] == [6, 3, 1]
+
+
+def test_envelopes_round_trip(spark):
+    from starloom.sources.driver_tables import order_events
+
+    ev = order_events(spark, "/root/testdata/sf0.001")
+    back = om.parse_envelopes(om.events_to_envelopes(ev))
+    assert back.columns == ["order_id", "customer_id", "order_total", "item_count", "status", "event_time", "produced_at"]
+    ms = lambda df: sorted((r.order_id, r.event_time.replace(microsecond=r.event_time.microsecond // 1000 * 1000)) for r in df.collect())
+    assert ms(back) == ms(ev)
