@@ -250,11 +250,11 @@ def _by_pivot(keys: DataFrame, texts: DataFrame, classes: DataFrame, percent: in
     pairs = written(spread_join(keys, buckets, "bucket", "rows").filter(close).select("cid", "pivot").distinct(), "pivot-pairs")
     # A pivot's members are dealt to parts by their number; the pivot goes to each part.
     counts = written(pairs.groupBy("pivot").agg(F.count("*").alias("rows")).withColumn(
-        "parts", F.ceil(F.col("rows") / (8 * BLOCK))), "pivots")
+        "parts", F.ceil(F.col("rows") / BLOCK)), "pivots")
     members = spread_join(pairs, counts, "pivot", "rows").select("cid", "pivot", F.pmod(F.xxhash64("cid"), "parts").alias("part"))
     own = counts.select(F.col("pivot").alias("cid"), "pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     dealt = members.union(own)
-    sets = written(_class_sets(texts, classes, dealt.select("cid"), shingle_words), "pivot-sets")
+    sets = _class_sets(texts, classes, dealt.select("cid"), shingle_words)
     return written(
         dealt.join(sets, "cid").repartition("pivot", "part").sortWithinPartitions("pivot", "part", F.col("cid") != F.col("pivot"))
         .select("cid", "pivot", "shingles").mapInArrow(_linked_to_pivot(percent), "a long, b long"), "pivot-links")
@@ -286,7 +286,7 @@ def _by_blocks(keys: DataFrame, labels: DataFrame, texts: DataFrame, classes: Da
     involved = written(
         dealt.join(classes.select("cid", "sig"), "cid").select("band", "key", "bi", "bj", "side", "cid", "label", "n", "sig")
         .repartition(*TASK_KEYS).sortWithinPartitions(*TASK_KEYS).mapInArrow(_involved(percent, least), schema), "involved")
-    sets = written(_class_sets(texts, classes, involved.select("cid"), shingle_words), "block-sets")
+    sets = _class_sets(texts, classes, involved.select("cid"), shingle_words)
     return written(
         involved.join(sets, "cid").select(*involved.columns, "shingles")
         .repartition(*TASK_KEYS).sortWithinPartitions(*TASK_KEYS).mapInArrow(_verified(percent, least), "a long, b long"), "block-links")
@@ -306,14 +306,17 @@ def near_duplicate_components(docs: DataFrame, percent: int = 80, shingle_words:
     keys = written(classes.select("cid", "n", "sig").mapInArrow(_bands, "band int, key long, cid long, n long")
                    .withColumn("bucket", F.struct("band", "key")), "bands")
 
-    links = _by_pivot(keys, texts, classes, percent, shingle_words)
-    labels = written(components(links), "labels")
-    more = _by_blocks(keys, labels, texts, classes, percent, shingle_words)
-    if not more.isEmpty():
-        labels = written(components(links.union(more)), "labels")
+    labels = written(components(_by_pivot(keys, texts, classes, percent, shingle_words)), "labels")
+    # Links of components: their labels are the nodes here, and only the table of components is labelled again.
+    joined = written(components(_by_blocks(keys, labels, texts, classes, percent, shingle_words)), "joined").select(
+        F.col("node").alias("label"), F.col("label").alias("whole"))
+    labels = labels.unionByName(joined.select(F.col("label").alias("node"), "label").join(labels, "node", "left_anti"))
 
     ranked = classes.select("cid", "sk", "copies", "least").join(labels, F.col("cid") == F.col("node"))
-    groups = written(ranked.groupBy("label").agg(F.count("*").alias("rows"), F.min("least").alias("first")), "components")
+    groups = ranked.groupBy("label").agg(F.count("*").alias("rows"), F.min("least").alias("first"))
+    groups = written(groups.join(joined, "label", "left").withColumn("whole", F.coalesce("whole", "label")), "components")
+    first = groups.groupBy("whole").agg(F.min("first").alias("first"))
+    groups = written(groups.drop("first").join(first, "whole"), "component-ids")
     grouped = spread_join(ranked.select("sk", "copies", "label"), groups, "label", "rows").select("sk", "copies", F.col("first.doc_id").alias("component_id"))
     alone = classes.join(labels, F.col("cid") == F.col("node"), "left_anti").select("sk", "copies", F.col("least.doc_id").alias("component_id"))
     result = written(grouped.union(alone), "class-components")

@@ -10,17 +10,22 @@ from starloom.llm.common import unused, written
 SHARE = 200
 #: Parts that the rows of a hot key are dealt to.
 PARTS = 256
+#: Rows of a join that one task can take, whatever their keys.
+SMALL = 1 << 18
 
 
-def spread_join(big: DataFrame, small: DataFrame, key: str, rows: str) -> DataFrame:
+def spread_join(big: DataFrame, small: DataFrame, key: str, rows: str, total: int | None = None) -> DataFrame:
     """The inner join of ``big`` with ``small`` on ``key``, hot keys dealt to PARTS parts each.
 
-    ``small`` has one row a key; its column ``rows`` counts the rows of ``big`` with that key. It should be a
-    written table, as it is read three times. Null keys find nothing.
+    ``small`` has one row a key; its column ``rows`` counts the rows of ``big`` with that key, ``total`` is their
+    sum. Up to SMALL rows in all one task can take any key, and the join is a plain one. Beyond that ``small``
+    is read three times and should be a written table. Null keys find nothing.
     """
-    total = small.agg(F.sum(rows)).first()[0] or 0
+    total = (small.agg(F.sum(rows)).first()[0] or 0) if total is None else total
+    if total <= SMALL:
+        return big.join(small, key)
     hot = small.filter(F.col(rows) * SHARE > total).select(key)
-    if total <= SHARE * PARTS or hot.isEmpty():
+    if hot.isEmpty():
         return big.join(small, key)
     part, flag = unused(big.columns + small.columns, "part", "hot")
     marked = big.join(F.broadcast(hot.withColumn(flag, F.lit(True))), key, "left")
@@ -33,25 +38,29 @@ def spread_join(big: DataFrame, small: DataFrame, key: str, rows: str) -> DataFr
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the edges (a, b); label is the least node of its component.
 
-    Large-star and small-star rounds until the edges stop changing; each round is written. A hub's edges
-    are pre-aggregated for its least neighbour and spread for the join.
+    Large-star and small-star rounds, each written, until every component is one star: no node is linked to two
+    others, or both to a lesser and by a greater one. A hub's edges are pre-aggregated for its least neighbour
+    and, beyond SMALL edges, spread for the join.
     """
     current = written(edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).filter("lo < hi").distinct(), "edges")
-    if current.isEmpty():
-        return current.select(F.col("hi").alias("node"), F.col("lo").alias("label"))
     while True:
+        n = current.count()
         both = current.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(current.select("lo", "hi"))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-                        .select("u", F.least("u", "m").alias("m"), "n"), "least")
-        large = spread_join(both, least, "u", "n").filter("v > u and m < v").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        if 2 * n > SMALL:
+            least = written(least, "least")
+        large = spread_join(both, least, "u", "n", 2 * n).filter("v > u and m < v").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         large = written(large.distinct(), "large-star")
-        # In the small star a node links its lower neighbours; after a large star most have one.
-        low = written(large.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n")), "low")
-        small = spread_join(large, low, "hi", "n").select(F.explode(F.array(
+        low = large.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n"))
+        n = large.count()
+        if n > SMALL:
+            low = written(low, "low")
+        small = spread_join(large, low, "hi", "n", n).select(F.explode(F.array(
             F.struct(F.col("hi"), F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e"))
-        after = written(small.select("e.hi", "e.lo").filter("lo < hi").distinct(), "small-star")
-        if current.count() == after.count() == current.join(after, ["lo", "hi"], "left_semi").count():
+        current = written(small.select("e.hi", "e.lo").filter("lo < hi").distinct(), "small-star")
+        ends = current.select(F.col("hi").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+            current.select("lo", F.lit(0), F.lit(1)))
+        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or up = 1 and down = 1").isEmpty():
             break
-        current = after
-    return after.groupBy("hi").agg(F.min("lo").alias("label")).select(F.col("hi").alias("node"), "label").union(
-        after.select(F.col("lo").alias("node"), F.col("lo").alias("label")).distinct())
+    return current.select(F.col("hi").alias("node"), F.col("lo").alias("label")).union(
+        current.select(F.col("lo").alias("node"), F.col("lo").alias("label")).distinct())

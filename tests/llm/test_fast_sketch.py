@@ -75,6 +75,7 @@ def groups(rng, sizes, length=150, changes=12):
 
 def test_groups_that_pivots_do_not_connect(spark, monkeypatch):
     monkeypatch.setattr(fast_sketch, "BLOCK", 16)
+    monkeypatch.setattr(graph, "SMALL", 20)
     monkeypatch.setattr(graph, "SHARE", 4)
     monkeypatch.setattr(graph, "PARTS", 3)
     check(spark, groups(random.Random(5), [120, 60, 2, 3, 1, 1, 40]))
@@ -122,6 +123,7 @@ def test_least_matches():
 
 @pytest.mark.parametrize("edges", [[], [(1, 2)], [(1, 2), (2, 3), (5, 4), (9, 9)], [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 200)]])
 def test_components_with_hot_nodes(spark, monkeypatch, edges):
+    monkeypatch.setattr(graph, "SMALL", 20)
     monkeypatch.setattr(graph, "SHARE", 4)
     monkeypatch.setattr(graph, "PARTS", 3)
     got = {r.node: r.label for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -134,6 +136,7 @@ def test_components_with_hot_nodes(spark, monkeypatch, edges):
 
 
 def test_spread_join_equals_a_join(spark, monkeypatch):
+    monkeypatch.setattr(graph, "SMALL", 20)
     monkeypatch.setattr(graph, "SHARE", 4)
     monkeypatch.setattr(graph, "PARTS", 3)
     big = spark.range(2000).selectExpr("if(id % 2 = 0, 0, id % 50) as k", "id as part")
