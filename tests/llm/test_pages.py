@@ -6,6 +6,7 @@ from collections import Counter
 
 import pyarrow.fs as fs
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.llm import html_extract, warc
 from starloom.llm.common import table
@@ -82,6 +83,78 @@ def test_marks_count_on_minor_parts_only(html, text):
     assert html_extract.extract(html.replace("{}", PROSE), None) == text.replace("{}", PROSE)
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<form action=/x><input name=q><label>Find</label><select><option>one<option>two</select><div class=story><p>{}</p></div><button>Go</button></form>", "{}"),
+    ("<article><p>{}</p><form><p>Your mail</p><button>Send</button></form></article>", "{}"),
+    ("<nav><ul><li><a href=/>Home</a><li><a href=/b>About us</a></ul><article><p>{}</p></article>", "{}"),
+    ("<nav><article><p>{}</p></article></nav><div><p>short own text</p></div>", "short own text"),
+    ("<head><title>t</title><p>{}</p>", "{}"),
+    ("<div class=topnav>All of our sections</div><div class=sidenav>More of our sections</div><div class=AD>Buy it now</div><div class=story><p>{}</p></div>", "{}"),
+    ("<div class=story><p>{}</p></div><ol class=commentlist><li>I do not agree</ol>", "{}"),
+    ("<div class=story><p>{}</p></div><div id=comments><p>{} {}</p><p>{}</p></div>", "{}"),
+    ("<div class=roadside><p>{}</p></div>", "{}"),
+])
+def test_forms_unclosed_furniture_and_compound_marks(html, text):
+    assert html_extract.extract(html.replace("{}", PROSE), None) == text.replace("{}", PROSE)
+
+
+@pytest.mark.parametrize("start, one, end", [
+    ("", "<a b='", ""), ("", "<div>", ""), ("", "<script ", ""), ("", "<p ", ""), ("", "<a b=\"'>", ""), ("<b>" * 9000, "<h1></h1>", ""),
+    ("<div class=ad>" * 9000, "x<p>", ""), ("", "<li>", ""), ("<div class=ad>" * 5000, "<article>t</article>", ""), ("<div>" * 9000, "</x>", ""),
+    ("", "<!--", ""), ("", "<span>x", "</div>" * 9000), ("<", "a" * 6, "\""), ("", "<div class='a b c'>t", "</div>" * 9000), ("<nav>", "<a href=x>y</a> ", ""),
+])
+def test_time_is_proportional_to_length(start, one, end):
+    import time
+
+    took = []
+    for n in (9000, 18000):
+        html = start + one * n + end
+        t = time.process_time()
+        html_extract.extract(html, None)
+        took.append(time.process_time() - t)
+    assert took[0] < 1.5 and took[1] < 4 * max(took[0], 0.1)
+
+
+def made_host(rng, name, pages, style):
+    """Pages of one host without a telling class, and the article of each: furniture repeats, articles do not."""
+    word = lambda: "".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randrange(2, 9)))
+    line = lambda n: " ".join(word() for _ in range(n))
+    tagline, legal, about = line(6), line(14), line(25)
+    links = "".join(f"<li><a href=/{word()}>{line(2)}</a></li>" for _ in range(8))
+    common = line(9)  # a sentence that many articles have
+    rows = []
+    for k in range(pages):
+        blocks = [line(rng.randrange(12, 60)) for _ in range(rng.randrange(3, 9))]
+        if k % 2:
+            blocks.insert(1, common)
+        if k % 5 == 4 and rows:
+            blocks = list(rows[-1][2])  # a copy of the page before
+        story = "".join(f"<p>{b}</p>" for b in blocks)
+        html = {
+            "divs": f"<body><div class=q1>{tagline}</div><div class=q2><ul>{links}</ul></div><div class=q3>{story}</div><div class=q4>{legal}</div></body>",
+            "deep": f"<div class=z><div class=l>{about}</div><div class=r><div class=t-{k}>{story}</div></div></div><div class=e>{legal}</div>",
+            "article": f"<div>{tagline}</div><article>{story}</article><div>{about}</div>",
+            "form": f"<form><div class=m><ul>{links}</ul></div><div class=n>{story}</div><p>{legal}</p></form>",
+        }[style]
+        rows.append((f"http://{name}.example/{k}", html, blocks))
+    return rows
+
+
+@pytest.mark.parametrize("style", ["divs", "deep", "article", "form"])
+def test_furniture_of_a_host_is_found_by_its_pages(spark, style):
+    import random
+
+    rows = made_host(random.Random(style), style, 20, style)
+    got = extracted(spark, [(k, url, html) for k, (url, html, _) in enumerate(rows)])
+    assert {k: t for k, (t, _) in got.items()} == {k: "\n".join(blocks) for k, (_, _, blocks) in enumerate(rows)}
+
+
+def test_copies_of_a_page_are_no_furniture(spark):
+    html = f"<div class=a><p>the lead of it</p></div><div class=b><p>{PROSE}</p></div>"
+    rows = [(k, "http://h.example/1", html) for k in range(6)]
+    assert set(extracted(spark, rows).values()) == {("the lead of it\n" + PROSE, len(PROSE) + 15)}
+
+
 def test_a_page_with_more_than_the_path_keeps_it():
     html = f"<div class=a><p>its own lead</p></div><div class=b><p>{PROSE}</p></div>"
     assert html_extract.extract(html, ">div.b") == "its own lead\n" + PROSE
@@ -150,6 +223,14 @@ def test_files_are_deterministic_sorted_and_plain_gzip(spark):
     assert ids == sorted(ids, key=lambda d: (d is None, d or 0))
 
 
+def test_files_are_read_by_many_tasks(spark):
+    rows = [(i, f"page {i} " + "x" * (i % 97) * 40) for i in range(900)]
+    _, manifest, got = archive(spark, rows, shard_bytes=30_000, file_bytes=1_000)
+    files = manifest.count()
+    assert files >= 40 and got.rdd.getNumPartitions() == files
+    assert got.select(F.spark_partition_id().alias("p")).distinct().count() >= 20
+
+
 def test_files_outside_the_manifest_are_not_read(spark):
     target, manifest, got = archive(spark, ROWS[:3])
     fs.LocalFileSystem().copy_file(f"{target}/{manifest.first().name}", f"{target}/part-99999-00000.warc.gz")
