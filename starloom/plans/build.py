@@ -239,9 +239,7 @@ class Build:
         res = quality_suite.run_results(self.spark, results_frame(self.spark, [tuple(r) for r in rows]))
         built = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
         inv = uuid.uuid4().hex
-        quality_suite.dq_summary(self.spark, res, built, inv, build_seconds=seconds).write.mode("append").parquet(
-            f"{self.root}/governance/dq_summary")
-        quality_suite.dq_failures(res, built, inv).write.mode("append").parquet(f"{self.root}/governance/dq_failures")
+        quality_suite.append_log(res, f"{self.root}/governance", built, inv, build_seconds=seconds)
 
     def _chains(self, chains: list) -> None:
         """Run independent chains of steps concurrently; each step stores its table."""

@@ -24,6 +24,7 @@ QUERIES: dict[str, QueryFn] = {}
 
 # Reproducible parameters of the report queries.
 CHECK_INVOCATION = "check"
+LOGGED_INVOCATIONS = ("check-1", "check-2")
 FRESHNESS_NOW = "2026-01-02 02:00:00"
 EVENTS_LIMIT = 0  # 0 = all events
 FIRST_EVENTS = 500
@@ -120,6 +121,17 @@ def dq_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QS.dq_failures(res, FIXED_LOAD_STAMP, CHECK_INVOCATION)
 
 
+@query("quality_log")
+def quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log after two builds appended their results to it."""
+    path = scratch_path(spark, "quality-log")
+    tested = scratch_path(spark, "quality-results")
+    dq_results(spark, sf_dir).write.parquet(tested)
+    for invocation in LOGGED_INVOCATIONS:
+        QS.append_log(QS.run_results(spark, spark.read.parquet(tested)), path, FIXED_LOAD_STAMP, invocation)
+    return QS.read_log(spark, path)
+
+
 # reports -------------------------------------------------------------------
 @query("row_counts")
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -233,3 +233,18 @@ def dq_failures(results: DataFrame, built_at: str, invocation_id: str) -> DataFr
         F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures"),
         F.left(F.coalesce(F.col("message"), F.lit("")), F.lit(FX.MESSAGE_LIMIT)).alias("message"),
     )
+
+
+def append_log(results: DataFrame, path: str, built_at: str, invocation_id: str, build_seconds: float | None = None) -> None:
+    """Append one build's summary and failures to the quality log below ``path``."""
+    spark = results.sparkSession
+    dq_summary(spark, results, built_at, invocation_id, build_seconds=build_seconds).write.mode("append").parquet(f"{path}/dq_summary")
+    dq_failures(results, built_at, invocation_id).write.mode("append").parquet(f"{path}/dq_failures")
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log by build: its summary and how many failures it logged."""
+    failed = spark.read.parquet(f"{path}/dq_failures").groupBy("invocation_id").agg(F.count(F.lit(1)).alias("logged_failures"))
+    return spark.read.parquet(f"{path}/dq_summary").join(failed, "invocation_id", "left").select(
+        "invocation_id", "built_at", "models_built", "tests_run", "tests_passed", "tests_warned", "pass_pct",
+        F.coalesce("logged_failures", F.lit(0).cast("long")).alias("logged_failures"))
