@@ -51,23 +51,6 @@ class Check:
         return base
 
 
-# Sub-queries of single tests; the suite below runs many of them in one pass.
-def unique_failures(df: DataFrame, cols: list[str]) -> DataFrame:
-    # one column: NULL is not a value; a column combination counts NULLs as values
-    keyed = df.where(F.col(cols[0]).isNotNull()) if len(cols) == 1 else df
-    dup = keyed.groupBy(*cols).count().where(F.col("count") > 1)
-    return dup.agg(F.count(F.lit(1)).alias("failures"))
-
-
-def relationships_failures(child: DataFrame, col: str, parent: DataFrame, field_: str) -> DataFrame:
-    """Orphan child rows. Child rows are first counted per key (combined
-    map-side), so the anti join moves distinct keys, not rows, and a key
-    holding a third of the child table is one row in the shuffle."""
-    keyed = child.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    orphans = keyed.join(parent.select(F.col(field_).alias(col)), col, "left_anti")
-    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
-
-
 def _marks(models: dict[str, DataFrame], checks: list[Check]) -> dict[str, list[Column]]:
     """For each model what its rows say to the checks: (test, key, child, parent), NULL where they say nothing."""
     marks: dict[str, list[Column]] = {}
