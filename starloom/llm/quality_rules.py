@@ -1,23 +1,29 @@
 """Quality rules whose cutoffs have a bounded false-rejection rate.
 
 Each rule is a share that is high in bad texts, with a fixed ladder of cutoffs
-from lenient to strict. Labelled documents are the holdout: the ladder does not
-depend on them. For each stratum and rule the cutoffs are tested in ladder
-order. A cutoff is certified when, of n good holdout documents with k above it,
-P(Binomial(n, alpha / rules) <= k) <= delta / (strata * rules): the exact
-(Clopper-Pearson) upper bound of its false-rejection rate at that confidence is
-at most alpha / rules. The first cutoff that fails ends the sequence, so only
-strata and rules need the Bonferroni correction. With probability 1 - delta, in
-every stratum the rules together reject at most alpha of the good documents.
-Among a rule's certified cutoffs, that with the most bad less good holdout
-documents above it is taken, the more lenient on ties; a rule without one
-(too few good labels) rejects nothing in that stratum.
+from lenient to strict. Together the ladders make one fixed sequence of rule sets,
+each of which rejects what the one before rejects and more: first every rule's
+most lenient cutoff, one rule after the other, then every rule's next one.
+Labelled documents are the holdout: the sequence does not depend on them.
+For each stratum the sets are tested in order. A set is certified when, of n good
+holdout texts with k rejected by it, P(Binomial(n, alpha) <= k) <= delta / strata:
+the exact (Clopper-Pearson) upper bound of its false-rejection rate at that
+confidence is at most alpha. The first set that fails ends the sequence, so only the
+strata need the Bonferroni correction, and 90 good texts without a rejected one
+certify a set at alpha = delta = 0.05 and four strata. With probability 1 - delta, in every
+stratum the rules reject at most alpha of the good texts that the base rules pass (the
+base rules are given and carry no bound). Among the certified sets, that with the most bad
+less good holdout texts rejected is taken, the more lenient on ties; a stratum
+without one (too few good labels) rejects nothing beyond the base rules.
+
+Equal texts of a stratum are one piece of evidence, as copies tell nothing new: good if any
+of them is labelled good. Near copies are separate texts.
 
 Words are runs without ASCII white space, from whole texts. Cases: null, empty
 and blank texts have no words and fail the base rules. A document whose
 labels disagree, or are null, is no holdout. A null stratum is a stratum.
-Repeated rows are rows of their own (each counts in the holdout). Empty tables
-give no rows, or no certified cutoffs. Extra columns are ignored.
+Repeated rows are rows of their own, and one text in the holdout. Very long texts are read whole, and ties
+of a rule's value with its cutoff pass. Empty tables give no rows, or no certified cutoffs. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,10 +34,10 @@ from math import exp, lgamma, log, log1p
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.llm.arrow import Words, run_ranks, text_slices
-from starloom.llm.common import written
+from starloom.llm.common import text_key, written
 
 #: Symbol characters, words of a repeated window, bounds of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -85,7 +91,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         upper, lower = count(65, 90), count(97, 122)
         share = lambda a, b: np.divide(a, b, out=np.zeros(len(n)), where=b > 0)
         columns = {
-            "doc_id": part.column("doc_id"), "stratum": part.column("stratum"),
+            "doc_id": part.column("doc_id"), "stratum": part.column("stratum"), "tk": part.column("tk"),
             "n_words": n, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": lines[:, 0], "n_repeat_words": repeat,
             "symbol_rate": share(symbols, n), "capital_share": share(upper, upper + lower), "exclamation_rate": share(marks, n),
             "duplicate_line_share": share(lines[:, 0], lines[:, 1]), "repeat_share": share(repeat, n)}
@@ -93,10 +99,11 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def features(docs: DataFrame, stratum_col: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, stratum, counts, rule values, base_failed) for each row."""
+    """(doc_id, stratum, tk, counts, rule values, base_failed) for each row."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(stratum_col).cast("string").alias("stratum"), F.col(text_col).alias("text"))
+    rows = rows.withColumn("tk", text_key(F.col("text")))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, stratum string, " + ", ".join([*(f"{c} long" for c in COUNTS), *(f"{c} double" for c in LADDERS)])
+    schema = f"doc_id {id_type}, stratum string, tk binary, " + ", ".join([*(f"{c} long" for c in COUNTS), *(f"{c} double" for c in LADDERS)])
     return rows.mapInArrow(_features, schema).withColumn(
         "base_failed", (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT))
 
@@ -114,45 +121,52 @@ def binomial_cdf(k: int, n: int, p: float) -> float:
     return total
 
 
-def choose_cutoffs(counts: pd.DataFrame, alpha: float, delta: float) -> dict[str, float | None]:
-    """Cutoff of each rule from one stratum's holdout: rows (rule, level, quality, n).
+#: The sequence: (rule, cutoff) by ladder step, then rule. Set i holds the first i + 1 of them, of each rule the strictest.
+SEQUENCE = [(rule, ladder[step]) for step in range(max(map(len, LADDERS.values()))) for rule, ladder in LADDERS.items() if step < len(ladder)]
 
-    level: how many cutoffs of the ladder the value exceeds, the strictest first. alpha and delta: those of one test.
+
+def choose_set(counts: pd.DataFrame, alpha: float, delta: float) -> int | None:
+    """The place in SEQUENCE of the last cutoff in force, from one stratum's holdout: rows (place, quality, n).
+
+    place: the first set of the sequence that rejects the text, len(SEQUENCE) if none does.
     """
-    out: dict[str, float | None] = {}
-    for rule, ladder in LADDERS.items():
-        own = counts[counts["rule"] == rule]
-        above = {q: [int(own[(own["quality"] == q) & (own["level"] >= len(ladder) - i)]["n"].sum()) for i in range(len(ladder))] for q in (0, 1)}
-        n_good, best = int(own[own["quality"] == 1]["n"].sum()), None
-        for i, cut in enumerate(ladder):
-            if binomial_cdf(above[1][i], n_good, alpha) > delta:
-                break
-            gain = above[0][i] - above[1][i]
-            if best is None or gain > best[0]:
-                best = (gain, cut)
-        out[rule] = best[1] if best else None
-    return out
+    rejected = {q: np.cumsum(np.bincount(own["place"], weights=own["n"], minlength=len(SEQUENCE) + 1)) if len(own := counts[counts["quality"] == q])
+                else np.zeros(len(SEQUENCE) + 1) for q in (0, 1)}
+    n_good, best, place = int(rejected[1][-1]), 0, None
+    for i in range(len(SEQUENCE)):
+        if binomial_cdf(int(rejected[1][i]), n_good, alpha) > delta:
+            break
+        gain = rejected[0][i] - rejected[1][i]
+        if place is None or gain > best:
+            best, place = gain, i
+    return place
+
+
+def first_place(value) -> Column:
+    """The first set that rejects a row. ``value``: name -> column of a rule's value."""
+    places = [F.when(value(rule) > cut, F.lit(i)) for i, (rule, cut) in enumerate(SEQUENCE)]
+    return F.coalesce(F.least(*places), F.lit(len(SEQUENCE)))  # least leaves out nulls
 
 
 def cutoffs(rows: DataFrame, labels: DataFrame, alpha: float, delta: float) -> DataFrame:
-    """(stratum, cut_<rule> ...): a row for each stratum with labelled documents."""
+    """(stratum, n_good, cut_<rule> ...): a row for each stratum with labelled documents; rows need tk, the identity of a text."""
     agreed = (labels.filter("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
               .filter("quality = most").select(F.col("doc_id").alias("label_id"), F.col("quality").cast("int").alias("quality")))
-    # What the base rules reject is no case for a cutoff.
+    # What the base rules reject is no case for a cutoff. Equal texts have equal values.
     held = rows.filter(~F.col("base_failed")).join(agreed, F.col("doc_id") == F.col("label_id"))
-    level = lambda rule: sum((F.col(rule) > c).cast("int") for c in LADDERS[rule])
-    values = F.array(*[F.struct(F.lit(r).alias("rule"), level(r).alias("level")) for r in LADDERS])
-    counts = written(
-        held.select("stratum", "quality", F.explode(values).alias("v"))
-        .groupBy("stratum", "v.rule", "v.level", "quality").agg(F.count("*").alias("n")), "holdout")
-    tests = max(1, counts.select("stratum").distinct().count()) * len(LADDERS)
+    texts = held.withColumn("place", first_place(F.col)).groupBy("stratum", "tk").agg(
+        F.max("quality").alias("quality"), F.any_value("place").alias("place"))
+    counts = written(texts.groupBy("stratum", "place", "quality").agg(F.count("*").alias("n")), "holdout")
+    strata = max(1, counts.select("stratum").distinct().count())
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        cut = choose_cutoffs(pdf, alpha / len(LADDERS), delta / tests)
-        return pd.DataFrame([{"stratum": pdf["stratum"].iloc[0]} | {f"cut_{r}": c for r, c in cut.items()}])
+        place = choose_set(pdf, alpha, delta / strata)
+        cut = {rule: c for rule, c in SEQUENCE[: 0 if place is None else place + 1]}  # the last of a rule is its strictest
+        n_good = int(pdf[pdf["quality"] == 1]["n"].sum())
+        return pd.DataFrame([{"stratum": pdf["stratum"].iloc[0], "n_good": n_good} | {f"cut_{r}": cut.get(r) for r in LADDERS}])
 
-    # A group has at most rules * (levels + 1) * 2 rows, whatever the number of documents.
-    return counts.groupBy("stratum").applyInPandas(one, "stratum string, " + ", ".join(f"cut_{r} double" for r in LADDERS))
+    # A group has at most 2 * (len(SEQUENCE) + 1) rows, whatever the number of documents.
+    return counts.groupBy("stratum").applyInPandas(one, "stratum string, n_good long, " + ", ".join(f"cut_{r} double" for r in LADDERS))
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", alpha: float = 0.05, delta: float = 0.05,

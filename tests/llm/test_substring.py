@@ -6,6 +6,8 @@ from collections import Counter
 import numpy as np
 
 from llm_cases import case_rows, cases, labels, none, word_list
+from pyspark.sql import functions as F
+
 from starloom.llm import quality_rules, substring_dedup
 from starloom.llm.common import table
 
@@ -101,24 +103,69 @@ def test_quality_without_labels_keeps_what_the_base_keeps(spark):
     assert quality_rules.judge(none(spark), labels(spark)).count() == 0
 
 
-def test_cutoffs_hold_their_guarantee():
-    """Over many holdouts whose true false-rejection rate at a cutoff is above alpha, it is certified in at most delta of them."""
+def test_sets_hold_their_guarantee():
+    """Over many holdouts whose true false-rejection rate is above alpha, a set is certified in at most delta of them."""
     import pandas as pd
 
-    rng, ladder, bad = np.random.default_rng(1), quality_rules.LADDERS["symbol_rate"], 0
+    rng, last, bad = np.random.default_rng(1), len(quality_rules.SEQUENCE), 0
     for _ in range(300):
-        k = int((rng.random(1000) < 0.03).sum())  # 3 % of good documents are above every cutoff
-        counts = pd.DataFrame({"rule": "symbol_rate", "level": [len(ladder), 0, len(ladder)], "quality": [1, 1, 0], "n": [k, 1000 - k, 500]})
-        bad += quality_rules.choose_cutoffs(counts, 0.02, 0.05)["symbol_rate"] is not None
+        k = int((rng.random(1000) < 0.03).sum())  # 3 % of good texts are rejected by every set
+        counts = pd.DataFrame({"place": [0, last, 0], "quality": [1, 1, 0], "n": [k, 1000 - k, 500]})
+        bad += quality_rules.choose_set(counts, 0.02, 0.05) is not None
     assert bad <= 300 * 0.05 + 12
 
 
-def test_cutoff_separates_and_counts_evidence():
+def graded(spark, n, copies=1, lang="en"):
+    """n good and n bad texts of 40 words: the bad ones have an exclamation mark after each, of the good ones every fiftieth."""
+    rows, marks = [], []
+    for i in range(n):
+        words = [f"w{i}x{k}" for k in range(40)]
+        loud = " ".join(w + "!" for w in words)
+        for text, quality in ((loud if i % 50 == 0 else " ".join(words), 1), ("b" + loud, 0)):
+            for _ in range(copies):
+                marks.append((len(rows), quality, 0, ""))
+                rows.append((len(rows), text, lang))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string"), labels(spark, marks)
+
+
+def test_judge_rejects_bad_texts_within_the_bound(spark):
+    docs, marks = graded(spark, 400)
+    rows = quality_rules.judge(docs, marks).join(marks, "doc_id").collect()
+    rejected = lambda q: sum(not r.kept for r in rows if r.quality == q) / 400
+    assert rejected(0) == 1.0 and 0 < rejected(1) <= 0.05
+    for r in rows:
+        cuts = [(getattr(r, rule), getattr(r, f"cut_{rule}")) for rule in quality_rules.LADDERS]
+        assert r.kept == (not r.base_failed and all(c is None or v <= c for v, c in cuts))
+
+
+def test_copies_of_a_text_are_one_piece_of_evidence(spark):
+    docs, marks = graded(spark, 1, copies=2000)
+    assert all(r.kept for r in quality_rules.judge(docs, marks).filter("not base_failed").collect())
+    docs, marks = graded(spark, 400, copies=3)
+    assert quality_rules.judge(docs, marks).select("n_good").distinct().collect() == [(400,)]
+
+
+def test_cutoffs_of_every_language_with_labels(spark):
+    docs, marks = graded(spark, 300)
+    other = graded(spark, 300, lang="fr")[0].withColumn("doc_id", F.col("doc_id") + 1000)
+    few = graded(spark, 20, lang="de")[0].withColumn("doc_id", F.col("doc_id") + 5000)
+    every = marks.unionByName(marks.withColumn("doc_id", F.col("doc_id") + 1000)).unionByName(
+        marks.filter("doc_id < 40").withColumn("doc_id", F.col("doc_id") + 5000))
+    rows = quality_rules.judge(docs.unionByName(other).unionByName(few), every).select("stratum", "cut_exclamation_rate").distinct().collect()
+    assert {r.stratum: r.cut_exclamation_rate is not None for r in rows} == {"en": True, "fr": True, "de": False}
+
+
+def test_set_separates_and_counts_evidence():
     import pandas as pd
 
-    ladder = quality_rules.LADDERS["symbol_rate"]
-    holdout = lambda n: pd.DataFrame({"rule": "symbol_rate", "level": [0, 9], "quality": [1, 0], "n": [n, 100]})
-    assert quality_rules.choose_cutoffs(holdout(5000), 0.01, 0.01)["symbol_rate"] == ladder[len(ladder) - 9]
-    assert quality_rules.choose_cutoffs(holdout(100), 0.01, 0.01)["symbol_rate"] is None
+    place = 17
+    holdout = lambda n: pd.DataFrame({"place": [len(quality_rules.SEQUENCE), place], "quality": [1, 0], "n": [n, 100]})
+    assert quality_rules.choose_set(holdout(5000), 0.01, 0.01) == place
+    assert quality_rules.choose_set(holdout(100), 0.01, 0.01) is None
+    assert quality_rules.choose_set(holdout(90), 0.05, 0.05 / 4) == place
+    steps = {}
+    for rule, cut in quality_rules.SEQUENCE:  # nested: a rule's cutoffs only fall
+        assert cut < steps.get(rule, 99)
+        steps[rule] = cut
     assert abs(quality_rules.binomial_cdf(3, 50, 0.1) - sum(
         __import__("math").comb(50, i) * 0.1**i * 0.9 ** (50 - i) for i in range(4))) < 1e-12
