@@ -37,6 +37,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starloom.llm.common import written
 from starloom.llm.sharding import byte_shards
 
+#: Tasks that rename or read files, at most; beyond that a task takes several files.
+MOST_TASKS = 20_000
 #: Fixed values of the format.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "starloom:warc-record")
@@ -191,11 +193,16 @@ def write_archives(pages: DataFrame, target: str, shard_bytes: int = 256 << 20,
     listed = written(
         both.repartition(shards, "shard").sortWithinPartitions("shard", F.asc_nulls_last("page_id"), "is_page", "sha1", "url")
         .select("shard", "page_id", "is_page", "sha1", "first", "url", "html").mapInArrow(_write_shards(target, file_bytes, date), MANIFEST), "warc-files")
-    manifest = listed.repartition("name").mapInArrow(_rename(target), MANIFEST).drop("temporary")
+    manifest = _by_file(listed).mapInArrow(_rename(target), MANIFEST).drop("temporary")
     manifest.write.json(f"{target}/_manifest")
     return spark.read.schema("name string, records long, bytes long, sha256 string").json(f"{target}/_manifest")
 
 
+def _by_file(manifest: DataFrame) -> DataFrame:
+    """The files' rows over as many tasks as there are files (MOST_TASKS at most; a given number is not merged)."""
+    return manifest.repartition(max(1, min(manifest.count(), MOST_TASKS)), "name")
+
+
 def _members(stream) -> Iterator[bytes]:
     """The gzip members of a stream, one after the other."""
     unpack, out, data = zlib.decompressobj(31), [], stream.read(1 << 20)
@@ -266,4 +273,4 @@ def _schema(with_payload: bool) -> pa.Schema:
 def read_archives(spark: SparkSession, target: str, with_payload: bool = False) -> DataFrame:
     """The records of the files that the manifest names; payloads of responses if asked for."""
     manifest = spark.read.schema("name string, records long, bytes long, sha256 string").json(f"{target}/_manifest")
-    return manifest.repartition("name").mapInArrow(_read_files(target, with_payload), RECORDS + (", payload binary" if with_payload else ""))
+    return _by_file(manifest).mapInArrow(_read_files(target, with_payload), RECORDS + (", payload binary" if with_payload else ""))
