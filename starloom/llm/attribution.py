@@ -17,7 +17,8 @@ do not overlap, the counts of a document, outside included, add up to its tokens
 Cases: every document has a row for what lies outside its sections (section -1, null span),
 so null and empty texts have one row of 0 tokens. Rows that repeat are counted alike. Spans are cut
 to the text; null, empty and reversed spans get 0 tokens. Null ids keep their lines but match no row of a
-section table. An empty table gives no rows. Extra columns are ignored.
+section table. Very long texts are encoded whole, one at a time in a slice; ties are as the rules say. An empty table gives no rows.
+Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -19,8 +19,9 @@ given by the caller. Cases: null, empty and blank texts have 0 tokens; they get
 the posterior of a text without features and a rate like any other. Labelled
 rows whose domain is null or no target teach nothing; without labelled rows all
 domains are equally likely. Domains that no text can reach keep their gap.
-Repeated rows are rows of their own; a document whose labels disagree teaches nothing. An empty
-table gives no rows. Other columns pass through, whatever their names.
+Repeated rows are rows of their own; a document whose labels disagree teaches nothing. Very long texts are read
+whole. Ties: equal evidence of features is decided by their letters, equal posteriors by the domains' names. An empty
+table gives no rows. Other, extra columns pass through, whatever their names.
 """
 
 from __future__ import annotations

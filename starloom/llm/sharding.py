@@ -8,8 +8,8 @@ of its byte range, so a shard misses its target by less than one row.
 
 Cases: a null text has size 1 and CRC 0. Null ids come first. Rows that repeat
 an id are ordered by CRC; exact repeats are interchangeable, a running number
-spreads them over the range partitions, and each gets a slot of its own. An
-empty table gives no rows. Extra columns are ignored unless carried.
+spreads them over the range partitions, and each gets a slot of its own; ties are decided so. A very
+long text goes whole to one shard. An empty table gives no rows. Extra columns are ignored unless carried.
 """
 
 from __future__ import annotations

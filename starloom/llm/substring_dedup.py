@@ -18,7 +18,8 @@ sample steers only where windows meet, never which are found.
 Documents are in the order (id, hash of the text); null ids come first. Cases: rows
 that repeat an id with another text are documents of their own; exact repeats
 of a row are one document and get the same result. Null, empty and blank texts
-have no words. A text under 20 words keeps all. An empty table gives no rows. Extra
+have no words. A text under 20 words keeps all. Very long texts are read whole, in a slice of their own. Ties: of windows with
+equal words the first in that order stays. An empty table gives no rows. Extra
 columns are ignored. Ids are integers.
 """
 

@@ -16,7 +16,8 @@ what the manifest names, so an unfinished or repeated attempt is never seen.
 The target folder is any that every executor reaches through pyarrow.fs (shared
 file system, HDFS, object store). Page ids are integers. Cases: null html is an empty payload; empty
 payloads are equal to each other. Null ids come last. Rows that repeat an id are records of their own,
-in the order of their digests; exact repeats revisit the first of them. An empty table gives an
+in the order of their digests; exact repeats revisit the first of them, which is how ties of page ids are decided.
+A very long payload is a record, and if it passes ``file_bytes`` a file, of its own. An empty table gives an
 empty manifest. Extra columns are ignored. Urls are kept as they are; a null url is left out.
 """
 
