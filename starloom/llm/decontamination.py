@@ -14,12 +14,16 @@ missed with a chance under 1e-3 for items over 32 shingles, never for shorter
 ones, whose sketch is their whole set. Candidates are verified with the
 shingles' words.
 
-Cases: words are lower-cased; a text under five words has one shingle, all
-its words (it can only equal another such text's). Null and blank texts have
-none: they are never found and never searched. Rows that repeat (doc_id, text)
+An item of one to four words has one shingle, all its words. It is contained in a
+document in which these words follow one another: documents are also read in
+runs of as many words as such items have, for the lengths (four at most) that occur.
+
+Cases: words are lower-cased; a document under five words has one shingle, all
+its words, besides those runs. Null and blank texts have
+none: they are never found and never searched. Very long texts are read whole. Rows that repeat (doc_id, text)
 count as one document; rows that repeat item_id with another text are separate
-items. Null ids are kept and compare equal to each other. Extra columns are
-ignored.
+items. Null ids are kept and compare equal to each other. A containment equal to the threshold
+counts. Empty documents or items give no pairs. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,12 +47,31 @@ def _shingles(w: Column, of) -> Column:
     return F.transform(F.array(w), runs)[0]  # binds w: the text is split once, not once for each run
 
 
+def _hash(run: Column) -> Column:
+    return F.xxhash64(run)
+
+
+def _spell(run: Column) -> Column:
+    return F.array_join(run, " ")
+
+
 def hashed(w: Column) -> Column:
-    return _shingles(w, lambda s: F.xxhash64(s))
+    return _shingles(w, _hash)
 
 
 def spelled(w: Column) -> Column:
-    return _shingles(w, lambda s: F.array_join(s, " "))
+    return _shingles(w, _spell)
+
+
+def _with_short_runs(w: Column, lengths: list[int], shingles, of) -> Column:
+    """The shingles, and ``of`` every run of as many words as ``lengths`` say."""
+    def runs(bound: Column, n: int) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(bound) - (n - 1)), lambda i: of(F.slice(bound, i, n)))
+        return F.when(F.size(bound) >= n, each).otherwise(F.array().cast(f"array<{'bigint' if of is _hash else 'string'}>"))
+
+    if not lengths:
+        return shingles(w)
+    return F.transform(F.array(w), lambda b: F.when(F.size(b) > 0, F.concat(shingles(b), *[runs(b, n) for n in lengths])))[0]
 
 
 def _fraction(h: Column) -> Column:
@@ -64,6 +87,8 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, sketch: int
     base = items.select("item_id", words(F.lower("text")).alias("w"), text_key(F.col("text")).alias("item_tk")).distinct()
     sets = written(base.select("item_id", "item_tk", F.array_distinct(hashed(F.col("w"))).alias("hashes"),
                                F.array_distinct(spelled(F.col("w"))).alias("spelled")).filter("hashes is not null"), "items")
+    n_words = F.size("w")
+    short = sorted(r[0] for r in base.filter((n_words > 0) & (n_words < SHINGLE_WORDS)).select(n_words).distinct().collect())  # four at most
     # Threshold of the partition with 2^(k-1) < size <= 2^k: sketch / 2^(k-1), at most 1.
     size = F.size("hashes")
     rate = F.least(F.lit(1.0), F.lit(2.0 * sketch) / F.pow(F.lit(2.0), F.ceil(F.log2(size))))
@@ -75,7 +100,7 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, sketch: int
         .select("item_id", "item_tk", F.size("low").alias("n_low"), F.explode("low").alias("h")), "item-sketches")
 
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    probe = texts.select("doc_id", text_key(F.col("text")).alias("tk"), F.explode(hashed(words(F.lower("text")))).alias("h"))
+    probe = texts.select("doc_id", text_key(F.col("text")).alias("tk"), F.explode(_with_short_runs(words(F.lower("text")), short, hashed, _hash)).alias("h"))
     found = probe.join(sketches, "h").groupBy("doc_id", "tk", "item_id", "item_tk").agg(
         F.count_distinct("h").alias("n"), F.any_value("n_low").alias("n_low"))
     pairs = written(found.filter(F.col("n") >= F.col("n_low") * (threshold * slack)).drop("n", "n_low"), "leak-candidates")
@@ -86,7 +111,7 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, sketch: int
     picked = keyed.join(wanted, keyed["doc_id"].eqNullSafe(wanted["want_id"]) & (keyed["tk"] == wanted["want_tk"]), "left_semi")
     runs = picked.dropDuplicates(["doc_id", "tk"]).select(
         F.col("doc_id").alias("run_id"), F.col("tk").alias("run_tk"),
-        F.explode(F.array_distinct(spelled(words(F.lower("text"))))).alias("shingle"))
+        F.explode(F.array_distinct(_with_short_runs(words(F.lower("text")), short, spelled, _spell))).alias("shingle"))
     item_runs = sets.select("item_id", "item_tk", F.size("hashes").alias("n_item"), F.explode("spelled").alias("shingle"))
     wanted_runs = pairs.alias("p").join(
         item_runs.alias("i"), F.col("p.item_id").eqNullSafe(F.col("i.item_id")) & (F.col("p.item_tk") == F.col("i.item_tk"))
@@ -99,6 +124,10 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, sketch: int
         .withColumn("containment", F.col("n_shared") / F.col("n_item")).filter(F.col("containment") >= threshold).drop("item_tk"))
 
 
-def clean(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """``docs`` without the rows that contain a test item."""
-    return without(docs, leaks(docs, items, threshold))
+def clean(docs: DataFrame, items: DataFrame, threshold: float = 0.8, least_words: int = SHINGLE_WORDS) -> DataFrame:
+    """``docs`` without the rows that contain a test item of at least ``least_words`` words.
+
+    A shorter item is a common word or phrase; with 1 every document that has it goes.
+    """
+    telling = items.filter(F.size(words(F.lower("text"))) >= least_words)
+    return without(docs, leaks(docs, telling, threshold))

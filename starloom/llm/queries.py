@@ -21,14 +21,18 @@ DOMAIN_WEIGHTS = {"en/good": 0.50, "fr/good": 0.15, "de/good": 0.15, "es/good":
                   "en/poor": 0.04, "fr/poor": 0.02, "de/poor": 0.02, "es/poor": 0.02}
 #: Vocabulary of the token counts, unless STARLOOM_VOCABULARY names another.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: DuckDB: distinct five-word shingles of documents and benchmark items (shorter texts: all their words).
+#: DuckDB: distinct five-word shingles of documents and benchmark items (shorter texts: all their words), and of documents
+#: the runs of as many words as items of fewer have.
 SQL_SHINGLES = r"""
 texts AS (SELECT 'doc' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'item', item_id, text FROM benchmark),
 split_words AS (SELECT kind, id, unnest(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+')) AS w,
                 generate_subscripts(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), 1) AS pos FROM texts),
 runs AS (SELECT kind, id, w, lead(w, 1) OVER p AS w2, lead(w, 2) OVER p AS w3, lead(w, 3) OVER p AS w4, lead(w, 4) OVER p AS w5,
          row_number() OVER p AS nth FROM split_words WHERE w <> '' WINDOW p AS (PARTITION BY kind, id ORDER BY pos)),
-shingles AS (SELECT DISTINCT kind, id, concat_ws(' ', w, w2, w3, w4, w5) AS s FROM runs WHERE w5 IS NOT NULL OR nth = 1)"""
+short AS (SELECT DISTINCT n FROM (SELECT max(nth) AS n FROM runs WHERE kind = 'item' GROUP BY id) WHERE n < 5),
+shingles AS (SELECT DISTINCT kind, id, concat_ws(' ', w, w2, w3, w4, w5) AS s FROM runs WHERE w5 IS NOT NULL OR nth = 1
+             UNION SELECT kind, id, array_to_string([w, w2, w3, w4][:n], ' ') FROM runs, short
+             WHERE kind = 'doc' AND [w, w2, w3, w4][n] IS NOT NULL)"""
 
 
 def query(name: str, sql: str | None = None):

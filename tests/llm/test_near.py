@@ -88,8 +88,8 @@ def brute_leaks(docs, tests, threshold=0.8):
     out = Counter()
     for d, t in {(d, t or "") for d, t in docs}:
         for i, q in {(i, q) for i, q in tests}:
-            s = shingles(q)
-            n = len(s & shingles(t))
+            s, w, v = shingles(q), (t or "").lower().encode().split(), (q or "").lower().encode().split()
+            n = len(s & shingles(t)) if len(v) >= 5 else int(any(w[k:k + len(v)] == v for k in range(len(w))))
             if s and n >= threshold * len(s):
                 out[d, i, n, len(s)] += 1
     return out
@@ -126,6 +126,30 @@ def test_short_items_in_long_documents(spark):
     check_leaks(spark, docs, tests)
 
 
+def test_items_of_one_to_four_words(spark):
+    docs = [(1, "what is the answer is forty two they said after all of that time"), (2, "Forty  two"), (3, "forty"), (4, "two forty two"),
+            (5, "forty-two and two"), (6, None), (7, "a b c d"), (8, "x a b c d y z"), (9, "a b c"), (10, "a b\nc d")]
+    check_leaks(spark, docs, [(1, "forty two"), (2, "a b c d"), (3, "Two"), (4, "b c d"), (5, " ")])
+    check_leaks(spark, docs, [(1, "forty two"), (6, "what is the answer is forty")])
+    left = lambda **kw: {r.doc_id for r in decontamination.clean(
+        spark.createDataFrame(docs, "doc_id long, text string"), items(spark, [(1, "forty two", ""), (6, "the answer is forty two they", "")]), **kw).collect()}
+    assert left() == {2, 3, 4, 5, 6, 7, 8, 9, 10} and left(least_words=1) == {3, 5, 6, 7, 8, 9, 10}
+
+
+def test_short_items_in_sql(spark):
+    import duckdb
+    import pandas as pd
+
+    from starloom.llm.queries import ORACLE
+
+    docs = [(1, "what is the answer is forty two they said"), (2, "forty two"), (3, "forty"), (4, "two forty two a b c d"), (5, None)]
+    tests = [(1, "forty two"), (2, "a b c d"), (3, "two"), (4, "what is the answer is")]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]))
+    con.register("benchmark", pd.DataFrame(tests, columns=["item_id", "text"]))
+    assert Counter(r[:4] for r in con.sql(ORACLE["op8_minhash_containment"]).fetchall()) == brute_leaks(docs, tests)
+
+
 def test_decontaminated_rows_keep_their_columns(spark):
     tests = items(spark, [(1, " ".join(f"alpha{i}" for i in range(10, 30)), "")])
     left = decontamination.clean(cases(spark), tests)
