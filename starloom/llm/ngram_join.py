@@ -22,8 +22,8 @@ equal texts) and its number of links.
 Cases: null, empty and blank texts have no shingles and link only to texts equal
 to theirs (null counts as empty). A text of one to four words has one shingle,
 all its words. Repeated ids and null ids are rows like others; class_id is the
-least id of the group, null if all are null. An empty table gives no rows. Extra columns
-are ignored.
+least id of the group, null if all are null; ties of ids go to the least text key. Very long texts are read whole.
+A similarity equal to the threshold links. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -46,6 +46,8 @@ STEP = 16
 BLOCK = 512
 #: Pairs compared at once.
 PAIRS = 20_000
+#: Bytes of sets held beyond one group.
+HELD_BYTES = 32 << 20
 TASK_KEYS = ["band", "key", "bi", "bj"]
 
 _rng = np.random.default_rng(20)
@@ -170,7 +172,7 @@ def _shared_counts(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.n
 
 def _verified(needed: list[int], threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, starts in whole_groups(batches, TASK_KEYS, rows=4_000):
+        for t, starts in whole_groups(batches, TASK_KEYS, rows=4_000, size=HELD_BYTES):
             raw = t.column("shingles").to_pylist()
             sets = [np.frombuffer(x, dtype=np.uint64) for x in raw]
             size = np.array([len(s) for s in sets])
