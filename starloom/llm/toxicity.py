@@ -20,13 +20,16 @@ The text alone makes the score. Labelled rows held out by crc32(id) mod 4 = 2
 are never read for learning. Cases: null, empty and blank texts have no hits and get the
 score of a text without any. Documents whose labels disagree or are null teach nothing. Without
 labels of both kinds all scores are 0. A null id is not held out. Repeated rows are scored
-alike. Extra columns pass through ``scored``.
+alike. Very long texts are read whole; ties of evidence are ordered by the term and change no result. Empty tables
+give no rows. Extra columns pass through ``scored``, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -41,8 +44,8 @@ from starloom.llm.common import unused, written
 
 #: Labelled documents read for each label and part of the training rows, at most.
 MAX_LABELLED = 15_000
-#: Terms of a lexicon, at most.
-MAX_TERMS = 600
+#: Automaton states held; beyond that they are built anew as words ask for them.
+MAX_STATES = 150_000
 #: Letters of a learned word beginning.
 MIN_STEM, MAX_STEM = 4, 8
 #: A term's documents: share labelled toxic, and log-likelihood ratio, at least.
@@ -88,8 +91,12 @@ class Automaton:
                 self.limit[node] = max(self.limit[node], edits)
             kind[node] = True
         self.alphabet = {c for kids in self.children for c in kids}
-        self.ids: dict[frozenset, int] = {}
-        self.states: list[frozenset] = []
+        self._forget()
+
+    def _forget(self) -> None:
+        # A state is the ascending 4 * node + edits of its points, as packed 32-bit integers.
+        self.ids: dict[bytes, int] = {}
+        self.states: list[bytes] = []
         self.accept: list[int] = []
         self.has_stem: list[bool] = []
         self.moves: list[dict[str, int]] = []
@@ -110,7 +117,7 @@ class Automaton:
             todo += [(kid, e + 1) for kid in self.children[node].values()]
         if not best:
             return -1
-        key = frozenset(best.items())
+        key = array("I", sorted(4 * node + e for node, e in best.items())).tobytes()
         if key not in self.ids:
             self.ids[key] = len(self.states)
             self.states.append(key)
@@ -125,7 +132,8 @@ class Automaton:
 
     def _move(self, state: int, c: str) -> int:
         points = set()
-        for node, e in self.states[state]:
+        for point in array("I", self.states[state]):
+            node, e = point >> 2, point & 3
             kids = self.children[node]
             if c in kids:
                 points.add((kids[c], e))
@@ -136,6 +144,8 @@ class Automaton:
 
     def match(self, word: str) -> int:
         """EXACT, STEM, NEAR or 0."""
+        if len(self.states) > MAX_STATES:
+            self._forget()
         state, stem = self.start, False
         for c in word:
             if c not in self.alphabet:
@@ -221,10 +231,10 @@ def hit_features(texts: list[str], lexicon: Lexicon) -> np.ndarray:
     return out
 
 
-def _ratio(a: pd.Series, b: pd.Series, n1: int, n0: int) -> pd.Series:
+def _ratio(a: Column, b: Column, n1: float, n0: float) -> Column:
     """Log-likelihood ratio of a word in a of n1 toxic and b of n0 clean documents."""
-    def part(x, e):
-        return np.where(x > 0, x * np.log(np.maximum(x, 1e-9) / e), 0.0)
+    def part(x: Column, e: Column) -> Column:
+        return F.when(x > 0, x * F.log(F.greatest(x, F.lit(1e-9)) / e)).otherwise(F.lit(0.0))
     share = (a + b) / (n1 + n0)
     return 2 * (part(a, share * n1) + part(b, share * n0) + part(n1 - a, (1 - share) * n1 + 1e-9) + part(n0 - b, (1 - share) * n0 + 1e-9))
 
@@ -284,19 +294,20 @@ def learn_lexicon(rows: DataFrame, total: dict[int, float] | None = None) -> Lex
         .groupBy("term", "stem", "whole").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
                                      F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")), "term-counts")
     share = F.col("a") * w1 / (F.col("a") * w1 + F.col("b") * w0)
-    # Toxic documents are the smaller part: what passes is a small share of the words, and ordered before the cut.
-    found = counts.filter(~F.col("whole") & (F.col("a") >= 3) & (share >= LEAST_SHARE)).orderBy(F.desc("a"), "b", "term").limit(40 * MAX_TERMS).toPandas()
-    found["ratio"] = _ratio(w1 * found["a"].astype(float), w0 * found["b"].astype(float), w1 * n1, w0 * n0)
-    found = found[found["ratio"] >= LEAST_RATIO].sort_values(["ratio", "term"], ascending=[False, True])
-    words = found[~found["stem"].astype(bool)]["term"].head(MAX_TERMS).tolist()
+    # The evidence alone decides: every term that passes is kept, and their number is bounded by the labelled rows read.
+    found = counts.filter(~F.col("whole") & (F.col("a") >= 3) & (share >= LEAST_SHARE)).withColumn(
+        "ratio", _ratio(w1 * F.col("a"), w0 * F.col("b"), w1 * n1, w0 * n0)).filter(F.col("ratio") >= LEAST_RATIO)
+    found = found.select("term", "stem", "ratio").toPandas().sort_values(["ratio", "term"], ascending=[False, True])
+    words = found[~found["stem"].astype(bool)]["term"].tolist()
+    beginnings = Counter(w[:k] for w in words for k in range(MIN_STEM, min(len(w), MAX_STEM) + 1))
     known: set[str] = set()
     stems = []
     for t in found[found["stem"].astype(bool)].sort_values("term", key=lambda s: s.str.len())["term"]:
         # A beginning of one known word says no more than the word; one that begins another stem's is in it.
-        if sum(w.startswith(t) for w in words) != 1 and not any(t.startswith(k) for k in known):
+        if beginnings[t] != 1 and not any(t[:k] in known for k in range(MIN_STEM, len(t) + 1)):
             known.add(t)
             stems.append(t)
-    lexicon = Lexicon(words, stems[:MAX_TERMS])
+    lexicon = Lexicon(words, stems)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

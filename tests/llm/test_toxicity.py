@@ -36,6 +36,34 @@ def test_automaton_against_edit_distances():
         assert auto.match(w) == expected, w
 
 
+def test_forgotten_states_are_built_anew(monkeypatch):
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcd") for _ in range(n))
+    terms, asked = [word(9) for _ in range(30)], [word(rng.randrange(4, 11)) for _ in range(600)]
+    free = Automaton(terms, [])
+    want = [free.match(w) for w in asked]
+    monkeypatch.setattr(toxicity, "MAX_STATES", 50)
+    held = Automaton(terms, [])
+    assert [held.match(w) for w in asked] == want
+    assert len(free.states) > 500 > len(held.states)
+
+
+def test_all_terms_with_evidence_are_learned(spark):
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    vocabulary = sorted({"".join(rng.choice(letters) for _ in range(rng.randrange(5, 11))) for _ in range(50_000)})
+    rng.shuffle(vocabulary)
+    terms, common = vocabulary[:2000], vocabulary[2000:]
+    rows = []
+    for d in range(4000):
+        w = [rng.choice(common) for _ in range(12)]
+        if d % 2 == 0:
+            w += [terms[(d * 10 + k) % 2000] for k in range(20)]
+        rows.append((" ".join(w), int(d % 2 == 0)))
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert set(terms) <= set(lexicon.words)
+
+
 def test_context_tells_quotation_from_abuse():
     lexicon = Lexicon(["stupid", "clown"], [])
     abuse, quote, report, none_ = toxicity.hit_features(
