@@ -10,7 +10,7 @@ from starloom.operators.incremental import delete_insert
 from starloom.operators.quality import Check, run_checks
 from starloom.plans import marts
 from starloom.plans.warehouse import Warehouse
-from starloom.session import scratch_path
+from starloom.session import ADVISORY_SIZE, INITIAL_PARTITIONS, scratch_path, size_shuffles
 
 
 def md5(i):
@@ -91,3 +91,60 @@ def test_keys_of_a_column_are_counted_once(spark):
     # The texts and pairs of (test, key, child, parent) that every check emitted before are gone.
     assert "to_json" not in plan.lower() and "structstojson" not in plan.lower()
     assert plan.count("Aggregate [k0") == 2  # one for sk and p together, one for the pairs
+
+
+def test_lines_join_only_odd_products(spark):
+    orders = spark.createDataFrame([(1, "a"), (2, None)], "order_id long, customer_sk string").withColumn("ordered_at", F.lit("2024-01-01").cast("timestamp"))
+    ids = [1, 2, 3, 3, None, 9, 4, 5, 6]
+    lines = spark.createDataFrame([(md5(f"l{i}"), i % 3, i, p, 1, 2, 0, 2) for i, p in enumerate(ids * 3)],
+                                  "order_item_id string, order_id long, line_number long, product_id long, quantity long, unit_price long, discount long, line_total long")
+    # Twice, by another key, without a key, with the key of another product, and NULL ids; 9 is missing.
+    products = spark.createDataFrame([(md5(1), 1), (md5(2), 2), (md5(2), 2), ("x", 3), (None, 4), (md5(1), 5), (md5(6), 6), ("y", 6), (md5(""), None), (md5(7), 7)],
+                                     "product_sk string, product_id long")
+    odd = marts.odd_products(lines, products)
+    found = sorted((r.product_id, r.product_sk or "") for r in odd.collect())
+    assert found == sorted([(2, md5(2)), (2, md5(2)), (3, "x"), (4, ""), (5, md5(1)), (6, md5(6)), (6, "y"), (9, "")])
+    want = marts.fact_order_items(lines, orders, products)
+    got = marts.fact_order_items(lines, orders, products, odd)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_lines_of_a_written_warehouse_move_once(spark):
+    """The dimension is too large to be broadcast: lines went to their orders and then to their products."""
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "15000")
+    try:
+        wh = Warehouse(spark, "/root/testdata/sf0.001", persist=True)
+        wh.dim_product, wh.odd_products, wh.orders_with_customer
+        plans = []
+        write = wh._written
+        wh._written = lambda name, df: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or write(name, df)
+        wh.fact_order_items
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert len(plans) == 1 and plans[0].count("SortMergeJoin") + plans[0].count("ShuffledHashJoin") == 1 and plans[0].count("BroadcastHashJoin") == 1
+    assert wh.odd_products.count() == 0
+
+
+def test_written_digests_are_bytes(spark):
+    wh = Warehouse(spark, "/root/testdata/sf0.001", persist=True)
+    for name, digests in (("raw_order_items", ["order_item_id"]), ("fact_orders", ["customer_sk"]), ("fact_order_items", ["order_item_id", "customer_sk", "product_sk"])):
+        seen, plain = getattr(wh, name), getattr(Warehouse(spark, "/root/testdata/sf0.001"), name)
+        assert {c: spark.read.parquet(wh.paths[name]).schema[c].dataType.typeName() for c in digests} == dict.fromkeys(digests, "binary")
+        assert seen.dtypes == plain.dtypes
+        assert seen.exceptAll(plain).isEmpty() and plain.exceptAll(seen).isEmpty()
+
+
+def test_shuffles_grow_with_the_input(spark):
+    s = spark.newSession()
+    size_shuffles(s, 1 << 20)
+    assert s.conf.get(INITIAL_PARTITIONS, None) is None  # the caller's partitions
+    assert s.conf.get(ADVISORY_SIZE) == f"{16 << 20}b"
+    size_shuffles(s, 6 << 30)
+    assert s.conf.get(INITIAL_PARTITIONS) == "768"
+    size_shuffles(s, 1 << 30)
+    assert s.conf.get(INITIAL_PARTITIONS) == "768"
+    s.conf.set(ADVISORY_SIZE, "4m")
+    size_shuffles(s, 1 << 40)
+    assert (s.conf.get(INITIAL_PARTITIONS), s.conf.get(ADVISORY_SIZE)) == ("4000", "4m")
